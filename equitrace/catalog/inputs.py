@@ -85,12 +85,17 @@ EVENT_VARS = tuple(
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Doubles to fixed places (and -0.0 to 0.0), so that results compare across engines."""
     cols = [
-        (F.round(f"`{n}`", places) + F.lit(0.0)).alias(n) if t == "double" else F.col(f"`{n}`")
+        (half_up(f"`{n}`", places) + F.lit(0.0)).alias(n) if t == "double" else F.col(f"`{n}`")
         for n, t in df.dtypes
     ]
     return df.select(*cols)
 
 
+def half_up(c: str | Column, places: int) -> Column:
+    """Round half up; the inner rounding removes float noise around a tie."""
+    return F.round(F.round(c, places + 3), places)
+
+
 def share(cond: Column) -> Column:
     return F.sum(cond.cast("int"))
 
@@ -224,7 +229,7 @@ class Inputs:
         )
 
         def mean(a: str, n: str = "lines") -> Column:
-            return F.round(F.try_divide(F.col(a), F.col(n)), 6) + F.lit(0.0)
+            return half_up(F.try_divide(F.col(a), F.col(n)), 6) + F.lit(0.0)
 
         def whole(c: str) -> Column:
             return F.col(c).cast("double")
@@ -382,7 +387,7 @@ class Inputs:
         found = stats.dv_correlation(self.brand_rows(), drivers.MODEL_KEY)
         return stage(
             found.where(F.col("corr_abs").isNotNull()).select(
-                *drivers.MODEL_KEY, "var", F.round("corr_abs", 6).alias("attribution")
+                *drivers.MODEL_KEY, "var", half_up("corr_abs", 6).alias("attribution")
             ),
             "attributions",
         )
@@ -391,7 +396,7 @@ class Inputs:
         seeds = F.explode(F.array(F.lit(2), F.lit(3)))
         ops = F.explode(F.array(F.lit("=~"), F.lit("~~")))
         found = self.pool_rows().groupBy(*keys, "var").agg(
-            F.round(stats.correlation("value", "dv"), 6).alias("corr")
+            half_up(stats.correlation("value", "dv"), 6).alias("corr")
         )
         return (
             found.where(F.col("corr").isNotNull())

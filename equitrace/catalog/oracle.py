@@ -29,7 +29,12 @@ def values(rows, names: str) -> str:
 
 
 def r(expr: str, name: str | None = None, places: int = 6) -> str:
-    return f"round({expr}, {places}) + 0.0 as {name or expr}"
+    return f"{up(expr, places)} + 0.0 as {name or expr}"
+
+
+def up(expr: str, places: int) -> str:
+    """Half-up rounding on a decimal, free of float noise."""
+    return f"cast(round(cast({expr} as decimal(38, {places + 3})), {places}) as double)"
 
 
 def even(expr: str, places: int) -> str:
@@ -55,24 +60,24 @@ MEASURES = """
   round(sum(l_extendedprice), 4) acv_den,
   round(sum(l_quantity), 4) s_units,
   round(sum(l_quantity * (1 - l_tax)), 4) s_base_units"""
-CELL = """
+CELL = f"""
   cast(count(distinct o_custkey) as double) survey_reach_customers_all,
   cast(count(*) as double) survey_reach_lines_all,
   cast(count(distinct l_orderkey) as double) survey_reach_orders_all,
-  round(avg(case when c_mktsegment = 'BUILDING' then 1.0::double else 0 end), 6) panel_segment_share_net,
-  round(avg(case when o_orderstatus = 'F' then 1.0::double else 0 end), 6) panel_status_share_all,
-  round(avg(o_totalprice), 6) panel_order_value_mean,
-  round(avg(case when l_returnflag <> 'R' then 1.0::double else 0 end), 6) directions_kept_share_all,
-  round(avg(case when o_orderpriority = '1-URGENT' then 1.0::double else 0 end), 6) directions_urgent_mean,
-  round(avg(l_quantity), 6) directions_quantity_mean,
-  round(avg(l_quantity * (1 - l_discount)), 6) directions_net_quantity_mean,
-  round(avg(l_discount), 6) brandtone_discount_mean,
-  round(avg(l_extendedprice / l_quantity), 6) brandtone_price_mean,
-  round(avg(l_extendedprice), 6) brandtone_revenue_mean,
-  round(avg(l_tax) filter (l_returnflag = 'R' and l_quantity > 20), 6) + 0.0 ratings_tax_returned_mean,
-  round(avg(case when l_returnflag = 'R' then 1.0::double else 0 end), 6) ratings_returned_rank_1st,
-  round(sum(case when l_returnflag = 'R' then l_quantity else 0 end) / sum(l_quantity), 6) ratings_returned_quantity_share,
-  round(avg(l_tax) filter (l_returnflag = 'R' and l_quantity >= 45), 6) + 0.0 ratings_sparse_mean,
+  {up("avg(case when c_mktsegment = 'BUILDING' then 1.0::double else 0 end)", 6)} panel_segment_share_net,
+  {up("avg(case when o_orderstatus = 'F' then 1.0::double else 0 end)", 6)} panel_status_share_all,
+  {up("avg(o_totalprice)", 6)} panel_order_value_mean,
+  {up("avg(case when l_returnflag <> 'R' then 1.0::double else 0 end)", 6)} directions_kept_share_all,
+  {up("avg(case when o_orderpriority = '1-URGENT' then 1.0::double else 0 end)", 6)} directions_urgent_mean,
+  {up("avg(l_quantity)", 6)} directions_quantity_mean,
+  {up("avg(l_quantity * (1 - l_discount))", 6)} directions_net_quantity_mean,
+  {up("avg(l_discount)", 6)} brandtone_discount_mean,
+  {up("avg(l_extendedprice / l_quantity)", 6)} brandtone_price_mean,
+  {up("avg(l_extendedprice)", 6)} brandtone_revenue_mean,
+  {up("avg(l_tax) filter (l_returnflag = 'R' and l_quantity > 20)", 6)} + 0.0 ratings_tax_returned_mean,
+  {up("avg(case when l_returnflag = 'R' then 1.0::double else 0 end)", 6)} ratings_returned_rank_1st,
+  {up("sum(case when l_returnflag = 'R' then l_quantity else 0 end) / sum(l_quantity)", 6)} ratings_returned_quantity_share,
+  {up("avg(l_tax) filter (l_returnflag = 'R' and l_quantity >= 45)", 6)} + 0.0 ratings_sparse_mean,
   cast(count(*) as double) ratings_reviews_review_count,
   sum(l_quantity) search_searchvolume,
   cast(count(*) filter (l_quantity > 0 and l_quantity <= 10) as double) ratings_reviews_1_star_ratings,
@@ -287,17 +292,17 @@ CTES: dict[str, tuple[str, str]] = {
     ),
     "attributions": (
         "brand_rows",
-        f"""select * from (select brand, category, pillar, var, round(abs({corr("value", "dv")}), 6) attribution
+        f"""select * from (select brand, category, pillar, var, {up(f"abs({corr('value', 'dv')})", 6)} attribution
           from brand_rows group by 1, 2, 3, 4) where attribution is not null""",
     ),
     "pooled_corr": (
         "pool_rows",
-        f"""select * from (select pillar, var, round({corr("value", "dv")}, 6) est_std
+        f"""select * from (select pillar, var, {up(corr("value", "dv"), 6)} est_std
           from pool_rows group by 1, 2) where est_std is not null""",
     ),
     "category_corr": (
         "pool_rows",
-        f"""select * from (select category, pillar, var, round({corr("value", "dv")}, 6) est_std
+        f"""select * from (select category, pillar, var, {up(corr("value", "dv"), 6)} est_std
           from pool_rows group by 1, 2, 3) where est_std is not null""",
     ),
     "dv_year": (
