@@ -30,17 +30,28 @@ def learning_rows(rows: DataFrame, keys: Sequence[str], model: ModelSpec, spec:
 
 
 def solve_ridge(gram: np.ndarray, cross: np.ndarray, alpha: float, positive: bool) -> np.ndarray:
-    """Minimise |y - Xb|^2 + alpha |b|^2 on centred moments; optionally with b >= 0."""
+    """Minimise |y - Xb|^2 + alpha |b|^2 on centred moments; optionally with b >= 0.
+
+    The bounded case frees one coefficient at a time and steps back where one turns negative.
+    """
     a = gram + alpha * np.eye(len(cross))
     if not positive:
         return np.linalg.solve(a, cross)
-    b = np.zeros(len(cross))
-    for _ in range(5000):
-        before = b.copy()
-        for j in range(len(b)):
-            b[j] = max(0.0, b[j] + (cross[j] - a[j] @ b) / a[j, j])
-        if np.abs(b - before).max() < 1e-12:
+    b, free = np.zeros(len(cross)), np.zeros(len(cross), dtype=bool)
+    for _ in range(10 * len(cross)):
+        gain = np.where(free, -np.inf, cross - a @ b)
+        if gain.max() <= 1e-12:
             break
+        free[gain.argmax()] = True
+        while True:
+            trial = np.zeros(len(cross))
+            trial[free] = np.linalg.solve(a[np.ix_(free, free)], cross[free])
+            if trial[free].min(initial=0.0) >= 0.0:
+                b = trial
+                break
+            out = free & (trial < 0.0)
+            b = b + (b[out] / (b[out] - trial[out])).min() * (trial - b)
+            free &= b > 1e-15
     return b
 
 

@@ -87,20 +87,47 @@ def sample_moments(rows: DataFrame, keys: Sequence[str], spec: RefreshSpec) -> D
     )
 
 
-def one_factor(r: np.ndarray, steps: int = 20000, tol: float = 1e-10) -> tuple[np.ndarray, np.ndarray]:
-    """Loadings and unique variances of a correlation matrix by EM, latent variance 1."""
+def _em_step(r: np.ndarray, load: np.ndarray, unique: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    weighted = load / unique
+    beta = weighted / (1.0 + load @ weighted)
+    cross = r @ beta
+    new = cross / (beta @ cross + 1.0 - beta @ load)
+    return new, np.clip(1.0 - new * cross, 1e-6, None)
+
+
+def _misfit(r: np.ndarray, load: np.ndarray, unique: np.ndarray) -> float:
+    """ln|Sigma| + tr(R Sigma^-1) of a one-factor Sigma."""
+    weighted = load / unique
+    size = 1.0 + load @ weighted
+    return float(np.log(unique).sum() + np.log(size) + (np.diag(r) / unique).sum() - weighted @ r @ weighted / size)
+
+
+def one_factor(r: np.ndarray, steps: int = 1000, tol: float = 1e-9) -> tuple[np.ndarray, np.ndarray]:
+    """Loadings and unique variances of a correlation matrix, latent variance 1.
+
+    Maximum likelihood by EM. Two EM steps give a direction that is followed further where it
+    lowers the misfit (squared extrapolation), since plain EM creeps near a boundary solution.
+    """
+    p = len(r)
     values, vectors = np.linalg.eigh(r)
     load = vectors[:, -1] * np.sqrt(values[-1]) * 0.9
-    load = load if load.sum() >= 0 else -load
     unique = np.clip(1.0 - load**2, 0.05, None)
     for _ in range(steps):
-        weighted = load / unique
-        beta = weighted / (1.0 + load @ weighted)
-        cross = r @ beta
-        new = cross / (beta @ cross + 1.0 - beta @ load)
-        unique = np.clip(1.0 - new * cross, 1e-6, None)
-        moved = np.abs(new - load).max()
-        load = new
+        one = _em_step(r, load, unique)
+        two = _em_step(r, *one)
+        start, mid, end = (np.concatenate(t) for t in ((load, unique), one, two))
+        first, turn = mid - start, end - 2.0 * mid + start
+        best, best_fit = end, _misfit(r, *two)
+        size = np.linalg.norm(turn)
+        if size > 0:
+            length = np.linalg.norm(first) / size
+            ahead = start + 2.0 * length * first + length**2 * turn
+            if ahead[p:].min() > 1e-6:
+                fit = _misfit(r, ahead[:p], ahead[p:])
+                if fit < best_fit:
+                    best = ahead
+        moved = np.abs(best - start).max()
+        load, unique = best[:p], best[p:]
         if moved < tol:
             break
     return (load if load.sum() >= 0 else -load), unique
