@@ -340,12 +340,12 @@ def t25(i: Inputs) -> DataFrame:
 
 @query("m1_pooled_factors")
 def m1(i: Inputs) -> DataFrame:
-    return factor.pooled_factors(i.pool_rows(), i.spec)
+    return factor.pooled_factors(i.pool_metrics(), i.spec)
 
 
 @query("m2_category_factors")
 def m2(i: Inputs) -> DataFrame:
-    return factor.category_factors(i.pool_rows(), i.spec)
+    return factor.category_factors(i.pool_metrics(), i.spec)
 
 
 CLEANED = """select brand, category, date, pillar, var, coalesce(value, avg(value) over w) as value from (
@@ -377,7 +377,7 @@ def m3(i: Inputs) -> DataFrame:
     ).replace("with s as (select * from (select seed", ", s as (select * from (select seed"),
 )
 def m1_moments(i: Inputs) -> DataFrame:
-    rows = i.pool_rows().where(F.col("pillar").isin("loyalty", "awareness"))
+    rows = i.pool_metrics().where(F.col("pillar").isin("loyalty", "awareness"))
     return factor.sample_moments(rows, ["pillar"], i.spec)
 
 

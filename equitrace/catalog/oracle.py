@@ -437,7 +437,7 @@ CTES: dict[str, tuple[str, str]] = {
         "named",
         f"""select brand, category, price_class,
           array_to_string(list_transform(string_split(replace(replace(equity_pillar, '_pillar', ''), '_', ' '), ' '),
-            w -> upper(w[1]) || lower(w[2:])), ' ') equity_pillar, metric_type, metric_name, date,
+            lambda w: upper(w[1]) || lower(w[2:])), ' ') equity_pillar, metric_type, metric_name, date,
           {even("metric_raw_value", 5)} metric_raw_value, {even("weight", 5)} weight,
           {even("scaled_scores", 2)} scaled_scores
           from named where not (weight is null and metric_type = 'Metric')""",

@@ -473,7 +473,7 @@ def c3(i: Inputs) -> DataFrame:
     sql(
         "named",
         """select distinct metric_type, array_to_string(list_transform(string_split(replace(replace(
-        equity_pillar, '_pillar', ''), '_', ' '), ' '), w -> upper(w[1]) || lower(w[2:])), ' ') equity_pillar,
+        equity_pillar, '_pillar', ''), '_', ' '), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') equity_pillar,
         (select count(*) from named) n from named""",
     ),
 )
@@ -489,7 +489,7 @@ def c4(i: Inputs) -> DataFrame:
     sql(
         "",
         """select distinct p_name, array_to_string(list_transform(string_split(lower(p_name), ' '),
-        w -> upper(w[1]) || w[2:]), ' ') title from part""",
+        lambda w: upper(w[1]) || w[2:]), ' ') title from part""",
     ),
 )
 def c4_title(i: Inputs) -> DataFrame:
@@ -550,7 +550,7 @@ def c9(i: Inputs) -> DataFrame:
     sql(
         "trended dv prices",
         f"""select brand, category, price_class, array_to_string(list_transform(string_split(replace(
-        replace(var, '_pillar_trend_past', ''), '_', ' '), ' '), w -> upper(w[1]) || lower(w[2:])), ' ') equity_pillar,
+        replace(var, '_pillar_trend_past', ''), '_', ' '), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') equity_pillar,
         {even("relative_importance", 4)} relative_importance from ({RELATIVE})
         left join prices using (brand, category)""",
     ),

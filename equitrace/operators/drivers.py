@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from equitrace.functions.exprs import ratio
 from equitrace.functions.grouping import with_group_stats
 from equitrace.operators import stats
+from equitrace.sources.workspace import stage
 from equitrace.spec import RIDGE, ModelSpec, RefreshSpec
 
 MODEL_KEY = ("brand", "category", "pillar")
@@ -167,9 +168,12 @@ def result_rows(
 def ridge_model(
     rows: DataFrame, keys: Sequence[str], model: ModelSpec, spec: RefreshSpec
 ) -> tuple[DataFrame, DataFrame]:
-    """Grid search, refit and report of the ridge model of every key: results and predictions."""
-    samples = learning_rows(rows, keys, model, spec)
-    coefs = ridge_coefficients(samples, keys, model.alphas, model.positive)
+    """Grid search, refit and report of the ridge model of every key: results and predictions.
+
+    Samples and coefficients are read by several steps, so each is written once.
+    """
+    samples = stage(learning_rows(rows, keys, model, spec), "samples")
+    coefs = stage(ridge_coefficients(samples, keys, model.alphas, model.positive), "coefficients")
     fold_metrics = stats.regression_metrics(
         linear_predictions(samples, coefs, keys, by_fold=True), [*keys, "grid_no", "alpha", "fold"]
     )
@@ -191,7 +195,7 @@ def ridge_model(
         linear_attribution(train, chosen.where(F.col("fold") == 0), keys),
         fit_report(predictions, keys),
         best.drop("grid_no"),
-        stats.latest_dv(rows, keys),
+        stats.latest_dv(samples, keys),
         keys,
         RIDGE,
     )

@@ -37,8 +37,11 @@ def sample_moments(rows: DataFrame, keys: Sequence[str], spec: RefreshSpec) -> D
     """
     scope = [k for k in keys if k == "category"]
     sample = seeded_sample(rows, PANEL_KEY, spec.sample_pct, spec.sample_seeds, scope)
-    sizes = sample.groupBy(*scope, "seed").agg(
-        F.count_if("taken").alias("n_rows")
+    sizes = (
+        rows.select(*PANEL_KEY)
+        .distinct()
+        .groupBy(*scope)
+        .agg(F.floor(F.count("*") * F.lit(spec.sample_pct) / F.lit(100)).alias("n_rows"))
     )
     left_out = (
         sample.where(~F.col("taken")).groupBy(*PANEL_KEY).agg(F.collect_list("seed").alias("seeds"))
@@ -73,9 +76,9 @@ def sample_moments(rows: DataFrame, keys: Sequence[str], spec: RefreshSpec) -> D
         "var2",
         F.col("s").alias("total"),
     )
+    sized = totals.join(sizes, scope) if scope else totals.withColumn("n_rows", sizes.scalar())
     return (
-        totals.join(sums.where(F.col("seed") > 0), [*keys, "seed", "var1", "var2"], "left")
-        .join(sizes, [*scope, "seed"])
+        sized.join(sums.where(F.col("seed") > 0), [*keys, "seed", "var1", "var2"], "left")
         .select(
             *keys,
             "seed",
