@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from equitrace.catalog.oracle import NORM, corr, r
 from equitrace.catalog.oracle import query as sql
 from equitrace.catalog.registry import query
 from equitrace.functions.grouping import PANEL_KEY, seeded_sample
-from equitrace.operators import drivers, factor, forests, stats
+from equitrace.operators import drivers, factor, stats
 from equitrace.plans import refresh
 from equitrace.spec import BOOSTED, FOREST, ModelSpec, TreeGrid
 
@@ -445,32 +447,29 @@ def m4_positive(i: Inputs) -> DataFrame:
     return drivers.ridge_coefficients(i.model_rows, drivers.MODEL_KEY, model.alphas, positive=True)
 
 
+# small grids: a fit costs about a second whatever the size of this test data
 TREES = ModelSpec(
-    run=(FOREST,),
     folds=2,
     forest=TreeGrid((2, 3), (15,), (2,)),
-    boosted=TreeGrid((2,), (10,), (), (0.1,)),
+    boosted=TreeGrid((2,), (5,), (), (0.1,)),
 )
 
 
-def tree_rows(i: Inputs, pillar: str) -> DataFrame:
-    rows = stats.eligible(i.brand_rows(), i.spec, drivers.MODEL_KEY).where(F.col("pillar") == pillar)
-    return drivers.learning_rows(rows, drivers.MODEL_KEY, TREES, i.spec)
+def tree_attributions(i: Inputs, kind: str) -> DataFrame:
+    spec = replace(i.spec, weights_model=replace(TREES, run=(kind,)))
+    rows = stats.eligible(i.brand_rows(), spec, drivers.MODEL_KEY)
+    return refresh.learn_drivers(rows, i.maps(), spec)
 
 
 @query("m5_forest_model")
 def m5(i: Inputs) -> DataFrame:
-    """Forest of the awareness pillar, pooled over its brands."""
-    return forests.tree_model(
-        tree_rows(i, "awareness"), FEATURES["awareness"], FOREST, TREES, ["brand", "category"]
-    )[0]
+    """One forest per pillar, pooled over its brands; attributions per brand and category."""
+    return tree_attributions(i, FOREST)
 
 
 @query("m6_boosted_model")
 def m6(i: Inputs) -> DataFrame:
-    return forests.tree_model(
-        tree_rows(i, "awareness"), FEATURES["awareness"], BOOSTED, TREES, ["brand", "category"]
-    )[0]
+    return tree_attributions(i, BOOSTED)
 
 
 @query(

@@ -576,13 +576,13 @@ def e5(i: Inputs) -> DataFrame:
 @query("e6_publish", sql("summary", f"select {CARD}, {VALUES} from summary"))
 def e6(i: Inputs) -> DataFrame:
     scored = refresh.score(i.scaled, i.sheet, i.maps(), i.spec)
-    return refresh.publish(i.panel, scored, i.sheet, i.dv, i.maps(), i.spec)["summary"]
+    return refresh.publish_summary(i.panel, scored, i.sheet, i.maps())["summary"]
 
 
 @query("e6_published_importance")
 def e6_importance(i: Inputs) -> DataFrame:
     scored = refresh.score(i.scaled, i.sheet, i.maps(), i.spec)
-    return refresh.publish(i.panel, scored, i.sheet, i.dv, i.maps(), i.spec)["importance"]
+    return refresh.publish_importance(scored, i.dv, i.maps(), i.spec)
 
 
 OLD_CARD = """select brand, category, date, equity_pillar, scaled_scores *

@@ -48,7 +48,7 @@ def seeded_sample(
     """Exactly floor(pct % of n) of the distinct keys per scope and seed, with `taken` flags.
 
     The rows with the lowest seeded hashes are taken. A global rank would sort a whole scope in
-    one task, so the hash space is cut into 4096 buckets: whole buckets are decided from their
+    one task, so the hash space is cut into 65536 buckets: whole buckets are decided from their
     counts alone, and only the one bucket that holds the cut is ranked row by row.
     """
     group = [*scope, "seed"]
@@ -57,7 +57,7 @@ def seeded_sample(
         .distinct()
         .withColumn("seed", F.explode(F.array(*[F.lit(s) for s in seeds])))
         .withColumn("draw", draw_key(list(keys), F.col("seed")))
-        .withColumn("bucket", F.substring("draw", 1, 3))
+        .withColumn("bucket", F.substring("draw", 1, 4))
     )
     counts = rows.groupBy(*group, "bucket").agg(F.count("*").alias("n_bucket"))
     sizes = counts.groupBy(*group).agg(

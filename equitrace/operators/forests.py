@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from equitrace.functions.grouping import PANEL_KEY, with_group_stats
 from equitrace.operators import stats
 from equitrace.operators.drivers import selection_table
+from equitrace.sources.workspace import stage
 from equitrace.spec import BOOSTED, FOREST, ModelSpec, TreeGrid
 
 Setting = Mapping[str, float]
@@ -111,8 +112,8 @@ def tree_model(
 ) -> tuple[DataFrame, DataFrame]:
     """Grid search and refit of one pooled ensemble: attributions and predictions."""
     grid = model.forest if kind == FOREST else model.boosted
-    wide = wide_samples(rows, features)
-    data = assemble(wide, features).persist()
+    wide = stage(wide_samples(rows, features), f"{kind}-samples")
+    data = assemble(wide, features)
     setting = best_setting(cross_validate(data, kind, grid, model.folds, len(features)), grid)
     fitted = estimator(kind, setting, len(features)).fit(data.where(F.col("split") == "train"))
     predictions = fitted.transform(data).select(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from equitrace.functions.exprs import ratio
+from equitrace.functions.exprs import num, ratio
 from equitrace.functions.grouping import PANEL_KEY, one_per_key, with_group_stats
 
 REVIEW_COUNT = "ratings_reviews_review_count"
@@ -57,43 +57,44 @@ def rename_metrics(panel: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def percentage_metrics(panel: DataFrame) -> DataFrame:
-    """Counts and star ratings as a share of the review count, added as `<name>_percentage`."""
-    reviews = panel.where(F.col("var") == REVIEW_COUNT).select(
-        *PANEL_KEY, F.col("value").alias("reviews")
-    )
+    """Counts and star ratings as a share of the review count, added as `<name>_percentage`.
+
+    The review count is itself one of the counted metrics, so the counted rows of a panel key, a
+    handful, hold their denominator.
+    """
+    cell = Window.partitionBy(*PANEL_KEY)
+    reviews = F.max(F.when(F.col("var") == REVIEW_COUNT, F.col("value"))).over(cell)
     derived = (
         panel.where(F.col("var").rlike(COUNTED))
-        .join(reviews, list(PANEL_KEY), "left")
-        .select(
-            *PANEL_KEY,
-            F.concat("var", F.lit("_percentage")).alias("var"),
-            ratio("value", "reviews").alias("value"),
-        )
+        .withColumn("value", ratio("value", reviews))
+        .select(*PANEL_KEY, F.concat("var", F.lit("_percentage")).alias("var"), "value")
     )
     return panel.unionByName(derived)
 
 
 def inverse_metrics(panel: DataFrame, rules: DataFrame) -> DataFrame:
     """Metrics by rule: `sub` gives constant - metric, `add` a row sum that skips nulls."""
-    subs = rules.where(F.col("operation") == "sub").select(
-        F.col("raw_cols").alias("var"),
-        F.col("values").cast("double").alias("constant"),
+    is_sub = F.col("operation") == "sub"
+    sources = rules.select(
+        F.explode(F.split(F.when(is_sub, F.col("raw_cols")).otherwise(F.col("values")), r"\+")).alias("var"),
         "new_name",
+        F.when(is_sub, num("values")).alias("constant"),
+        is_sub.alias("is_sub"),
     )
-    adds = rules.where(F.col("operation") == "add").select(
-        F.explode(F.split("values", r"\+")).alias("var"), "new_name"
-    )
-    subtracted = panel.join(subs, "var").select(
-        *PANEL_KEY,
-        F.col("new_name").alias("var"),
-        (F.col("constant") - F.col("value")).alias("value"),
-    )
-    added = (
-        panel.join(adds, "var")
-        .groupBy(*PANEL_KEY, F.col("new_name").alias("var"))
-        .agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("value"))
+    derived = (
+        panel.join(sources, "var")
+        .groupBy(*PANEL_KEY, "new_name", "is_sub")
+        .agg(
+            F.max(F.col("constant") - F.col("value")).alias("less"),
+            F.coalesce(F.sum("value"), F.lit(0.0)).alias("sum"),
+        )
+        .select(
+            *PANEL_KEY,
+            F.col("new_name").alias("var"),
+            F.when(F.col("is_sub"), F.col("less")).otherwise(F.col("sum")).alias("value"),
+        )
     )
-    return panel.unionByName(subtracted).unionByName(added)
+    return panel.unionByName(derived)
 
 
 def share_metrics(

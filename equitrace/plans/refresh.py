@@ -23,6 +23,7 @@ from equitrace.operators import (
     validate,
     weights,
 )
+from equitrace.schemas import ATTRIBUTIONS
 from equitrace.sources.workspace import stage
 from equitrace.spec import RIDGE, RefreshSpec
 
@@ -97,26 +98,28 @@ def weight_rows(modelling: DataFrame, maps: Mappings, spec: RefreshSpec) -> Data
 
 
 def learn_drivers(rows: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataFrame:
-    """Attributions of every configured weights model."""
-    model, parts = spec.weights_model, []
+    """Attributions of every configured weights model.
+
+    The ridge models of all keys are one job. Tree ensembles are fitted once per configured
+    pillar, each fit distributed over the pooled rows; pillars without rows are left out.
+    """
+    model, out = spec.weights_model, [*drivers.MODEL_KEY, "var", "model", "attribution"]
+    parts = [rows.sparkSession.createDataFrame([], ATTRIBUTIONS)]
     if RIDGE in model.run:
         results, _ = drivers.ridge_model(rows, drivers.MODEL_KEY, model, spec)
-        parts.append(results.select(*drivers.MODEL_KEY, "var", "model", "attribution"))
+        parts.append(results.select(*out))
     kinds = [k for k in model.run if k != RIDGE]
     if kinds:
         samples = stage(drivers.learning_rows(rows, drivers.MODEL_KEY, model, spec), "samples")
         names = feature_names(maps.dictionary)
-        for pillar in spec.pillars:
+        filled = {r["pillar"] for r in samples.select("pillar").distinct().collect()}
+        for pillar in [p for p in spec.pillars if p in filled]:
             for kind in kinds:
                 found, _ = forests.tree_model(
-                    samples.where(F.col("pillar") == pillar), names.get(pillar, []), kind, model,
+                    samples.where(F.col("pillar") == pillar), names[pillar], kind, model,
                     ["brand", "category"],
                 )
-                parts.append(
-                    found.withColumn("pillar", F.lit(pillar)).select(
-                        *drivers.MODEL_KEY, "var", "model", "attribution"
-                    )
-                )
+                parts.append(found.withColumn("pillar", F.lit(pillar)).select(*out))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -161,24 +164,27 @@ def score(scaled: DataFrame, sheet: DataFrame, maps: Mappings, spec: RefreshSpec
     return Scores(index, trended, scores.scaled_scores(index, spec.only_pillar_scores))
 
 
-def publish(
-    panel: DataFrame, scored: Scores, sheet: DataFrame, dv: DataFrame, maps: Mappings, spec: RefreshSpec
-) -> dict[str, DataFrame]:
-    """Hub table, scorecard summary, metric map and pillar importance."""
+def publish_summary(panel: DataFrame, scored: Scores, sheet: DataFrame, maps: Mappings) -> dict[str, DataFrame]:
+    """Hub table, scorecard summary and metric map."""
     hub = importance.hub_table(scored.index, sheet, scores.scores_long(scored.scaled))
     raw = panel.select(*PANEL_KEY, "var", F.col("value").alias("metric_raw_value"))
-    results = importance.pillar_importance(scores.trend_features(scored.trended), dv, spec)
-    shares = importance.relative_importance(results, RIDGE)
     return {
         "hub": hub,
         "metric_map": importance.metric_type(importance.metric_map(scored.index, maps.dictionary)),
         "summary": scorecard.scorecard_summary(
             scorecard.scorecard_detail(hub), raw, maps.price_classes, maps.dashboard_names
         ),
-        "importance": scorecard.importance_sheet(shares, maps.price_classes),
     }
 
 
+def publish_importance(scored: Scores, dv: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataFrame:
+    """Relative importance of every pillar per brand and category."""
+    results = importance.pillar_importance(scores.trend_features(scored.trended), dv, spec)
+    return scorecard.importance_sheet(
+        importance.relative_importance(results, RIDGE), maps.price_classes
+    )
+
+
 def compare_scorecards(old: DataFrame, new: DataFrame, spec: RefreshSpec) -> dict[str, DataFrame]:
     """Score moves between two refreshes, their summary, and the brands that are new."""
     compared = validate.score_comparison(old, new)

@@ -28,3 +28,6 @@ FACTOR_FIT = (
     "category string, pillar string, seed int, op string, var string, est_std double, cfi double, "
     "tli double, rmsea double, n_rows bigint, status string"
 )
+ATTRIBUTIONS = (
+    "brand string, category string, pillar string, var string, model string, attribution double"
+)
