@@ -87,7 +87,7 @@ def pillar_importance(features: DataFrame, dv: DataFrame, spec: RefreshSpec) ->
     """Driver model of the dependent variable on pillar trends, for every brand and category."""
     model = spec.importance_model
     chosen = trend_family(features, spec.pillars, model.lags)
-    rows = importance_rows(chosen.join(dv, list(PANEL_KEY), "left"))
+    rows = stats.fill_dv(importance_rows(chosen.join(dv, list(PANEL_KEY), "left")))
     if model.standardize:
         rows = standardise(rows)
     results, _ = drivers.ridge_model(enough_features(rows), SERIES, model, spec)

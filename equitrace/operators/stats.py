@@ -88,26 +88,23 @@ def run_log(rows: DataFrame, spec: RefreshSpec, keys: Sequence[str] = SERIES) ->
     )
 
 
-def _null_stats(rows: DataFrame) -> DataFrame:
-    return with_group_stats(
+def fill_dv(rows: DataFrame, keys: Sequence[str] = (*SERIES, "var")) -> DataFrame:
+    """Missing dependent values become their mean in the series."""
+    filled = with_group_stats(rows, keys, F.avg("dv").alias("_dv"))
+    return filled.withColumn("dv", F.coalesce("dv", "_dv")).select(*rows.columns)
+
+
+def drop_and_fill(rows: DataFrame) -> DataFrame:
+    """Drop metrics of a series with half their values missing, fill the rest with their mean."""
+    counted = with_group_stats(
         rows,
         [*SERIES, "var"],
         F.count("*").alias("n"),
         F.count_if(F.col("value").isNull()).alias("nulls"),
         F.avg("value").alias("mean"),
     )
-
-
-def drop_and_fill(rows: DataFrame, strict: bool = False) -> DataFrame:
-    """Drop metrics of a series with half their values missing, fill the rest with their mean.
-
-    `strict` keeps a metric with exactly half missing.
-    """
-    half = F.col("n") * 0.5
-    kept = F.col("nulls") <= half if strict else F.col("nulls") < half
     return (
-        _null_stats(rows)
-        .where(kept)
+        counted.where(F.col("nulls") < F.col("n") * 0.5)
         .withColumn("value", F.coalesce("value", "mean"))
         .select(*rows.columns)
     )
@@ -286,7 +283,9 @@ def actual_vs_predicted(predictions: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def latest_dv(rows: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.max_by("dv", "date").alias("latest_dv"))
+    """Last known dependent value of a key."""
+    known = rows.where(F.col("dv").isNotNull())
+    return known.groupBy(*keys).agg(F.max_by("dv", "date").alias("latest_dv"))
 
 
 def distinct_rows(rows: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ def prepare_data(
 def weight_rows(modelling: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataFrame:
     """Rows of every weights model: brand level, known pillar, enough data."""
     rows = stats.by_pillar(stats.present_in_pool(modelling), maps.dictionary)
-    rows = stats.drop_and_fill(rows)
+    rows = stats.fill_dv(stats.drop_and_fill(rows))
     if spec.check_expected_sign:
         kept = stats.drop_counter_intuitive(
             stats.dv_correlation(rows), maps.dictionary, spec.counter_intuitive_cutoff
