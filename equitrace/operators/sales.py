@@ -21,16 +21,15 @@ def star_sales(
 ) -> DataFrame:
     """Weekly sums per vendor, brand and category, over one market or over all.
 
-    Distribution is carried as a weighted sum and its weight; the ratio is taken later.
+    Distribution is carried as a weighted sum and its weight; the ratio is taken later. Keys of
+    the dimensions are unique, so without a market filter the fact need not meet the markets.
     """
-    rows = (
-        fact.join(periods, "period_key", "left")
-        .join(markets, "market_key", "left")
-        .join(products, "product_key", "left")
-        .where(F.col("period_weeks") == 1)
-    )
+    weeks = periods.where(F.col("period_weeks") == 1).select("period_key", "week_ending")
+    rows = fact.join(weeks, "period_key")
     if market is not None:
-        rows = rows.where(F.col("market_description") == market)
+        chosen = markets.where(F.col("market_description") == market)
+        rows = rows.join(chosen, "market_key", "left_semi")
+    rows = rows.join(products, "product_key", "left")
     return rows.groupBy("vendor", "brand", "category", F.col("week_ending").alias("date")).agg(
         total("dollars").alias("s_dollars"),
         total("base_dollars").alias("s_base_dollars"),

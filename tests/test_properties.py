@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from equitrace.catalog.inputs import rounded
 from equitrace.operators import importance, prepare, sales, scores, weights
 from equitrace.plans import refresh
 from equitrace.sources import io
@@ -104,3 +105,23 @@ def test_scans_read_only_what_they_need(inputs):
     dated = inputs.panel.where("var = 'search_searchvolume'").select("value")
     plan = dated._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(var), EqualTo(var,search_searchvolume)]" in plan
+
+
+def test_hot_product_and_no_broadcast(spark, inputs):
+    """One product, and so one brand and category, holds a third of the fact; joins must shuffle."""
+    fact, *dims = inputs.star()
+    hot = fact.withColumn("product_key", F.when(F.rand(5) < 0.4, F.lit(1)).otherwise(F.col("product_key")))
+    hot = stage(hot, "hot-fact")
+    assert hot.where("product_key = 1").count() * 3 > hot.count()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plain = rows(rounded(sales.sales_shares(sales.sales_base(hot, *dims, inputs.spec)), 4))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = sales.sales_shares(sales.sales_base(hot, *dims, inputs.spec))
+        shuffled = rows(rounded(df, 4))
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+        panel = prepare.scaled_panel(inputs.panel, inputs.dictionary(), inputs.brand_list(), inputs.spec)
+        assert panel.count() == inputs.scaled.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plain == shuffled
