@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from equitrace import schemas
 from equitrace.functions.exprs import month_start, week_ending, with_suffix
@@ -315,7 +317,7 @@ class Inputs:
         )
         category, var = NOT_SELECTED
         return (
-            self.spark.createDataFrame(rows, schema)
+            self.small(rows, schema)
             .withColumn("category", F.explode(F.array(*[F.lit(c) for c in CATEGORIES])))
             .withColumn(
                 "select_flag",
@@ -333,8 +335,10 @@ class Inputs:
             .distinct()
         )
 
-    def small(self, rows: tuple, schema: str) -> DataFrame:
-        return self.spark.createDataFrame(list(rows), schema)
+    def small(self, rows: Sequence[tuple], schema: str) -> DataFrame:
+        """A table of configured rows; through Arrow it becomes a local relation of known size."""
+        fields = StructType.fromDDL(schema)
+        return self.spark.createDataFrame(pd.DataFrame(rows, columns=fields.names), fields)
 
     def renames(self) -> DataFrame:
         return self.small(RENAMES, schemas.METRIC_RENAME)

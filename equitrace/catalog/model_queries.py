@@ -383,6 +383,31 @@ def m1_moments(i: Inputs) -> DataFrame:
     return factor.sample_moments(rows, ["pillar"], i.spec)
 
 
+@query(
+    "m1_three_metric_factor",
+    sql("pool_rows", "").rstrip()
+    + f"""
+, s as (select * from (select seed, brand, category, date, row_number() over (partition by seed order by
+    md5(concat_ws('~', brand, category, cast(date as varchar), cast(seed as varchar)))) rn,
+    count(*) over (partition by seed) * 95 // 100 n_take
+    from (select distinct brand, category, date from pool_rows where pillar = 'awareness'),
+    (select unnest([2, 3, 5, 7, 11, 13, 17, 19]) seed)) where rn <= n_take),
+  w as (select brand, category, date, max(value) filter (var = 'survey_reach_customers_all') a,
+    max(value) filter (var = 'survey_reach_lines_all') b, max(value) filter (var = 'survey_reach_orders_all') c
+    from pool_rows group by 1, 2, 3),
+  k as (select seed, max(n_take) n_rows, corr(a, b) ab, corr(a, c) ac, corr(b, c) bc
+    from w join s using (brand, category, date) group by 1)
+select seed, var, n_rows, {r("sqrt(case var when 'survey_reach_customers_all' then ab * ac / bc when "
+        "'survey_reach_lines_all' then ab * bc / ac else ac * bc / ab end)", "est_std", 4)}
+from k, (values ('survey_reach_customers_all'), ('survey_reach_lines_all'), ('survey_reach_orders_all')) v(var)""",
+    4,
+)
+def m1_closed(i: Inputs) -> DataFrame:
+    """The awareness pillar has three metrics, for which the loadings have a closed form."""
+    fits = factor.pooled_factors(i.pool_metrics(), replace(i.spec, pooled_pillars=("awareness",)))
+    return fits.select("seed", "var", "n_rows", "est_std")
+
+
 # ridge by Cramer's rule on centred moments, for pillars with up to three metrics
 
 RIDGE_SQL = f"""

@@ -8,7 +8,7 @@ from tools.check_queries import rows_of
 
 # fits in Python workers or pyspark.ml; nothing else may leave the JVM
 PYTHON_QUERIES = {
-    "m1_pooled_factors", "m2_category_factors", "m4_positive_ridge", "m4_ridge_coefficients",
+    "m1_pooled_factors", "m1_three_metric_factor", "m2_category_factors", "m4_positive_ridge", "m4_ridge_coefficients",
     "m7_linear_attribution", "m8_selection_table", "m9_result_rows", "e4_learn",
 }
 MAY_BE_EMPTY = {"t17_select_by_correlation", "v15_added_brands", "v9_deviations"}
