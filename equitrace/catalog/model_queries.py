@@ -472,6 +472,15 @@ def m4_positive(i: Inputs) -> DataFrame:
     return drivers.ridge_coefficients(i.model_rows, drivers.MODEL_KEY, model.alphas, positive=True)
 
 
+@query("m4_correlation_selected_ridge")
+def m4_selected(i: Inputs) -> DataFrame:
+    """Ridge on the metrics that correlate with the sales share beyond the cut-off."""
+    model = replace(i.spec.weights_model, selection="correlation")
+    spec = replace(i.spec, weights_model=model, correlation_cutoff=0.1)
+    rows = stats.eligible(i.brand_rows(), spec, drivers.MODEL_KEY)
+    return refresh.learn_drivers(rows, i.maps(), spec)
+
+
 # small grids: a fit costs about a second whatever the size of this test data
 TREES = ModelSpec(
     folds=2,

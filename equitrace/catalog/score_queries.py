@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -328,7 +329,17 @@ def i4_standard(i: Inputs) -> DataFrame:
 
 @query("i5_pillar_importance")
 def i5(i: Inputs) -> DataFrame:
-    return importance.pillar_importance(scores.trend_features(i.trended()), i.dv, i.spec)
+    return importance.pillar_importance(
+        scores.trend_features(i.trended()), i.sales(), i.parents(), i.spec
+    )
+
+
+@query("i5_importance_with_price")
+def i5_price(i: Inputs) -> DataFrame:
+    """Brands in sub-categories, whose sales lie in the parent, with price, distribution and lags."""
+    model = replace(i.spec.importance_model, price_and_distribution=True, lags=True)
+    spec = replace(i.spec, importance_model=model)
+    return importance.pillar_importance(moved_features(i), i.sales(), i.parents(), spec)
 
 
 def trend_results(i: Inputs) -> DataFrame:
@@ -582,7 +593,7 @@ def e6(i: Inputs) -> DataFrame:
 @query("e6_published_importance")
 def e6_importance(i: Inputs) -> DataFrame:
     scored = refresh.score(i.scaled, i.sheet, i.maps(), i.spec)
-    return refresh.publish_importance(scored, i.dv, i.maps(), i.spec)
+    return refresh.publish_importance(scored, i.sales(), i.maps(), i.spec)
 
 
 OLD_CARD = """select brand, category, date, equity_pillar, scaled_scores *

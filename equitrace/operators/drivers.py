@@ -57,8 +57,8 @@ def solve_ridge(gram: np.ndarray, cross: np.ndarray, alpha: float, positive: boo
 
 
 def _ridge_of_key(pdf: pd.DataFrame, keys: Sequence[str], alphas: Sequence[float], positive: bool):
-    x = pdf.pivot(index="date", columns="var", values="value").sort_index()
-    rows = pdf.drop_duplicates("date").set_index("date").sort_index()
+    x = pdf.pivot(index="date", columns="var", values="value").dropna().sort_index()
+    rows = pdf.drop_duplicates("date").set_index("date").loc[x.index]
     y, fold = rows["dv"].to_numpy(float), rows["fold"].to_numpy(int)
     xs, names = x.to_numpy(float), list(x.columns)
     out = []

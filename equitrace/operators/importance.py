@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from equitrace.functions.exprs import ratio, without_suffix
 from equitrace.functions.grouping import PANEL_KEY, SERIES, one_per_key, with_group_stats
 from equitrace.operators import drivers, stats
+from equitrace.operators.scores import add_lags
 from equitrace.spec import METRIC_TYPES, PILLAR_SUFFIX, RefreshSpec
 
 
+PRICE_FEATURES = ("average_price", "acv_selling")
+
+
 def parent_category(rows: DataFrame, parents: DataFrame) -> DataFrame:
     """Sales category of a row; the original stays as `category_new`."""
     names = one_per_key(parents.select("category_new", F.col("category").alias("parent")), ["category_new"])
@@ -83,11 +87,30 @@ def enough_features(rows: DataFrame, least: int = 3) -> DataFrame:
     )
 
 
-def pillar_importance(features: DataFrame, dv: DataFrame, spec: RefreshSpec) -> DataFrame:
-    """Driver model of the dependent variable on pillar trends, for every brand and category."""
+def price_and_distribution(keys: DataFrame, sales: DataFrame) -> DataFrame:
+    """Price and distribution as further features of the same rows; null where nothing was sold."""
+    priced = join_sales(keys, sales.select(*PANEL_KEY, *PRICE_FEATURES))
+    return priced.unpivot(keys.columns, list(PRICE_FEATURES), "var", "value")
+
+
+def pillar_importance(
+    features: DataFrame, sales: DataFrame, parents: DataFrame, spec: RefreshSpec
+) -> DataFrame:
+    """Driver model of the dependent variable on pillar trends, for every brand and category.
+
+    Sales are those of the parent category; results carry the row's own category.
+    """
     model = spec.importance_model
-    chosen = trend_family(features, spec.pillars, model.lags)
-    rows = stats.fill_dv(importance_rows(chosen.join(dv, list(PANEL_KEY), "left")))
+    chosen = trend_family(add_lags(features) if model.lags else features, spec.pillars, model.lags)
+    dv = sales.select(*PANEL_KEY, F.col(spec.dv).alias("dv"))
+    rows = parent_category(chosen, parents)
+    if model.price_and_distribution:
+        keys = rows.select("brand", "category_new", "category", "date").distinct()
+        rows = rows.unionByName(price_and_distribution(keys, sales))
+    rows = (
+        join_sales(rows, dv).drop("category").withColumnRenamed("category_new", "category")
+    )
+    rows = stats.fill_dv(importance_rows(rows))
     if model.standardize:
         rows = standardise(rows)
     results, _ = drivers.ridge_model(enough_features(rows), SERIES, model, spec)

@@ -68,7 +68,8 @@ def eligibility(rows: DataFrame, spec: RefreshSpec, keys: Sequence[str] = SERIES
         F.sum("dv").alias("dv_sum"),
     )
     status = (
-        F.when(F.coalesce("dv_sum", F.lit(0.0)) <= 0, "no sales")
+        F.when(F.col("category").isin(*spec.excluded_categories), "excluded category")
+        .when(F.coalesce("dv_sum", F.lit(0.0)) <= 0, "no sales")
         .when(F.col("n_rows") <= spec.min_rows, "too few rows")
         .when(F.col("n_metrics") < 2, "too few metrics")
         .otherwise("ok")

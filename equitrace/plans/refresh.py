@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -25,7 +25,7 @@ from equitrace.operators import (
 )
 from equitrace.schemas import ATTRIBUTIONS
 from equitrace.sources.workspace import stage
-from equitrace.spec import RIDGE, RefreshSpec
+from equitrace.spec import FOREST, RIDGE, RefreshSpec
 
 
 @dataclass(frozen=True)
@@ -87,7 +87,8 @@ def prepare_data(
 
 def weight_rows(modelling: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataFrame:
     """Rows of every weights model: brand level, known pillar, enough data."""
-    rows = stats.by_pillar(stats.present_in_pool(modelling), maps.dictionary)
+    rows = stats.by_pillar(stats.present_in_pool(modelling), maps.dictionary, spec.forced_metrics)
+    rows = stats.without_pattern(rows, *spec.dropped_patterns)
     rows = stats.fill_dv(stats.drop_and_fill(rows))
     if spec.check_expected_sign:
         kept = stats.drop_counter_intuitive(
@@ -97,6 +98,23 @@ def weight_rows(modelling: DataFrame, maps: Mappings, spec: RefreshSpec) -> Data
     return stats.eligible(rows, spec, drivers.MODEL_KEY)
 
 
+def select_features(rows: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataFrame:
+    """Metrics that enter the ridge model: all, those correlated with the DV, or a forest's best."""
+    choice, key = spec.weights_model.selection, [*drivers.MODEL_KEY, "var"]
+    if choice == "all":
+        return rows
+    if choice == "correlation":
+        found = stats.dv_correlation(rows, drivers.MODEL_KEY)
+        kept = stats.select_by_correlation(found, spec.correlation_cutoff)
+    elif choice == "forest":
+        forest_only = replace(spec, weights_model=replace(spec.weights_model, run=(FOREST,)))
+        found = learn_drivers(rows, maps, forest_only)
+        kept = stats.top_features(found, drivers.MODEL_KEY, spec.top_features, "attribution")
+    else:
+        raise ValueError(f"unknown selection {choice!r}")
+    return rows.join(kept.select(*key), key, "left_semi")
+
+
 def learn_drivers(rows: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataFrame:
     """Attributions of every configured weights model.
 
@@ -106,7 +124,8 @@ def learn_drivers(rows: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataFra
     model, out = spec.weights_model, [*drivers.MODEL_KEY, "var", "model", "attribution"]
     parts = [rows.sparkSession.createDataFrame([], ATTRIBUTIONS)]
     if RIDGE in model.run:
-        results, _ = drivers.ridge_model(rows, drivers.MODEL_KEY, model, spec)
+        chosen = select_features(rows, maps, spec)
+        results, _ = drivers.ridge_model(chosen, drivers.MODEL_KEY, model, spec)
         parts.append(results.select(*out))
     kinds = [k for k in model.run if k != RIDGE]
     if kinds:
@@ -177,9 +196,10 @@ def publish_summary(panel: DataFrame, scored: Scores, sheet: DataFrame, maps: Ma
     }
 
 
-def publish_importance(scored: Scores, dv: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataFrame:
+def publish_importance(scored: Scores, sales_panel: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataFrame:
     """Relative importance of every pillar per brand and category."""
-    results = importance.pillar_importance(scores.trend_features(scored.trended), dv, spec)
+    features = scores.trend_features(scored.trended)
+    results = importance.pillar_importance(features, sales_panel, maps.category_parents, spec)
     return scorecard.importance_sheet(
         importance.relative_importance(results, RIDGE), maps.price_classes
     )

@@ -81,6 +81,7 @@ class ModelSpec:
     lags: bool = False
     price_and_distribution: bool = False
     standardize: bool = False
+    selection: str = "all"
     forest: TreeGrid = TreeGrid((2, 3, 4), (15, 50, 100, 300, 500), (2, 4, 10))
     boosted: TreeGrid = TreeGrid((2, 3), (100, 500, 1000, 1500), (), (0.01, 0.02))
 
@@ -112,6 +113,9 @@ class RefreshSpec:
     weight_by_dv: bool = True
     dv_lookback_months: int = 12
     min_rows: int = 20
+    excluded_categories: tuple[str, ...] = ("CORPORATE",)
+    dropped_patterns: tuple[str, ...] = ()
+    forced_metrics: tuple[str, ...] = ()
     train_rows: int = 42
     holdout_rows: int = 6
     holdout_seed: int = 2

@@ -147,3 +147,16 @@ def test_hot_group_statistics(spark):
     rows = spark.range(3000).select(F.when(F.col("id") < 2000, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     got = with_group_stats(rows, ["k"], F.count("*").alias("n"))
     assert got.count() == 3000 and got.where("k = 'hot'").first()["n"] == 2000
+
+
+def test_feature_selection_keeps_the_best(spark, inputs):
+    from dataclasses import replace
+
+    from equitrace.plans import refresh
+
+    model = ModelSpec(selection="forest", folds=2, forest=TreeGrid((2,), (5,), (2,)))
+    spec = replace(inputs.spec, weights_model=model, top_features=2)
+    rows = refresh.weight_rows(inputs.modelling(), inputs.maps(), spec).where("pillar = 'loyalty'")
+    kept = refresh.select_features(rows, inputs.maps(), spec)
+    per_key = kept.select("brand", "category", "pillar", "var").distinct().groupBy("brand", "category").count()
+    assert per_key.where("count > 2").count() == 0 and per_key.count() > 0
