@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; one of our own only where unset."""
+    """The folder the cluster names in spark.checkpoint.dir.
+
+    Where that is unset, a local session takes a folder in its warehouse; on a cluster a folder that
+    only one machine sees would lose rows, so the job stops instead.
+    """
     base = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not base:
-        base = tempfile.mkdtemp(prefix="equitrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
     return base.rstrip("/")
 
 
