@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equitrace.llm import chat, dedup, mixing, order, sharding, simhash
-from equitrace.llm.text import text_of
+from equitrace.llm.text import text_of, word_count
 from equitrace.sources.workspace import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,9 +50,8 @@ def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
-def _digest_parts(text):
+def _digest_parts(digest: str):
     """A SHA-256 digest as four numbers, which aggregates carry without strings."""
-    digest = F.sha2(F.encode(text, "UTF-8"), 256)
     return [F.conv(F.substring(digest, 1 + 16 * k, 16), 16, -10).cast("long").alias(f"d{k}") for k in range(4)]
 
 
@@ -68,18 +67,24 @@ def fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = docs.join(heads, "doc_id").withColumn(
         "edited", F.concat(F.left("text", (F.col("n_chars") - F.col("cut")).cast("int")), "head")
     )
-    both = both.select("doc_id", "n_chars", "next_doc_id", "text", "edited", *_digest_parts(F.col("edited")))
-    bodies = F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("text").alias("body")),
-        F.struct(F.lit(1).alias("kind"), F.col("edited").alias("body")),
-    )
+    # shingles that end before the last word of the kept part are the same in both texts
+    kept_words = word_count(F.left("text", (F.col("n_chars") - F.col("cut")).cast("int"))).cast("int")
+    both = both.withColumn("digest", F.sha2(F.encode("edited", "UTF-8"), 256))
+    both = both.select(
+        "doc_id", "n_chars", "next_doc_id", "text", "edited", *_digest_parts("digest"),
+        F.greatest(F.lit(0), kept_words - simhash.SHINGLE).alias("shared"),
+    )
     carry = ("n_chars", "next_doc_id", "d0", "d1", "d2", "d3")
-    versions = both.select("doc_id", *carry, F.inline(bodies))
-    prints = simhash.fingerprints(versions, ["doc_id", "kind"], F.col("body"), carry)
-    prints = prints.groupBy("doc_id").agg(
-        *[F.max(c).alias(c) for c in carry],
-        F.max(F.when(F.col("kind") == 0, F.col("fingerprint"))).alias("own"),
-        F.max(F.when(F.col("kind") == 1, F.col("fingerprint"))).alias("edited"),
+    both = simhash.with_terms(simhash.with_terms(both, "text", "own"), "edited", "tail", "shared")
+    kinds = F.array(
+        F.struct(F.lit(0).alias("kind"), F.slice("own", F.lit(1), F.col("shared")).alias("terms")),
+        F.struct(F.lit(1).alias("kind"), F.slice("own", F.col("shared") + 1, F.size("own")).alias("terms")),
+        F.struct(F.lit(2).alias("kind"), F.col("tail").alias("terms")),
+    )
+    versions = both.select("doc_id", *carry, F.inline(kinds))
+    votes = simhash.count_votes(versions, ["doc_id", "kind"], "terms", carry)
+    prints = simhash.fingerprints(
+        votes, ["doc_id"], {"own": "kind <= 1", "edited": "kind <> 1"}, carry
     )
     prints = stage(prints, "simhash")
     following = prints.select(F.col("doc_id").alias("next_doc_id"), F.col("own").alias("following"))

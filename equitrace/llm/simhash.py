@@ -1,10 +1,11 @@
 """SimHash fingerprints and the search for all fingerprints within a Hamming radius.
 
-The terms of a text are its distinct five-word shingles and a term weighs as often as it occurs; a text
-of one to four words has its whole word sequence as its one term. Each term's 64-bit hash votes +weight
-or -weight on every bit; a bit is set where the votes are above 0. A null text is empty; a text without
-words has no votes and the fingerprint 0. Equal texts have equal fingerprints. Rows that share their key
-are one text list and vote together; an empty table gives an empty result.
+The terms of a text are its five-word shingles, and a term weighs as often as it occurs; a text of one to
+four words has its whole word sequence as its one term. Each term's 64-bit hash votes +weight or -weight
+on every bit; a bit is set where the votes are above 0. A null text is empty; a text without words has
+no votes and the fingerprint 0. Equal texts have equal fingerprints. Rows that share all keys are one
+list of terms and vote together. A very long text is a longer array in its own row; nothing is cut. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,50 +21,66 @@ SHINGLE = 5
 BITS = 64
 #: bits apart at which fingerprints count as near
 RADIUS = 3
-#: a vote counter's width: two share a long, so a text may have two thousand million words
-LANE = 32
-LANES = BITS // LANE
+#: vote counters are bytes, eight to a long; chunks of so many terms fill at most seven of a byte's bits
+CHUNK = 127
+LANES = 8
 
 
-def _votes(term: Column) -> list[Column]:
-    """The 64 bits of a hash dealt out over counters: sum j counts bits j and j + 32."""
-    mask = F.lit(sum(1 << (LANE * k) for k in range(LANES)))
-    return [F.shiftrightunsigned(term, j).bitwiseAND(mask) for j in range(LANE)]
+def with_terms(docs: DataFrame, body: str, terms: str, first: str | None = None) -> DataFrame:
+    """Adds the shingle hashes of a text column, those from number `first` (a column) on where it is given.
 
-
-def term_rows(docs: DataFrame, keys: list[str], body: Column) -> DataFrame:
-    """keys and one hash a row for each shingle occurrence; whole short texts give one, empty ones a null."""
-    hashed = docs.select(*keys, F.transform(words(body), lambda w: F.xxhash64(w)).alias("h"))
-    last = F.greatest(F.size("h") - (SHINGLE - 1), F.least(F.size("h"), F.lit(1)))
-    shifted = [F.slice("h", F.lit(1 + k), last) for k in range(SHINGLE)]
-    windows = F.arrays_zip(*[c.alias(f"w{k}") for k, c in enumerate(shifted)])
-    names = [f"w{k}" for k in range(SHINGLE)]
-    term = F.when(F.col("w0").isNotNull(), F.xxhash64(*names))
-    return hashed.select(*keys, F.inline_outer(windows).alias(*names)).select(*keys, term.alias("term"))
+    Each step is a column of its own, so that no lambda computes an array anew for each of its elements.
+    """
+    hashes, count = f"{terms}_words", f"{terms}_count"
+    docs = docs.withColumn(hashes, F.transform(words(F.col(body)), lambda w: F.xxhash64(w)))
+    docs = docs.withColumn(count, F.greatest(F.size(hashes) - (SHINGLE - 1), F.least(F.size(hashes), F.lit(1))))
+    start = F.lit(0) if first is None else F.col(first)
+    starts = F.when(F.col(count) > start, F.sequence(start, F.col(count) - 1)).otherwise(F.array().cast("array<int>"))
+    return docs.withColumn(
+        terms, F.transform(starts, lambda i: F.xxhash64(*[F.get(F.col(hashes), i + k) for k in range(SHINGLE)]))
+    ).drop(hashes, count)
 
 
-def fingerprints(docs: DataFrame, keys: list[str], body: Column, carry: tuple[str, ...] = ()) -> DataFrame:
-    """keys, fingerprint (long) and the carried numbers, which must depend on the keys alone.
+def count_votes(docs: DataFrame, keys: list[str], terms: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """keys, chunk, n, v0 .. v7 and the largest of each carried number: votes of each chunk of terms.
 
-    Votes are sums of packed counters, so a text's terms combine where they arise and each key sends
-    one short row a task to its group.
+    Counter v_j holds in its bytes how many terms set bits j, j + 8, ... j + 56. Terms are exploded and
+    summed inside generated code and combine where they arise; a row without terms keeps one row.
     """
-    terms = term_rows(docs, [*keys, *carry], body)
-    packed = terms.groupBy(*keys).agg(
-        F.count("term").alias("n"),
-        *[F.max(c).alias(c) for c in carry],
-        *[F.sum(v).alias(f"v{j}") for j, v in enumerate(_votes(F.col("term")))],
-    )
-    low = F.lit((1 << LANE) - 1)
+    mask = F.lit(sum(1 << (8 * k) for k in range(8)))
+    rows = docs.select(*keys, *carry, F.posexplode_outer(terms).alias("at", "term"))
+    chunk = F.floor(F.coalesce("at", F.lit(0)) / CHUNK).cast("int").alias("chunk")
+    votes = [F.sum(F.shiftrightunsigned("term", j).bitwiseAND(mask)).alias(f"v{j}") for j in range(LANES)]
+    return rows.groupBy(*keys, chunk).agg(F.count("term").alias("n"), *[F.max(c).alias(c) for c in carry], *votes)
+
+
+def _majority(name: str) -> str:
+    """Bits that more than half of the terms set; sum j, l holds those of bits j + 8 l and j + 8 l + 32."""
     halves = []
-    for k in range(LANES):
-        half = F.lit(0).cast("long")
-        for j in range(LANE):
-            count = F.shiftrightunsigned(F.col(f"v{j}"), LANE * k).bitwiseAND(low)
-            half = half + F.when(count * 2 > F.col("n"), F.lit(1 << j).cast("long")).otherwise(F.lit(0).cast("long"))
-        halves.append(half)
-    parts = packed.select(*keys, *carry, halves[0].alias("low"), halves[1].alias("high"))
-    return parts.select(*keys, *carry, F.shiftleft("high", LANE).bitwiseOR(F.col("low")).alias("fingerprint"))
+    for shift in (0, 32):
+        count = f"(shiftrightunsigned({name}_%d, {shift}) & 2147483647L)"
+        halves.append(" + ".join(f"if(2 * {count % b} > {name}_n, {1 << b}L, 0L)" for b in range(BITS // 2)))
+    return f"shiftleft({halves[1]}, 32) | ({halves[0]})"
+
+
+def fingerprints(
+    votes: DataFrame, keys: list[str], parts: dict[str, str] | None = None, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """keys, carried numbers and fingerprints (long): one over all vote rows, or one for each named part.
+
+    A part is a condition on the keys of the votes. The sums are written as SQL text: that many column
+    objects take seconds to build.
+    """
+    parts = parts or {"fingerprint": "true"}
+    pair = (255 << 32) | 255
+    sums = []
+    for name, member in parts.items():
+        sums.append(f"sum(if({member}, n, 0L)) as {name}_n")
+        for b in range(BITS // 2):
+            both = f"shiftrightunsigned(v{b % LANES}, {8 * (b // LANES)}) & {pair}L"
+            sums.append(f"coalesce(sum(if({member}, {both}, 0L)), 0L) as {name}_{b}")
+    grouped = votes.groupBy(*keys).agg(*[F.max(c).alias(c) for c in carry], *[F.expr(s) for s in sums])
+    return grouped.select(*keys, *carry, *[F.expr(f"{_majority(name)} as {name}") for name in parts])
 
 
 def distance(a: Column, b: Column) -> Column:
