@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equitrace.llm import chat, dedup, mixing, order, sharding, simhash
+from equitrace.llm import bpe, chat, dedup, mixing, order, sharding, simhash, token_counts
 from equitrace.llm.text import text_of, word_count
 from equitrace.sources.workspace import stage
 
@@ -212,3 +213,20 @@ def format_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode("loss", "UTF-8"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+#: files whose ids the token queries must give
+WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+TOKEN_LIMIT = 512
+
+
+@query("op8_bpe_encode_decode")
+def encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
+@query("op10_token_counts")
+def count_document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), TOKEN_LIMIT
+    )
