@@ -160,7 +160,7 @@ def encode_texts(
 
         return handle
 
-    return map_texts(docs, id_col, text_col, make, "n_tokens bigint, ids array<int>, decoded string")
+    return map_texts(docs, [id_col], text_col, make, "n_tokens bigint, ids array<int>, decoded string")
 
 
 def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,4 +178,4 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
         return handle
 
-    return map_texts(docs, id_col, text_col, make, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return map_texts(docs, [id_col], text_col, make, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equitrace.llm import bpe, chat, dedup, mixing, order, sharding, simhash, token_counts
+from equitrace.llm import bpe, chat, dedup, mixing, order, sharding, simhash, token_counts, toxicity
 from equitrace.llm.text import text_of, word_count
 from equitrace.sources.workspace import stage
 
@@ -230,3 +230,16 @@ def count_document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), TOKEN_LIMIT
     )
+
+
+@query("op7_toxicity")
+def score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model, ["doc_id"])
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )

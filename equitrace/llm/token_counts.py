@@ -223,5 +223,5 @@ def token_counts(
         return handle
 
     return map_texts(
-        docs, id_col, text_col, make, "n_bytes bigint, n_tokens bigint, over_limit boolean, limit_chars bigint"
+        docs, [id_col], text_col, make, "n_bytes bigint, n_tokens bigint, over_limit boolean, limit_chars bigint"
     )

@@ -9,6 +9,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: words whose tokens a Python worker keeps; beyond, it starts again from those of the batch at hand
 CACHE_WORDS = 250_000
@@ -40,26 +41,29 @@ def file_broadcast(spark: SparkSession, path: str):
 
 
 def map_texts(
-    docs: DataFrame, id_col: str, text_col: str, make: Callable[[], Callable[[list[str]], list[tuple]]], schema: str
+    docs: DataFrame, keep: list[str], text_col: str, make: Callable[[], Callable[[list[str]], list[tuple]]], schema: str
 ) -> DataFrame:
-    """id and the columns that a per-slice function returns for each text; null texts are empty.
+    """The kept columns and those that a per-slice function returns for each text; null texts are empty.
 
     Rows stay in their partition and arrive in Arrow batches; `make` builds the function once a task.
     """
-    names = [part.split()[0] for part in schema.split(",")]
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    added = StructType.fromDDL(schema).fields
+    text = F.col(f"`{text_col}`").cast("string")
+    kept = [docs.schema[c] for c in keep]
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text_col in keep else [text]))
+    at = keep.index(text_col) if text_col in keep else len(keep)
+    names = [f.name for f in [*kept, *added]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         handle = make()
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
-                out = list(zip(*handle(part.column(1).to_pylist()), strict=True))
-                yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, out)], names=["id", *names])
+                out = zip(*handle([t or "" for t in part.column(at).to_pylist()]), strict=True)
+                columns = [part.column(k) for k in range(len(keep))]
+                yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, out)], names=names)
 
-    out = rows.mapInArrow(run, f"id {kind}, {schema}")
-    return out.select(F.col("id").alias(id_col), *names)
+    return rows.mapInArrow(run, StructType([*kept, *added]))
 
 
 class WordCache(dict):
