@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equitrace.llm import bpe, chat, dedup, mixing, order, sharding, simhash, token_counts, toxicity
+from equitrace.llm import bpe, chat, dedup, jaccard, mixing, order, sharding, simhash, token_counts, toxicity
 from equitrace.llm.text import text_of, word_count
 from equitrace.sources.workspace import stage
 
@@ -62,12 +62,15 @@ def fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", text_of().alias("text"))
     sizes = docs.select("doc_id", F.char_length("text").cast("long").alias("n_chars"))
     ring = order.next_below(sizes, "doc_id", ["n_chars"])
-    ring = ring.select("doc_id", "n_chars", "next_doc_id", F.floor(F.col("n_chars") / 3).cast("int").alias("cut"))
-    heads = docs.select(F.col("doc_id").alias("next_doc_id"), "text").join(ring, "next_doc_id")
-    heads = heads.select("doc_id", "n_chars", "next_doc_id", "cut", F.left("text", F.col("cut")).alias("head"))
-    both = docs.join(heads, "doc_id").withColumn(
+    cut = F.floor(F.col("n_chars") / 3).cast("int").alias("cut")
+    ring = ring.select(F.col("doc_id").alias("owner"), "n_chars", "next_doc_id", cut)
+    # both joins read the texts by the same exchange
+    heads = docs.join(ring, docs["doc_id"] == ring["next_doc_id"])
+    heads = heads.select("owner", "n_chars", "next_doc_id", "cut", F.left("text", F.col("cut")).alias("head"))
+    both = docs.join(heads, docs["doc_id"] == heads["owner"]).withColumn(
         "edited", F.concat(F.left("text", (F.col("n_chars") - F.col("cut")).cast("int")), "head")
     )
+    both = both.withColumn("digest", F.sha2(F.encode("edited", "UTF-8"), 256))
     # shingles that end before the last word of the kept part are the same in both texts
     kept_words = word_count(F.left("text", (F.col("n_chars") - F.col("cut")).cast("int"))).cast("int")
     both = both.withColumn("digest", F.sha2(F.encode("edited", "UTF-8"), 256))
@@ -243,3 +246,12 @@ def score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+#: three-word shingles, similar at 90 of 100
+NEAR_RULE = jaccard.Rule(3, 90, 100)
+
+
+@query("op4_ngram_jaccard_join")
+def near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_components(table(spark, sf_dir, "documents"), NEAR_RULE)

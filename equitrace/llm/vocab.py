@@ -9,6 +9,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: words whose tokens a Python worker keeps; beyond, it starts again from those of the batch at hand
@@ -52,7 +53,9 @@ def map_texts(
     kept = [docs.schema[c] for c in keep]
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text_col in keep else [text]))
     at = keep.index(text_col) if text_col in keep else len(keep)
-    names = [f.name for f in [*kept, *added]]
+    schema_out = StructType([*kept, *added])
+    arrow = to_arrow_schema(schema_out)
+    kinds = arrow.types[len(kept) :]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         handle = make()
@@ -61,9 +64,10 @@ def map_texts(
                 part = batch.slice(start, SLICE_ROWS)
                 out = zip(*handle([t or "" for t in part.column(at).to_pylist()]), strict=True)
                 columns = [part.column(k) for k in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, out)], names=names)
+                columns += [pa.array(list(c), type=k) for c, k in zip(out, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=arrow.names)
 
-    return rows.mapInArrow(run, StructType([*kept, *added]))
+    return rows.mapInArrow(run, schema_out)
 
 
 class WordCache(dict):
