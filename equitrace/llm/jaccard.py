@@ -126,8 +126,8 @@ def _whole_sets(rows: DataFrame, rule: Rule) -> DataFrame:
     return _map_sets(rows, rule.words, "n int, items array<bigint>", lambda items: (len(items), items.tolist()))
 
 
-def _index(nodes: DataFrame, texts: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
-    """(key, node, n): the index entries that may be shared; and the whole sets of all nodes that have one."""
+def _index(nodes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """(key, node, n, members): the index entries that several nodes have."""
     tokens = nodes.select("node", "n", F.posexplode("head").alias("pos", "token"))
     counts = stage(tokens.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1"), "jaccard-counts")
     shared = stage(tokens.join(counts, "token"), "jaccard-shared")
@@ -152,10 +152,7 @@ def _index(nodes: DataFrame, texts: DataFrame, rule: Rule) -> tuple[DataFrame, D
     late = in_prefix(tokens.join(stage(beyond, "jaccard-beyond"), "token", "left_semi"))
     entries = stage(rare.unionByName(late).unionByName(opened.select("key", "node", "n")).distinct(), "jaccard-entries")
     sizes = entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    groups = stage(entries.join(sizes, "key"), "jaccard-groups")
-    busy = groups.select("node").distinct()
-    sets = _whole_sets(texts.join(busy, texts["id"] == busy["node"], "left_semi"), rule)
-    return groups, stage(sets.withColumnRenamed("id", "node"), "jaccard-sets")
+    return stage(entries.join(sizes, "key"), "jaccard-groups")
 
 
 def _entries(sets: DataFrame, frequent: DataFrame, rule: Rule) -> DataFrame:
@@ -206,12 +203,16 @@ def _crossing(groups: DataFrame, rule: Rule) -> DataFrame:
     return pairs.select("a", "b").distinct()
 
 
-def _link_nodes(groups: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """(node, label) of all nodes that have a link."""
     small = groups.where(F.col("members") <= FREQUENT).withColumn("label", F.col("node"))
-    links = stage(_verified(_crossing(small, rule), sets, rule), "jaccard-links")
-    labels = stage(connected_components(links), "jaccard-labels")
     large = groups.where(F.col("members") > FREQUENT).select("key", "node", "n")
+    pairs = stage(_crossing(small, rule), "jaccard-pairs")
+    busy = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
+    sets = _whole_sets(texts.join(busy, texts["id"] == busy["node"], "left_semi"), rule)
+    sets = stage(sets.withColumnRenamed("id", "node"), "jaccard-sets")
+    links = stage(_verified(pairs, sets, rule), "jaccard-links")
+    labels = stage(connected_components(links), "jaccard-labels")
     if large.isEmpty():
         return labels
 
@@ -255,8 +256,8 @@ def near_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     heads = stage(_heads(texts, rule), "jaccard-sets")
     nodes = heads.where("n > 0").groupBy("digest", "n").agg(F.min("id").alias("node"), F.first("head").alias("head"))
     nodes = stage(nodes, "jaccard-nodes")
-    groups, sets = _index(nodes.select("node", "n", "head"), texts, rule)
-    labels = _link_nodes(groups, sets, rule)
+    groups = _index(nodes.select("node", "n", "head"), texts, rule)
+    labels = _link_nodes(groups, texts, rule)
     named = nodes.select("digest", "n", "node").join(labels, "node", "left")
     named = named.select("digest", "n", F.coalesce("label", "node").alias("component_id"))
     out = heads.select("id", "n", "digest").join(named, ["digest", "n"], "left")

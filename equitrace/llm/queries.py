@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equitrace.llm import bpe, chat, dedup, jaccard, mixing, order, sharding, simhash, token_counts, toxicity
+from equitrace.llm import bpe, chat, dedup, jaccard, licenses, mixing, order, sharding, simhash, token_counts, toxicity
 from equitrace.llm.text import text_of, word_count
 from equitrace.sources.workspace import stage
 
@@ -255,3 +255,50 @@ NEAR_RULE = jaccard.Rule(3, 90, 100)
 @query("op4_ngram_jaccard_join")
 def near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_components(table(spark, sf_dir, "documents"), NEAR_RULE)
+
+
+_TEMPLATE_ROWS = ", ".join(
+    f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES)
+)
+_WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+')"
+LICENCE_SQL = f"""
+with files as (
+  select doc_id, coalesce(text, '') as text, coalesce(source, '') || '/' || coalesce(lang, '') as dir from documents),
+templates(template, licence, text) as (values {_TEMPLATE_ROWS}),
+tt as (select template, licence, word, count(*) as tf
+  from (select template, licence, unnest({_WORDS.format('text')}) as word from templates) group by 1, 2, 3),
+n as (select count(*) as n from files),
+df as (select word, count(*) as df from (select unnest(list_distinct({_WORDS.format('text')})) as word from files)
+  where word in (select word from tt) group by 1),
+idf as (select v.word, ln((n + 1.0) / (coalesce(df, 0) + 1)) + 1 as idf
+  from (select distinct word from tt) v left join df using (word), n),
+tw as (select template, licence, word, tf * idf as weight, sqrt(sum(tf * idf * tf * idf) over (partition by template)) as norm
+  from tt join idf using (word)),
+bodies as (select doc_id, unnest([text] || string_split(text, chr(10)) || regexp_split_to_array(text, '\n[ \t\r]*\n')) as body,
+  generate_subscripts([text] || string_split(text, chr(10)) || regexp_split_to_array(text, '\n[ \t\r]*\n'), 1) - 1 as unit
+  from files),
+tf as (select doc_id, unit, word, count(*) as tf
+  from (select doc_id, unit, unnest({_WORDS.format('body')}) as word from bodies) group by 1, 2, 3),
+weighted as (select doc_id, unit, t.word, t.tf * coalesce(idf, 1.0 + ln(n + 1.0)) as w from tf t left join idf using (word), n),
+lengths as (select doc_id, unit, sqrt(sum(w * w)) as length from weighted group by 1, 2),
+scores as (select doc_id, unit, licence, template, round(sum(w * weight) / (any_value(length) * any_value(norm)), 6) as score
+  from weighted join tw using (word) join lengths using (doc_id, unit) group by 1, 2, 3, 4),
+good as (select * from scores where score >= {licenses.LIMIT}),
+own as (select doc_id, min(licence) as licence, any_value(score) as score, bool_or(whole) as whole
+  from (select *, rank() over (partition by doc_id order by score desc) as r,
+    bool_or(unit = 0) over (partition by doc_id) as whole from good) where r = 1 group by 1),
+givers as (select dir, licence, score from own join files using (doc_id) where whole),
+giving as (select dir, min(licence) as given
+  from (select *, rank() over (partition by dir order by score desc) as r from givers) where r = 1 group by 1)
+select doc_id, coalesce(licence, given) as licence,
+  case when licence is not null then 'own' when given is not null then 'inherited' else 'none' end as origin, score
+from files left join own using (doc_id) left join giving using (dir)
+"""
+
+
+@query("op5_license_scan", LICENCE_SQL)
+def license_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree source/lang/doc_id."""
+    parts = [F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string")]
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan_licences(docs, licenses.template_table(spark), "doc_id", F.concat_ws("/", *parts))
