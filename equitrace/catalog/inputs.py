@@ -40,6 +40,7 @@ METRICS = (
     ("panel_status_share_all", "loyalty", "Y", 0.0, 1.0, "P"),
     ("panel_order_value_mean", "loyalty", "Y", 0.0, 400000.0, "N"),
     ("directions_kept_share_all", "advocacy", "Y", 0.0, 1.0, "P"),
+    ("directions_kept_quantity_share", "advocacy", "Y", 0.0, 1.0, "P"),
     ("directions_urgent_mean", "consideration", "Y", 0.0, 1.0, "P"),
     ("directions_quantity_mean", "consideration", "Y", 5.0, 45.0, "N"),
     ("directions_net_quantity_mean", "consideration", "Y", 5.0, 45.0, "P"),
@@ -193,7 +194,7 @@ class Inputs:
 
     # metric panel
 
-    def panel_wide(self, max_line: int | None = None) -> DataFrame:
+    def panel_wide(self) -> DataFrame:
         """One row per brand, category and month with every metric.
 
         Orders and customers are counted by grouping down (lines, orders, customers, cell), which
@@ -205,8 +206,6 @@ class Inputs:
         customer = self.table("customer").select("c_custkey", "c_mktsegment")
         part = self.table("part").select("p_partkey", "p_brand", "p_type")
         li = self.table("lineitem")
-        if max_line is not None:
-            li = li.where(F.col("l_linenumber") <= max_line)
         bought = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
         rows = li.join(part, li["l_partkey"] == part["p_partkey"]).join(
             bought, li["l_orderkey"] == bought["o_orderkey"]
@@ -227,6 +226,7 @@ class Inputs:
             "tax_returned": F.sum(F.when(returned & (qty > 20), F.col("l_tax"))),
             "n_tax_returned": share(returned & (qty > 20)),
             "returned": share(returned),
+            "quantity_kept": F.sum(F.when(returned, 0.0).otherwise(qty)),
             "quantity_returned": F.sum(F.when(returned, qty).otherwise(0.0)),
             "tax_sparse": F.sum(F.when(returned & (qty >= 45), F.col("l_tax"))),
             "n_tax_sparse": share(returned & (qty >= 45)),
@@ -262,6 +262,7 @@ class Inputs:
             "panel_status_share_all": mean("closed"),
             "panel_order_value_mean": mean("order_value"),
             "directions_kept_share_all": mean("kept"),
+            "directions_kept_quantity_share": mean("quantity_kept", "quantity"),
             "directions_urgent_mean": mean("urgent"),
             "directions_quantity_mean": mean("quantity"),
             "directions_net_quantity_mean": mean("net_quantity"),
@@ -284,9 +285,15 @@ class Inputs:
 
     @property
     def old_panel(self) -> DataFrame:
-        """The refresh before: the same months seen through fewer order lines."""
+        """The refresh before: the same rows with values moved by a rule of key and month.
+
+        Steps run from -12 % to +12 % in 4 %, one rest class stands at 0, and no row has the month July.
+        """
+        step = (F.month("date") + F.year("date") + F.length("var") + F.length("category")) % 8
+        moved = F.when(step == 7, 0.0 * F.col("value")).otherwise(F.col("value") * (1 + (step - 3) / 25.0))
+        rows = self.panel.where(F.month("date") != 7)
         return self.staged(
-            "old-panel", lambda: harmonise.unpivot_metrics(self.panel_wide(max_line=3))
+            "old-panel", lambda: rows.withColumn("value", half_up(moved, 6) + F.lit(0.0))
         )
 
     def events_long(self) -> DataFrame:

@@ -15,9 +15,10 @@ from equitrace.catalog.registry import query
 from equitrace.functions.grouping import PANEL_KEY, seeded_sample
 from equitrace.operators import drivers, factor, stats
 from equitrace.plans import refresh
-from equitrace.spec import BOOSTED, FOREST, ModelSpec, TreeGrid
+from equitrace.spec import BOOSTED, FOREST, PILLARS_POOLED, ModelSpec, TreeGrid
 
 PANEL = "brand, category, date, var"
+POOLED = "(" + ", ".join(f"'{p}'" for p in PILLARS_POOLED) + ")"
 KEY = "brand, category, pillar"
 SERIES_VAR = ["brand", "category", "var"]
 MODEL_VAR = ["brand", "category", "pillar", "var"]
@@ -25,7 +26,6 @@ FEATURES = {
     p: [m[0] for m in METRICS if m[1] == p and m[2] == "Y"]
     for p in dict.fromkeys(m[1] for m in METRICS if m[1])
 }
-CHECKED = ("awareness", "loyalty", "advocacy", "consideration", "brand_perceptions")
 
 
 @query(
@@ -209,7 +209,7 @@ def t14(i: Inputs) -> DataFrame:
     "t15_correlation_pairs",
     sql(
         "pool_rows dv",
-        f"""with m as (select brand, category, date, var, value from pool_rows where pillar <> 'product_feedback'
+        f"""with m as (select brand, category, date, var, value from pool_rows
           union all select brand, category, date, 'dv', dv from dv semi join pool_rows using (brand, category))
         select brand, category, variable_1, variable_2, {r("corr")} from (
         select a.brand, a.category, a.var variable_1, b.var variable_2, {corr("a.value", "b.value")} corr
@@ -218,7 +218,7 @@ def t14(i: Inputs) -> DataFrame:
     ).replace("with m as (select brand, category, date, var, value from pool_rows", ", m as (select brand, category, date, var, value from pool_rows"),
 )
 def t15(i: Inputs) -> DataFrame:
-    rows = i.pool_rows().where(F.col("pillar") != "product_feedback").select(*PANEL_KEY, "var", "value")
+    rows = i.pool_rows().select(*PANEL_KEY, "var", "value")
     dv = i.dv.join(i.brand_list(), ["brand", "category"], "left_semi")
     both = rows.unionByName(dv.select(*PANEL_KEY, F.lit("dv").alias("var"), F.col("dv").alias("value")))
     return stats.correlation_pairs(both)
@@ -230,10 +230,26 @@ def t15(i: Inputs) -> DataFrame:
         "brand_rows dict",
         f"""select brand, category, var, {r("corr")}, expected_sign from ({CORR})
         join (select distinct category, var, expected_sign from dict) using (category, var)
-        where not coalesce((expected_sign = 'P' and corr < -0.1) or (expected_sign = 'N' and corr > 0.1), false)""",
+        where not coalesce((expected_sign = 'P' and corr < -0.3) or (expected_sign = 'N' and corr > 0.3), false)""",
     ),
 )
 def t16(i: Inputs) -> DataFrame:
+    found = stats.dv_correlation(i.brand_rows())
+    kept = stats.drop_counter_intuitive(found, i.dictionary(), i.spec.counter_intuitive_cutoff)
+    return kept.drop("corr_abs")
+
+
+@query(
+    "t16_counter_intuitive_low",
+    sql(
+        "brand_rows dict",
+        f"""select brand, category, var, {r("corr")}, expected_sign from ({CORR})
+        join (select distinct category, var, expected_sign from dict) using (category, var)
+        where not coalesce((expected_sign = 'P' and corr < -0.1) or (expected_sign = 'N' and corr > 0.1), false)""",
+    ),
+)
+def t16_low(i: Inputs) -> DataFrame:
+    """A lower cut-off, which drops more of this panel's weak correlations."""
     kept = stats.drop_counter_intuitive(stats.dv_correlation(i.brand_rows()), i.dictionary(), 0.1)
     return kept.drop("corr_abs")
 
@@ -251,19 +267,21 @@ def t17(i: Inputs) -> DataFrame:
     sql(
         "attributions",
         f"""select brand, category, var, {r("attribution")}, rank from (select *, cast(row_number() over
-        (partition by brand, category order by attribution desc, var) as int) rank from attributions) where rank <= 5""",
+        (partition by brand, category order by attribution desc, var) as int) rank from attributions) where rank <= 20""",
     ),
 )
 def t18(i: Inputs) -> DataFrame:
-    top = stats.top_features(i.attributions, ["brand", "category"], 5, "attribution")
+    top = stats.top_features(i.attributions, ["brand", "category"], i.spec.top_features, "attribution")
     return top.drop("pillar")
 
 
 @query("t19_principal_components")
 def t19(i: Inputs) -> DataFrame:
-    """Components of the loyalty and consideration metrics of the pooled panel."""
-    names = FEATURES["loyalty"] + FEATURES["consideration"]
-    wide = i.pooled().groupBy(*PANEL_KEY).pivot("var", names).agg(F.max("value")).dropna(subset=names)
+    """Components of all selected metrics of the pooled panel, gaps at the metric's mean."""
+    names = [n for metrics in FEATURES.values() for n in metrics]
+    wide = i.pooled().groupBy(*PANEL_KEY).pivot("var", names).agg(F.max("value"))
+    means = wide.agg(*[F.avg(n).alias(n) for n in names]).first().asDict()
+    wide = wide.fillna({n: m for n, m in means.items() if m is not None}).fillna(0.0, names)
     out = stats.principal_components(wide, names)
     return out.select(*PANEL_KEY, F.posexplode(vector_to_array("components")).alias("component", "value"))
 
@@ -368,10 +386,10 @@ def m3(i: Inputs) -> DataFrame:
         f"""with s as (select * from (select seed, brand, category, date, row_number() over (partition by seed order by
           md5(concat_ws('~', brand, category, cast(date as varchar), cast(seed as varchar)))) rn,
           count(*) over (partition by seed) * 95 // 100 n_take
-          from (select distinct brand, category, date from pool_rows where pillar in ('loyalty', 'awareness')),
+          from (select distinct brand, category, date from pool_rows where pillar in {POOLED}),
           (select unnest([2, 3, 5, 7, 11, 13, 17, 19]) seed)) where rn <= n_take),
         c as (select pillar, brand, category, date, var, value - avg(value) over (partition by pillar, var) x
-          from pool_rows where pillar in ('loyalty', 'awareness')),
+          from pool_rows where pillar in {POOLED}),
         j as (select c.*, seed, n_take n_rows from c join s using (brand, category, date))
         select pillar, seed, a.var var1, b.var var2, {r("sum(a.x * b.x)", "s")}, max(a.n_rows) n_rows
         from j a join j b using (pillar, seed, brand, category, date) where a.var <= b.var group by 1, 2, 3, 4
@@ -379,7 +397,7 @@ def m3(i: Inputs) -> DataFrame:
     ).replace("with s as (select * from (select seed", ", s as (select * from (select seed"),
 )
 def m1_moments(i: Inputs) -> DataFrame:
-    rows = i.pool_metrics().where(F.col("pillar").isin("loyalty", "awareness"))
+    rows = i.pool_metrics().where(F.col("pillar").isin(*i.spec.pooled_pillars))
     return factor.sample_moments(rows, ["pillar"], i.spec)
 
 
@@ -408,29 +426,48 @@ def m1_closed(i: Inputs) -> DataFrame:
     return fits.select("seed", "var", "n_rows", "est_std")
 
 
-# ridge by Cramer's rule on centred moments, for pillars with up to three metrics
+# ridge by elimination on centred moments, for pillars with up to RIDGE_P metrics
+
+RIDGE_P = max(map(len, FEATURES.values()))
+_XS = range(1, RIDGE_P + 1)
+
+
+def _elimination() -> str:
+    """CTEs that solve (S + alpha I) b = c: one CTE per pivot, then the coefficients from the last up.
+
+    A pillar with fewer metrics has columns of zeros, whose coefficients come out as 0.
+    """
+    ctes = []
+    for k in range(1, RIDGE_P):
+        cells = [
+            f"s{i}{j} - s{k}{i} * s{k}{j} / s{k}{k} as s{i}{j}" for i in range(k + 1, RIDGE_P + 1) for j in range(i, RIDGE_P + 1)
+        ] + [f"c{i} - s{k}{i} * c{k} / s{k}{k} as c{i}" for i in range(k + 1, RIDGE_P + 1)]
+        ctes.append(f"e{k} as (select * replace ({', '.join(cells)}) from {'al' if k == 1 else f'e{k - 1}'})")
+    last = f"e{RIDGE_P - 1}"
+    for k in reversed(_XS):
+        known = "".join(f" - s{k}{j} * b{j}" for j in range(k + 1, RIDGE_P + 1))
+        name = "be" if k == 1 else f"u{k}"
+        ctes.append(f"{name} as (select *, (c{k}{known}) / s{k}{k} as b{k} from {last})")
+        last = name
+    return ",\n".join(ctes)
+
 
 RIDGE_SQL = f"""
 , pos as (select brand, category, pillar, var, dense_rank() over (partition by {KEY} order by var) k
-    from (select distinct {KEY}, var from samples where pillar <> 'product_feedback')),
-w as (select {KEY}, date, split, fold, max(dv) dv, coalesce(max(value) filter (k = 1), 0) x1,
-    coalesce(max(value) filter (k = 2), 0) x2, coalesce(max(value) filter (k = 3), 0) x3
+    from (select distinct {KEY}, var from samples)),
+w as (select {KEY}, date, split, fold, max(dv) dv, {", ".join(f"coalesce(max(value) filter (k = {k}), 0) x{k}" for k in _XS)}
     from samples join pos using (brand, category, pillar, var) where dv is not null group by all),
 tr as (select w.* exclude (fold), f as fold from w join (select unnest([0, 1, 2, 3, 4]) f) on split = 'train' and w.fold <> f),
-mo as (select {KEY}, fold, count(*) n, avg(dv) my, avg(x1) m1, avg(x2) m2, avg(x3) m3,
-    var_pop(x1) * count(*) s11, var_pop(x2) * count(*) s22, var_pop(x3) * count(*) s33,
-    covar_pop(x1, x2) * count(*) s12, covar_pop(x1, x3) * count(*) s13, covar_pop(x2, x3) * count(*) s23,
-    covar_pop(x1, dv) * count(*) c1, covar_pop(x2, dv) * count(*) c2, covar_pop(x3, dv) * count(*) c3
+mo as (select {KEY}, fold, count(*) n, avg(dv) my, {", ".join(f"avg(x{k}) m{k}" for k in _XS)},
+    {", ".join(f"covar_pop(x{i}, x{j}) * count(*) s{i}{j}" for i in _XS for j in range(i, RIDGE_P + 1))},
+    {", ".join(f"covar_pop(x{k}, dv) * count(*) c{k}" for k in _XS)}
     from tr group by all),
-al as (select * exclude (s11, s22, s33), s11 + alpha a, s22 + alpha b, s33 + alpha c from mo,
+al as (select * replace ({", ".join(f"s{k}{k} + alpha as s{k}{k}" for k in _XS)}) from mo,
     (values (0, 0.001::double), (1, 0.01::double), (2, 0.1::double), (3, 1.0::double), (4, 5.0::double), (5, 10.0::double)) g(grid_no, alpha)),
-so as (select *, a * (b * c - s23 * s23) - s12 * (s12 * c - s23 * s13) + s13 * (s12 * s23 - b * s13) d from al),
-be as (select *, (c1 * (b * c - s23 * s23) - s12 * (c2 * c - s23 * c3) + s13 * (c2 * s23 - b * c3)) / d b1,
-    (a * (c2 * c - s23 * c3) - c1 * (s12 * c - s23 * s13) + s13 * (s12 * c3 - c2 * s13)) / d b2,
-    (a * (b * c3 - c2 * s23) - s12 * (s12 * c3 - c2 * s13) + c1 * (s12 * s23 - b * s13)) / d b3 from so),
-coefs as (select {KEY}, grid_no, alpha, fold, var, case k when 1 then b1 when 2 then b2 else b3 end coef,
-    my - m1 * b1 - m2 * b2 - m3 * b3 intercept from be join pos using (brand, category, pillar)),
-cv as (select {KEY}, grid_no, alpha, w.fold, w.dv, my + b1 * (x1 - m1) + b2 * (x2 - m2) + b3 * (x3 - m3) predicted
+{_elimination()},
+coefs as (select {KEY}, grid_no, alpha, fold, var, case k {" ".join(f"when {k} then b{k}" for k in _XS)} end coef,
+    my {" ".join(f"- m{k} * b{k}" for k in _XS)} intercept from be join pos using (brand, category, pillar)),
+cv as (select {KEY}, grid_no, alpha, w.fold, w.dv, my {" ".join(f"+ b{k} * (x{k} - m{k})" for k in _XS)} predicted
     from w join be using (brand, category, pillar, fold)),
 fm as (select {KEY}, grid_no, alpha, fold, 1 - avg((dv - predicted) * (dv - predicted)) / nullif(var_pop(dv), 0) r2,
     avg(abs(dv - predicted) / greatest(abs(dv), 2.220446049250313e-16)) mape from cv group by all),
@@ -440,7 +477,7 @@ spread as (select {KEY}, var, avg(abs(value - m)) spread from (select *, avg(val
     from samples where split = 'train') group by all),
 attr as (select {KEY}, var, grid_no, coef, abs(coef) * spread attribution from coefs
     join spread using (brand, category, pillar, var) where fold = 0),
-pr as (select {KEY}, grid_no, split, dv, my + b1 * (x1 - m1) + b2 * (x2 - m2) + b3 * (x3 - m3) predicted
+pr as (select {KEY}, grid_no, split, dv, my {" ".join(f"+ b{k} * (x{k} - m{k})" for k in _XS)} predicted
     from w join be using (brand, category, pillar) where be.fold = 0)
 """
 
@@ -449,13 +486,9 @@ def ridge_sql(select: str) -> str:
     return sql("samples", "").rstrip() + RIDGE_SQL + select
 
 
-def checked_rows(i: Inputs) -> DataFrame:
-    return i.model_rows.where(F.col("pillar").isin(*CHECKED))
-
-
-def checked_coefs(i: Inputs) -> DataFrame:
+def all_coefs(i: Inputs) -> DataFrame:
     model = i.spec.weights_model
-    return drivers.ridge_coefficients(checked_rows(i), drivers.MODEL_KEY, model.alphas)
+    return drivers.ridge_coefficients(i.model_rows, drivers.MODEL_KEY, model.alphas)
 
 
 @query(
@@ -463,7 +496,7 @@ def checked_coefs(i: Inputs) -> DataFrame:
     ridge_sql(f"select {KEY}, cast(grid_no as int) grid_no, {r('alpha')}, cast(fold as int) fold, var, {r('coef')}, {r('intercept')} from coefs"),
 )
 def m4(i: Inputs) -> DataFrame:
-    return checked_coefs(i)
+    return all_coefs(i)
 
 
 @query("m4_positive_ridge")
@@ -474,9 +507,8 @@ def m4_positive(i: Inputs) -> DataFrame:
 
 @query("m4_correlation_selected_ridge")
 def m4_selected(i: Inputs) -> DataFrame:
-    """Ridge on the metrics that correlate with the sales share beyond the cut-off."""
-    model = replace(i.spec.weights_model, selection="correlation")
-    spec = replace(i.spec, weights_model=model, correlation_cutoff=0.1)
+    """Ridge on the metrics that correlate with the sales share beyond the configured cut-off."""
+    spec = replace(i.spec, weights_model=replace(i.spec.weights_model, selection="correlation"))
     rows = stats.eligible(i.brand_rows(), spec, drivers.MODEL_KEY)
     return refresh.learn_drivers(rows, i.maps(), spec)
 
@@ -511,8 +543,8 @@ def m6(i: Inputs) -> DataFrame:
     ridge_sql(f"select {KEY}, var, {r('coef')}, {r('attribution')} from attr where grid_no = 2"),
 )
 def m7(i: Inputs) -> DataFrame:
-    coefs = checked_coefs(i).where((F.col("fold") == 0) & (F.col("grid_no") == 2))
-    train = checked_rows(i).where(F.col("split") == "train")
+    coefs = all_coefs(i).where((F.col("fold") == 0) & (F.col("grid_no") == 2))
+    train = i.model_rows.where(F.col("split") == "train")
     return drivers.linear_attribution(train, coefs, drivers.MODEL_KEY)
 
 
@@ -522,7 +554,7 @@ def m7(i: Inputs) -> DataFrame:
 )
 def m8(i: Inputs) -> DataFrame:
     keys = drivers.MODEL_KEY
-    predicted = drivers.linear_predictions(checked_rows(i), checked_coefs(i), keys, by_fold=True)
+    predicted = drivers.linear_predictions(i.model_rows, all_coefs(i), keys, by_fold=True)
     metrics = stats.regression_metrics(predicted, [*keys, "grid_no", "alpha", "fold"])
     return drivers.selection_table(metrics, keys, ["grid_no", "alpha"])
 
@@ -547,7 +579,6 @@ def m8(i: Inputs) -> DataFrame:
 )
 def m9(i: Inputs) -> DataFrame:
     rows = stats.eligible(i.brand_rows(), i.spec, drivers.MODEL_KEY)
-    rows = rows.where(F.col("pillar").isin(*CHECKED))
     return drivers.ridge_model(rows, drivers.MODEL_KEY, i.spec.weights_model, i.spec)[0]
 
 

@@ -68,6 +68,7 @@ CELL = f"""
   {up("avg(case when o_orderstatus = 'F' then 1.0::double else 0 end)", 6)} panel_status_share_all,
   {up("avg(o_totalprice)", 6)} panel_order_value_mean,
   {up("avg(case when l_returnflag <> 'R' then 1.0::double else 0 end)", 6)} directions_kept_share_all,
+  {up("sum(case when l_returnflag = 'R' then 0 else l_quantity end) / sum(l_quantity)", 6)} directions_kept_quantity_share,
   {up("avg(case when o_orderpriority = '1-URGENT' then 1.0::double else 0 end)", 6)} directions_urgent_mean,
   {up("avg(l_quantity)", 6)} directions_quantity_mean,
   {up("avg(l_quantity * (1 - l_discount))", 6)} directions_net_quantity_mean,
@@ -99,10 +100,10 @@ def _weekly(market: bool) -> str:
       from lineitem join part on l_partkey = p_partkey {joins} group by 1, 2, 3, 4)"""
 
 
-def _wide(where: str = "") -> str:
+def _wide() -> str:
     return f"""select p_brand brand, p_type category, cast(date_trunc('month', l_shipdate) as date) date, {CELL}
       from lineitem join part on l_partkey = p_partkey join orders on l_orderkey = o_orderkey
-      join customer on o_custkey = c_custkey {where} group by 1, 2, 3"""
+      join customer on o_custkey = c_custkey group by 1, 2, 3"""
 
 
 def _long(wide: str) -> str:
@@ -150,8 +151,12 @@ CTES: dict[str, tuple[str, str]] = {
     "dv": ("sales", "select brand, category, date, market_share_total_sales dv from sales"),
     "wide": ("", _wide()),
     "panel": ("wide", _long("wide")),
-    "old_wide": ("", _wide("where l_linenumber <= 3")),
-    "old_panel": ("old_wide", _long("old_wide")),
+    "old_panel": (
+        "panel",
+        f"""select * exclude (step) replace ({up("case when step = 7 then 0.0 * value else value * (1 + (step - 3) / 25.0::double) end", 6)}
+          + 0.0 as value) from (select *, (month(date) + year(date) + length(var) + length(category)) % 8 as step
+          from panel where month(date) <> 7)""",
+    ),
     "events_long": (
         "",
         f"""select 'Brand#' || cast(user_id % 25 + 1 as varchar) brand,

@@ -48,8 +48,8 @@ def io1(i: Inputs) -> DataFrame:
     sql("events_long", f"select * exclude (metric_value), {r('metric_value')} from events_long"),
 )
 def io2(i: Inputs) -> DataFrame:
-    i.events_long().createOrReplaceTempView(io.HARMONISED_VIEWS["weekly"])
-    return io.read_harmonised(i.spark, "weekly")
+    i.events_long().createOrReplaceTempView("metrics_by_week")
+    return io.read_harmonised(i.spark, "weekly", {"weekly": "metrics_by_week"})
 
 
 @query("io3_warehouse_query", sql("weekly", f"select {WEEK}, {rs(SUMS)} from weekly"), 4)

@@ -186,14 +186,14 @@ SUMMARY = f"""select total_brands, total_brands - bad brands_without_deviation,
     sql(
         "scoped flagged",
         f"""{SUMMARY} from (select count(distinct label) total_brands,
-        (select count(distinct label) from flagged where abs(avg_difference_pct) > 60) bad from scoped)""",
+        (select count(distinct label) from flagged where abs(avg_difference_pct) > 5) bad from scoped)""",
     ),
 )
 def v13(i: Inputs) -> DataFrame:
-    """Brands whose metrics move by more than 60 %."""
+    """Brands whose metrics move by more than the configured limit."""
     return validate.deviation_summary(
         scoped(i),
-        F.coalesce(F.abs("avg_difference_pct") > 60, F.lit(False)),
+        F.coalesce(F.abs("avg_difference_pct") > i.spec.deviation_pct, F.lit(False)),
     )
 
 
@@ -212,21 +212,14 @@ def v14(i: Inputs) -> DataFrame:
 @query(
     "v15_added_brands",
     sql(
-        "panel",
-        """select distinct brand from panel where brand not in (select brand from panel
-        where date = (select min(date) from panel) and category = 'LARGE'
-        and var = 'ratings_sparse_mean' and value is not null)""",
+        "panel old_panel brand_list",
+        """select distinct brand from panel where brand not in (select brand from old_panel
+        semi join brand_list using (brand, category))""",
     ),
 )
 def v15(i: Inputs) -> DataFrame:
-    """Against an old refresh that held only brands with a sparse rating in its first month."""
-    first = i.panel.agg(F.min("date")).scalar()
-    old = i.panel.where(
-        (F.col("date") == first)
-        & (F.col("category") == "LARGE")
-        & (F.col("var") == "ratings_sparse_mean")
-        & F.col("value").isNotNull()
-    )
+    """Against the whole old refresh, which held only brands in scope."""
+    old = i.old_panel.join(i.brand_list(), ["brand", "category"], "left_semi")
     return validate.added_brands(old, i.panel)
 
 

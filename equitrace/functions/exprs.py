@@ -56,7 +56,7 @@ def clean_name(c: ColumnOrName) -> Column:
 
 def title_case(c: ColumnOrName) -> Column:
     """Capital after every non-letter, not only after blanks."""
-    pieces = F.split(F.lower(as_col(c)), "(?<=[^a-z])")
+    pieces = F.split(F.lower(as_col(c)), r"(?<=[^\p{L}])")
     return F.array_join(F.transform(pieces, F.initcap), "")
 
 

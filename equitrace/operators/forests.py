@@ -49,13 +49,15 @@ def estimator(kind: str, s: Setting, n_features: int, seed: int = 42):
 
 
 def wide_samples(rows: DataFrame, features: Sequence[str]) -> DataFrame:
-    """One row per panel key with one column per feature; a missing feature stands at 0."""
+    """One row per panel key with one column per feature; a missing feature stands at its mean."""
     wide = (
         rows.groupBy(*PANEL_KEY, "dv", "split", "fold")
         .pivot("var", list(features))
         .agg(F.max("value"))
     )
-    return wide.where(F.col("dv").isNotNull()).fillna(0.0, list(features))
+    wide = wide.where(F.col("dv").isNotNull())
+    means = wide.agg(*[F.avg(f"`{f}`").alias(f) for f in features]).first().asDict()
+    return wide.fillna({f: m for f, m in means.items() if m is not None}).fillna(0.0, list(features))
 
 
 def assemble(wide: DataFrame, features: Sequence[str]) -> DataFrame:

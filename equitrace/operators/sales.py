@@ -81,6 +81,7 @@ def panel_aggregate(weekly: DataFrame, grain: str) -> DataFrame:
     """Sum and mean of the six measures and the plain mean of the distribution ratio."""
     return (
         to_grain(weekly, grain)
+        .dropna(subset=[c for c in WEEK_KEY if c != "date"])
         .groupBy(*WEEK_KEY)
         .agg(
             total("s_dollars").alias("total_sales"),

@@ -24,7 +24,6 @@ STAGES = (
     "scorecard",
     "updated_scorecard",
 )
-HARMONISED_VIEWS = {"weekly": "harmonized_data_weekly_view", "monthly": "harmonized_data_view"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -36,9 +35,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_harmonised(spark: SparkSession, grain: str, database: str | None = None) -> DataFrame:
-    """The harmonised metric view of a grain."""
-    view = HARMONISED_VIEWS[grain]
+def read_harmonised(
+    spark: SparkSession, grain: str, views: dict[str, str], database: str | None = None
+) -> DataFrame:
+    """The harmonised metric view of a grain; the caller names the view of each grain."""
+    view = views[grain]
     return spark.table(f"{database}.{view}" if database else view)
 
 
