@@ -1,20 +1,22 @@
 """Similarity join of word-shingle sets by Jaccard, with token-combination prefixes.
 
-A set of n shingles that is similar to another shares at least o = ceil(t n) with it. All sets order
-their shingles alike, so similar sets share a shingle among the first n - o + 1 (the prefix), and k of
-them among the first n - o + k. The order is: shingles that few sets have, by hash; then the frequent
-class, by hash. A set whose prefix holds only rare shingles indexes each of them alone. A set that
-reaches the frequent class extends its prefix by one and indexes its rare shingles alone and the
-frequent ones in combinations of two (k = 2); long sets, whose combinations would be too many, index
-frequent shingles alone, and sets near that length do both, so that no similar pair is lost.
-
-Frequent shingles are found by counting, over all sets, the shingles with the smallest hashes of each set
-(its head, longer than its prefix); that fixes the class for all sets, and any fixed class gives the
-same links. Links are verified on whole sets. Sets that are equal are one node from the start. Index
-groups of few sets verify all their pairs; in larger groups every set is verified against a centre, again
-with other centres while sets of one group are in different components, and what then still is in
-different components is verified pair by pair. So a group of copies costs its size, and no link between
-components is missed.
+A set of n shingles that is similar to another shares at least o = ceil(t n) with it. With all sets in
+one order of shingles (by hash), similar sets share a shingle among their first n - o + 1 (the prefix),
+and k of them among their first n - o + k.
+
+1. Each set gives its head: its prefix and some shingles more (the slack). A shingle counts as shared if
+   two heads have it. A set whose head holds a prefix of shingles of its own, and no more shared ones
+   than the slack of the smallest set it may be similar to, has no similar set: had it one, all but
+   n - o of that one's head would be in its own head. Such sets leave here, most of a corpus.
+2. The rest, equal sets once, indexes its prefixes: a rare shingle alone; for the frequent class the
+   prefix is extended by one and combinations of two (k = 2) are indexed, so that sets need more than
+   one common phrase to meet. Long sets, whose combinations would be too many, index frequent shingles
+   alone, and sets near that length do both, so that no similar pair is lost. Any fixed class gives the
+   same links.
+3. Index groups of few sets verify all their pairs on the whole sets. In larger groups every set is
+   verified against a centre, again with other centres while sets of one group are in different
+   components; what then still is in different components is verified pair by pair. So a group of copies
+   costs its size, and no link between components is missed.
 
 Null texts are empty; without words the set is empty and linked with nothing; a text of fewer words than
 a shingle has is one shingle. Rows that share an id are one document with several texts. Rows with a
@@ -36,11 +38,13 @@ from equitrace.llm.components import connected_components
 from equitrace.llm.vocab import map_texts
 from equitrace.sources.workspace import stage
 
-#: sets that may share a shingle's head place before it counts as frequent; also the largest group whose
-#: pairs are all verified at once
+#: sets that may share a prefix shingle before it counts as frequent; also the largest group whose pairs
+#: are all verified at once
 FREQUENT = 24
 #: shingles of a set up to which frequent ones are indexed in combinations
-LONG_SET = 512
+LONG_SET = 64
+#: a head's slack: a part of its prefix and some more
+SLACK_PART, LEAST_SLACK = 8, 8
 #: rounds with new centres at most, before the rest is verified pair by pair
 CENTRE_ROUNDS = 6
 #: open pairs per index entry at which the rest is verified pair by pair at once
@@ -64,9 +68,16 @@ class Rule:
     def threshold(self) -> Fraction:
         return Fraction(self.num, self.den)
 
-    def prefix(self, n: str = "n") -> Column:
-        """n - ceil(t n) + 1, in whole numbers."""
-        return F.expr(f"cast({n} - ({n} * {self.num} + {self.den - 1}) div {self.den} + 1 as int)")
+    def least_overlap(self, n: str = "n") -> str:
+        """ceil(t n), in whole numbers."""
+        return f"(({n} * {self.num} + {self.den - 1}) div {self.den})"
+
+    def prefix(self, n: str = "n") -> str:
+        return f"({n} - {self.least_overlap(n)} + 1)"
+
+    def slack(self, n: str = "n") -> str:
+        """Shingles of a head beyond its prefix; grows with n."""
+        return f"({self.prefix(n)} div {SLACK_PART} + {LEAST_SLACK})"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -110,14 +121,14 @@ def _map_sets(rows: DataFrame, words: int, fields: str, emit: Callable[[np.ndarr
 
 
 def _heads(rows: DataFrame, rule: Rule) -> DataFrame:
-    """id, n, digest (both halves), head: the smallest hashes of the set, half as many again as its prefix."""
-    num, den, words = rule.num, rule.den, rule.words
+    """id, n, digest, head: the smallest hashes of the set, its prefix and the slack."""
+    num, den, words, part, least = rule.num, rule.den, rule.words, SLACK_PART, LEAST_SLACK
 
     def emit(items: np.ndarray):
         n = len(items)
         prefix = n - -(-n * num // den) + 1
         digest = xxhash.xxh3_128_digest(items.tobytes())
-        return n, digest, items[: prefix + prefix // 2 + 8].tolist()
+        return n, digest, items[: prefix + prefix // part + least].tolist()
 
     return _map_sets(rows, words, "n int, digest binary, head array<bigint>", emit)
 
@@ -126,59 +137,37 @@ def _whole_sets(rows: DataFrame, rule: Rule) -> DataFrame:
     return _map_sets(rows, rule.words, "n int, items array<bigint>", lambda items: (len(items), items.tolist()))
 
 
-def _index(nodes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+def _open_nodes(heads: DataFrame, rule: Rule) -> DataFrame:
+    """digest, n, node (the least id), head of the distinct sets that may have a similar or equal one."""
+    tokens = heads.select("id", "digest", F.explode("head").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count("*").alias("heads")).where("heads > 1").select("token")
+    shared = tokens.join(stage(counts, "jaccard-shared"), "token", "left_semi")
+    shared = stage(shared.groupBy("id", "digest").agg(F.count("*").alias("shared")), "jaccard-open")
+    some = F.expr(f"size(head) - shared < {rule.prefix()} or shared > {rule.slack(rule.least_overlap())}")
+    open_heads = heads.join(shared, ["id", "digest"]).where(some)
+    return open_heads.groupBy("digest", "n").agg(F.min("id").alias("node"), F.first("head").alias("head"))
+
+
+def _index(nodes: DataFrame, rule: Rule) -> DataFrame:
     """(key, node, n, members): the index entries that several nodes have."""
-    tokens = nodes.select("node", "n", F.posexplode("head").alias("pos", "token"))
-    counts = stage(tokens.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1"), "jaccard-counts")
-    shared = stage(tokens.join(counts, "token"), "jaccard-shared")
-    frequent = stage(counts.where(F.col("sets") > FREQUENT).select("token"), "jaccard-frequent")
-    passed = shared.where(F.col("sets") > FREQUENT).groupBy("node").agg(F.sort_array(F.collect_list("pos")).alias("passed"))
-    heads = nodes.select("node", "n", F.size("head").alias("h"), rule.prefix().alias("p")).join(passed, "node", "left")
-    heads = heads.withColumn("passed", F.coalesce("passed", F.array().cast("array<int>")))
-    # a head settles a set if its rare shingles fill the prefix
-    heads = stage(heads.withColumn("settled", F.col("h") - F.size("passed") >= F.col("p")), "jaccard-heads")
-    settled = heads.where("settled").select("node", "passed")
-
-    def in_prefix(rows: DataFrame) -> DataFrame:
-        rank = F.col("pos") - F.size(F.filter("passed", lambda x: x < F.col("pos")))
-        rows = rows.join(settled, "node").where(~F.array_contains("passed", F.col("pos")) & (rank < rule.prefix()))
-        return rows.select(F.col("token").alias("key"), "node", "n")
-
-    rare = in_prefix(shared.where(F.col("sets") <= FREQUENT))
-    open_nodes = heads.where("not settled").select("node")
-    open_texts = texts.join(open_nodes, texts["id"] == open_nodes["node"], "left_semi")
-    opened = stage(_entries(_whole_sets(open_texts, rule), frequent, rule), "jaccard-open")
-    beyond = opened.where("single").select(F.col("key").alias("token")).distinct().join(counts, "token", "left_anti")
-    late = in_prefix(tokens.join(stage(beyond, "jaccard-beyond"), "token", "left_semi"))
-    entries = stage(rare.unionByName(late).unionByName(opened.select("key", "node", "n")).distinct(), "jaccard-entries")
-    sizes = entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    return stage(entries.join(sizes, "key"), "jaccard-groups")
-
-
-def _entries(sets: DataFrame, frequent: DataFrame, rule: Rule) -> DataFrame:
-    """key, node, n, single: entries of sets whose prefix reaches the frequent class (or unread hashes)."""
-    items = sets.select(F.col("id").alias("node"), "n", F.explode("items").alias("token"))
-    common = items.join(frequent, "token", "left_semi").groupBy("node").agg(F.collect_list("token").alias("common"))
-    both = sets.withColumnRenamed("id", "node").join(common, "node", "left")
-    both = both.withColumn("common", F.sort_array(F.coalesce("common", F.array().cast("array<bigint>"))))
-    both = both.withColumn("rare", F.array_except("items", "common")).drop("items")
-    p = rule.prefix()
-    both = both.select("node", "n", F.slice("rare", F.lit(1), p + 1).alias("rare"), "common", (p + 1).alias("reach"))
-    left = F.greatest(F.lit(0), F.least(F.col("reach") - F.size("rare"), F.size("common")))
-    both = both.withColumn("common", F.slice("common", F.lit(1), left))
-    short, near = rule.threshold * LONG_SET, LONG_SET
+    reach = F.slice("head", F.lit(1), F.expr(f"{rule.prefix()} + 1"))
+    tokens = nodes.select("node", "n", F.posexplode(reach).alias("pos", "token"))
+    sizes = tokens.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1")
+    tokens = stage(tokens.join(sizes, "token"), "jaccard-tokens")
+    in_prefix = F.expr(f"pos < {rule.prefix()}")
+    rare = tokens.where(F.col("sets") <= FREQUENT)
+    common = tokens.where(F.col("sets") > FREQUENT)
+    # sets that may share no second shingle are handled like long ones
+    long = common.where(in_prefix & F.expr(f"n > {float(rule.threshold * LONG_SET)} or {rule.least_overlap()} < 2"))
+    alone = rare.unionByName(long).select(F.col("token").alias("key"), "node", "n")
+    short = common.where(F.col("n") <= LONG_SET).groupBy("node", "n").agg(F.sort_array(F.collect_list("token")).alias("c"))
     pairs = F.flatten(
-        F.transform(
-            "common",
-            lambda a, i: F.transform(F.slice("common", i + 2, F.size("common")), lambda b: F.xxhash64(a, b)),
-        )
+        F.transform("c", lambda a, i: F.transform(F.slice("c", i + 2, F.size("c")), lambda b: F.xxhash64(a, b)))
     )
-    none = F.array().cast("array<bigint>")
-    both = both.withColumn("pairs", F.when(F.col("n") <= near, pairs).otherwise(none))
-    alone = F.when(F.col("n") > float(short), F.concat("rare", "common")).otherwise(F.col("rare"))
-    return both.select("node", "n", F.explode(alone).alias("key"), F.lit(True).alias("single")).unionByName(
-        both.select("node", "n", F.explode("pairs").alias("key"), F.lit(False).alias("single"))
-    ).select("key", "node", "n", "single")
+    combined = short.select(F.explode(pairs).alias("key"), "node", "n")
+    entries = stage(alone.unionByName(combined), "jaccard-entries")
+    members = entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    return stage(entries.join(members, "key"), "jaccard-groups")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -209,6 +198,7 @@ def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     large = groups.where(F.col("members") > FREQUENT).select("key", "node", "n")
     pairs = stage(_crossing(small, rule), "jaccard-pairs")
     busy = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
+    busy = stage(busy, "jaccard-busy")
     sets = _whole_sets(texts.join(busy, texts["id"] == busy["node"], "left_semi"), rule)
     sets = stage(sets.withColumnRenamed("id", "node"), "jaccard-sets")
     links = stage(_verified(pairs, sets, rule), "jaccard-links")
@@ -224,6 +214,7 @@ def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
         open_keys = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
         return rows.join(open_keys.select("key"), "key", "left_semi")
 
+    fruitless = False
     for turn in range(CENTRE_ROUNDS + 1):
         large = stage(mixed(labelled(large.select("key", "node", "n"))), "jaccard-large")
         kinds = large.groupBy("key", "label").agg(F.count("*").alias("m"))
@@ -231,7 +222,7 @@ def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
         open_pairs = pairs.agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0]
         if not open_pairs:
             break
-        last = turn == CENTRE_ROUNDS or open_pairs <= FEW_PAIRS * large.count()
+        last = fruitless or turn == CENTRE_ROUNDS or open_pairs <= FEW_PAIRS * large.count()
         if last:
             found = _verified(_crossing(large, rule), sets, rule)
         else:
@@ -242,7 +233,8 @@ def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
             tries = large.join(centres, "key").where((F.col("label") != F.col("la")) & _sizes_fit("n", "na", rule))
             found = _verified(tries.select("a", F.col("node").alias("b")).distinct(), sets, rule)
         found = stage(found, "jaccard-links")
-        if not found.isEmpty():
+        fruitless = found.isEmpty()
+        if not fruitless:
             links = stage(links.unionByName(found), "jaccard-links")
             labels = stage(connected_components(links), "jaccard-labels")
         if last:
@@ -253,10 +245,9 @@ def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 def near_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row with an id: id, n_shingles, component_id (the least id that links reach)."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    heads = stage(_heads(texts, rule), "jaccard-sets")
-    nodes = heads.where("n > 0").groupBy("digest", "n").agg(F.min("id").alias("node"), F.first("head").alias("head"))
-    nodes = stage(nodes, "jaccard-nodes")
-    groups = _index(nodes.select("node", "n", "head"), texts, rule)
+    heads = stage(_heads(texts, rule), "jaccard-heads")
+    nodes = stage(_open_nodes(heads, rule), "jaccard-nodes")
+    groups = _index(nodes.select("node", "n", "head"), rule)
     labels = _link_nodes(groups, texts, rule)
     named = nodes.select("digest", "n", "node").join(labels, "node", "left")
     named = named.select("digest", "n", F.coalesce("label", "node").alias("component_id"))
