@@ -155,9 +155,7 @@ def t10(i: Inputs) -> DataFrame:
 
 @query("t11_random_holdout", sql("samples", f"select {PANEL}, pillar, split from samples"))
 def t11(i: Inputs) -> DataFrame:
-    rows = stats.eligible(i.brand_rows(), i.spec, drivers.MODEL_KEY)
-    split = stats.split_at_random(rows, MODEL_VAR, i.spec.holdout_rows, i.spec.holdout_seed)
-    return split.select(*PANEL_KEY, "var", "pillar", "split")
+    return i.model_rows.select(*PANEL_KEY, "var", "pillar", "split")
 
 
 @query(

@@ -284,16 +284,16 @@ CTES: dict[str, tuple[str, str]] = {
     ),
     "drawn": (
         "brand_rows eligibility",
-        """select b.*, row_number() over (partition by brand, category, pillar, var order by
+        """select *, case when rn > 6 then ntile(4) over (partition by brand, category, pillar, rn <= 6 order by rn) end fold
+          from (select *, row_number() over (partition by brand, category, pillar order by
           md5(concat_ws('~', brand, category, cast(date as varchar), '2'))) rn
-          from brand_rows b semi join (select * from eligibility where status = 'ok')
-          using (brand, category, pillar)""",
+          from (select distinct brand, category, pillar, date from brand_rows
+          semi join (select * from eligibility where status = 'ok') using (brand, category, pillar)))""",
     ),
     "samples": (
-        "drawn",
-        """select *, case when rn <= 6 then 'holdout' else 'train' end split,
-          case when rn > 6 then ntile(4) over (partition by brand, category, pillar, var,
-            rn <= 6 order by rn) end fold from drawn""",
+        "brand_rows drawn",
+        """select b.*, rn, case when rn <= 6 then 'holdout' else 'train' end split, fold
+          from brand_rows b join drawn using (brand, category, pillar, date)""",
     ),
     "attributions": (
         "brand_rows",

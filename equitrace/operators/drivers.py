@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from equitrace.functions.exprs import ratio
-from equitrace.functions.grouping import with_group_stats
+from equitrace.functions.grouping import PANEL_KEY, with_group_stats
 from equitrace.operators import stats
 from equitrace.sources.workspace import stage
 from equitrace.spec import RIDGE, ModelSpec, RefreshSpec
@@ -19,15 +19,21 @@ MODEL_KEY = ("brand", "category", "pillar")
 
 
 def learning_rows(rows: DataFrame, keys: Sequence[str], model: ModelSpec, spec: RefreshSpec) -> DataFrame:
-    """Split and fold the rows of every model key."""
-    series = [*keys, "var"]
+    """Split and fold the rows of every model key.
+
+    What is drawn is a model row, a date of a key: all its features go the same way, whichever dates a
+    feature has.
+    """
     if model.log_dv:
         rows = stats.log_dv(rows)
+    on = list(dict.fromkeys([*keys, *PANEL_KEY]))
+    dates = rows.select(*on).distinct()
     if model.time_split:
-        split = stats.split_by_time(rows, series, holdout_rows=spec.holdout_rows)
+        split = stats.split_by_time(dates, keys, holdout_rows=spec.holdout_rows)
     else:
-        split = stats.split_at_random(rows, series, spec.holdout_rows, spec.holdout_seed)
-    return stats.folds(split, series, model.folds, spec.holdout_seed, model.time_split)
+        split = stats.split_at_random(dates, keys, spec.holdout_rows, spec.holdout_seed)
+    folded = stats.folds(split, keys, model.folds, spec.holdout_seed, model.time_split)
+    return rows.join(folded, on)
 
 
 def solve_ridge(gram: np.ndarray, cross: np.ndarray, alpha: float, positive: bool) -> np.ndarray:

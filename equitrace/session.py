@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -17,11 +19,12 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def local_session(name: str, cores: int = 8) -> SparkSession:
-    """One JVM for tests and the benchmark."""
+    """One JVM for tests and the benchmark; its Python workers find this library from any folder."""
     spark = (
         configure(SparkSession.builder.master(f"local[{cores}]").appName(name))
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "8g")
+        .config("spark.executorEnv.PYTHONPATH", str(Path(__file__).resolve().parent.parent))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -22,6 +22,16 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def _session_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/equitrace/{spark.conf.get('spark.app.id', 'app')}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove every table this session has staged; call it when no result that reads them is left."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder once and read it back.
 
@@ -30,7 +40,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     any executor.
     """
     spark = df.sparkSession
-    app = spark.conf.get("spark.app.id", "app")
-    path = f"{shared_dir(spark)}/equitrace/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

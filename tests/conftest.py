@@ -7,6 +7,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from equitrace.session import local_session  # noqa: E402
+from equitrace.sources.workspace import drop_staged  # noqa: E402
 from tools.check_queries import TABLES  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -16,6 +17,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     session = local_session("tests", 4)
     yield session
+    drop_staged(session)
     session.stop()
 
 

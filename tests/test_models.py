@@ -121,6 +121,15 @@ def test_forest_ranks_the_signal_first(spark):
     assert predictions.count() == 200
 
 
+def test_features_of_unequal_dates_share_the_draw(spark):
+    """A model row is drawn once: a date's features are all training rows of one fold, or all held out."""
+    rows = learning_frame(spark, 60).where("var <> 'x2' or day(date) % 3 = 0")
+    got = drivers.learning_rows(rows, drivers.MODEL_KEY, ModelSpec(folds=4), RefreshSpec())
+    per_date = got.groupBy("date").agg(F.countDistinct("split", F.coalesce("fold", F.lit(0))).alias("n"), F.first("split").alias("s"))
+    assert {r["n"] for r in per_date.collect()} == {1}
+    assert per_date.where("s = 'holdout'").count() == 6
+
+
 def test_grid_order():
     grid = forests.grid_settings(TreeGrid((2, 3), (5, 9)))
     assert grid[0] == {"max_depth": 2, "n_trees": 5} and grid[-1] == {"max_depth": 3, "n_trees": 9}

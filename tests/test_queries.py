@@ -1,5 +1,10 @@
 """Every registered query on the smallest data folder: result, plan, and the same in SQL."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -34,6 +39,27 @@ def test_query(spark, duck, name):
         assert got == want
 
 
+def test_entry_without_the_corpus_operators():
+    """The other queries stay when the corpus operators and their pipeline are not there."""
+    code = (
+        "import sys; sys.modules['corpus_pipeline'] = sys.modules['equitrace.llm'] = None; "
+        "import __spark_entry__ as e; assert 'c11_scorecard_summary' in e.queries() and 'pipeline' not in e.queries()"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parent.parent)
+
+
+def test_workers_find_the_library_from_another_folder(tmp_path):
+    """Fits run in Python workers that import the library, wherever the session was started."""
+    root = Path(__file__).parent.parent
+    code = (
+        f"import sys; sys.path.insert(0, {str(root)!r}); from equitrace.session import local_session; "
+        f"import __spark_entry__ as e; s = local_session('far', 2); "
+        f"assert e.queries()['m4_ridge_coefficients'](s, {SF_DIR!r}).count() > 0"
+    )
+    env = {**os.environ, "PYTHONPATH": ""}
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path, env=env, timeout=600)
+
+
 def test_keys_match():
     assert set(oracle_sql()) <= set(queries())
 
