@@ -59,7 +59,7 @@ CASES = {
     "few large groups": near_copies(1, 3, 60, 60, 6),
     "many small groups": near_copies(2, 40, 4, 40, 4),
     "short texts": near_copies(3, 30, 6, 4, 1, 6),
-    "one hot group": near_copies(4, 1, 1, 30, 0) + near_copies(5, 2, 120, 50, 3),
+    "one hot group": near_copies(5, 2, 120, 50, 3),
     "few words": [(i, " ".join(random.Random(i).choices("ab", k=i % 9))) for i in range(120)],
     "long texts": near_copies(6, 3, 6, 900, 90, 100_000),
 }
