@@ -133,7 +133,8 @@ def ancestors(directory: Column) -> Column:
 
 
 def _directory(path: Column) -> Column:
-    return F.when(F.instr(path, "/") > 0, F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.lit(""))
+    above = F.when(F.instr(path, "/") > 0, F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.lit(""))
+    return F.when(path.isNotNull(), above)
 
 
 def scan_licences(files: DataFrame, templates: DataFrame, id_col: str, path: Column, text_col: str = "text") -> DataFrame:
