@@ -91,6 +91,8 @@ def sample_moments(rows: DataFrame, keys: Sequence[str], spec: RefreshSpec) -> D
 
 
 LEAST_UNIQUE = 1e-6
+#: gradient below which a factor fit counts as converged
+CONVERGED = 1e-5
 
 
 def _profile(r: np.ndarray, x: np.ndarray):
@@ -104,8 +106,10 @@ def _profile(r: np.ndarray, x: np.ndarray):
     return misfit, gradient, curvature, root * top * np.sqrt(max(values[-1] - 1.0, 0.0))
 
 
-def one_factor(r: np.ndarray, steps: int = 200, tol: float = 1e-10) -> tuple[np.ndarray, np.ndarray]:
-    """Loadings and unique variances of a correlation matrix, latent variance 1.
+def one_factor(
+    r: np.ndarray, steps: int = 200, tol: float = 1e-10
+) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Loadings, unique variances of a correlation matrix, latent variance 1; and whether it converged.
 
     Maximum likelihood over the unique variances alone, for which the best loadings are known
     from the largest eigenvalue (Joreskog 1967); Newton steps on their logs, halved until the
@@ -131,7 +135,9 @@ def one_factor(r: np.ndarray, steps: int = 200, tol: float = 1e-10) -> tuple[np.
         else:
             break
         x, (misfit, gradient, curvature, load) = ahead, found
-    return (load if load.sum() >= 0 else -load), np.exp(x)
+    free = ~((x <= low) & (gradient > 0.0))
+    converged = not free.any() or float(np.abs(gradient[free]).max()) < CONVERGED
+    return (load if load.sum() >= 0 else -load), np.exp(x), converged
 
 
 def fit_indices(r: np.ndarray, load: np.ndarray, unique: np.ndarray, n: int) -> tuple[float, float, float]:
@@ -169,9 +175,10 @@ def fit_moments(pdf: pd.DataFrame) -> pd.DataFrame:
     if p >= 3 and n > p and sd.min() > 1e-9:
         r = cov / np.outer(sd, sd)
         if np.linalg.eigvalsh(r)[0] > 1e-8:
-            load, unique = one_factor(r)
+            load, unique, converged = one_factor(r)
             fits = fit_indices(r, load, unique, n)
             status = "improper" if unique.min() <= 10 * LEAST_UNIQUE else "ok"
+            status = status if converged else "not converged"
     return pd.DataFrame(
         {"var": names, "est_std": load, "cfi": fits[0], "tli": fits[1], "rmsea": fits[2],
          "n_rows": n, "status": status}

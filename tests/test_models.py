@@ -54,7 +54,8 @@ def test_moments_equal_those_of_the_sample(spark):
 
 def test_three_metrics_have_a_closed_form():
     r = np.array([[1, 0.48, 0.36], [0.48, 1, 0.3], [0.36, 0.3, 1.0]])
-    load, unique = factor.one_factor(r)
+    load, unique, converged = factor.one_factor(r)
+    assert converged
     assert np.allclose(load**2, [0.48 * 0.36 / 0.3, 0.48 * 0.3 / 0.36, 0.36 * 0.3 / 0.48], atol=1e-6)
     assert np.allclose(load**2 + unique, 1.0, atol=1e-6)
     assert factor.fit_indices(r, load, unique, 100) == (1.0, 1.0, 0.0)
