@@ -626,7 +626,7 @@ def old_card(i: Inputs, card: DataFrame) -> DataFrame:
     ),
 )
 def e7(i: Inputs) -> DataFrame:
-    card = summary(i)
+    card = i.staged("card", lambda: summary(i))
     return refresh.compare_scorecards(old_card(i, card), card, i.spec)["report"]
 
 
@@ -641,7 +641,7 @@ def e7(i: Inputs) -> DataFrame:
     ),
 )
 def e7_summary(i: Inputs) -> DataFrame:
-    card = summary(i)
+    card = i.staged("card", lambda: summary(i))
     return refresh.compare_scorecards(old_card(i, card), card, i.spec)["summary"]
 
 
@@ -654,5 +654,5 @@ def e7_summary(i: Inputs) -> DataFrame:
     ),
 )
 def v5_scores(i: Inputs) -> DataFrame:
-    card = summary(i)
+    card = i.staged("card", lambda: summary(i))
     return validate.score_comparison(old_card(i, card), card)

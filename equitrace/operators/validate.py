@@ -19,8 +19,10 @@ def coerce_values(long: DataFrame, col: str = "value") -> DataFrame:
 
 def common_frame(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both refreshes cut to the dates they share."""
-    start = F.greatest(*[df.agg(F.min("date")).scalar() for df in (old, new)])
-    end = F.least(*[df.agg(F.max("date")).scalar() for df in (old, new)])
+    bounds = F.struct(F.min("date").alias("first"), F.max("date").alias("last")).alias("bounds")
+    spans = [df.agg(bounds).scalar() for df in (old, new)]
+    start = F.greatest(*[s["first"] for s in spans])
+    end = F.least(*[s["last"] for s in spans])
     inside = (F.col("date") >= start) & (F.col("date") <= end)
     return old.where(inside), new.where(inside)
 

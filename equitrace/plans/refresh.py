@@ -66,7 +66,7 @@ def compare_panels(old: DataFrame, new: DataFrame, maps: Mappings) -> DataFrame:
 
 def validate_panels(old: DataFrame, new: DataFrame, maps: Mappings, spec: RefreshSpec) -> dict[str, DataFrame]:
     """Deviation report, summary and list of brands."""
-    tagged = compare_panels(old, new, maps)
+    tagged = stage(compare_panels(old, new, maps), "tagged")
     flagged = validate.deviations(tagged, spec.deviation_pct)
     labelled = validate.brand_label(validate.in_scope(tagged))
     return {
@@ -185,7 +185,7 @@ def score(scaled: DataFrame, sheet: DataFrame, maps: Mappings, spec: RefreshSpec
 
 def publish_summary(panel: DataFrame, scored: Scores, sheet: DataFrame, maps: Mappings) -> dict[str, DataFrame]:
     """Hub table, scorecard summary and metric map."""
-    hub = importance.hub_table(scored.index, sheet, scores.scores_long(scored.scaled))
+    hub = stage(importance.hub_table(scored.index, sheet, scores.scores_long(scored.scaled)), "hub")
     raw = panel.select(*PANEL_KEY, "var", F.col("value").alias("metric_raw_value"))
     return {
         "hub": hub,
@@ -207,7 +207,8 @@ def publish_importance(scored: Scores, sales_panel: DataFrame, maps: Mappings, s
 
 def compare_scorecards(old: DataFrame, new: DataFrame, spec: RefreshSpec) -> dict[str, DataFrame]:
     """Score moves between two refreshes, their summary, and the brands that are new."""
-    compared = validate.score_comparison(old, new)
+    old, new = stage(old, "old-card"), stage(new, "new-card")
+    compared = stage(validate.score_comparison(old, new), "compared")
     labelled = validate.brand_label(compared)
     return {
         "report": validate.score_report(compared, spec.deviation_pct),
