@@ -46,7 +46,7 @@ LONG_SET = 64
 #: a head's slack: a part of its prefix and some more
 SLACK_PART, LEAST_SLACK = 8, 8
 #: rounds with new centres at most, before the rest is verified pair by pair
-CENTRE_ROUNDS = 6
+CENTRE_ROUNDS = 2
 #: open pairs per index entry at which the rest is verified pair by pair at once
 FEW_PAIRS = 4
 #: known words of a Python task; beyond, the table starts anew
@@ -180,21 +180,37 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return both.where(F.col("shared") * rule.den >= union * rule.num).select("a", "b").distinct()
 
 
-def _sizes_fit(x: str, y: str, rule: Rule) -> Column:
-    return F.least(x, y) * rule.den >= F.greatest(x, y) * rule.num
+def _may_fit(a: tuple[str, str], b: tuple[str, str], rule: Rule) -> Column:
+    """Whether sets of (size, most that it can share) may be similar."""
+    return F.least(a[1], b[1]) * (rule.num + rule.den) >= (F.col(a[0]) + F.col(b[0])) * rule.num
+
+
+def _spares(large: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Adds spare, a set's shingles that any other set of the large groups has; sets that have too few leave.
+
+    In a crowd of near copies that are not near enough, this sees what each has of its own.
+    """
+    crowd = sets.join(large.select("node").distinct(), "node", "left_semi")
+    tokens = crowd.select("node", F.explode("items").alias("token"))
+    alone = tokens.groupBy("token").agg(F.count("*").alias("sets"), F.min("node").alias("node")).where("sets = 1")
+    alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
+    spare = F.expr("cast(n - coalesce(alone, 0) as int)").alias("spare")
+    rows = large.join(alone, "node", "left").select("key", "node", "n", spare)
+    return rows.where(F.expr(f"spare >= {rule.least_overlap()}"))
 
 
 def _crossing(groups: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of a group's nodes in different components, each once."""
-    x = groups.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    y = groups.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    pairs = x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _sizes_fit("na", "nb", rule))
-    return pairs.select("a", "b").distinct()
+    x = groups.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "spare", "label")])
+    y = groups.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "spare", "label")])
+    apart = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
+    pairs = x.join(y, "key").where(apart & _may_fit(("n_a", "spare_a"), ("n_b", "spare_b"), rule))
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """(node, label) of all nodes that have a link."""
-    small = groups.where(F.col("members") <= FREQUENT).withColumn("label", F.col("node"))
+    small = groups.where(F.col("members") <= FREQUENT).withColumn("label", F.col("node")).withColumn("spare", F.col("n"))
     large = groups.where(F.col("members") > FREQUENT).select("key", "node", "n")
     pairs = stage(_crossing(small, rule), "jaccard-pairs")
     busy = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
@@ -205,6 +221,7 @@ def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     labels = stage(connected_components(links), "jaccard-labels")
     if large.isEmpty():
         return labels
+    large = _spares(large, sets, rule)
 
     def labelled(nodes: DataFrame) -> DataFrame:
         return nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -216,7 +233,7 @@ def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 
     fruitless = False
     for turn in range(CENTRE_ROUNDS + 1):
-        large = stage(mixed(labelled(large.select("key", "node", "n"))), "jaccard-large")
+        large = stage(mixed(labelled(large.select("key", "node", "n", "spare"))), "jaccard-large")
         kinds = large.groupBy("key", "label").agg(F.count("*").alias("m"))
         pairs = kinds.groupBy("key").agg(((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("open"))
         open_pairs = pairs.agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0]
@@ -226,11 +243,13 @@ def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
         if last:
             found = _verified(_crossing(large, rule), sets, rule)
         else:
-            place = F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "label")
+            place = F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "spare", "label")
             centres = large.groupBy("key").agg(F.min(place).alias("c")).select(
-                "key", F.col("c.node").alias("a"), F.col("c.n").alias("na"), F.col("c.label").alias("la")
-            )
-            tries = large.join(centres, "key").where((F.col("label") != F.col("la")) & _sizes_fit("n", "na", rule))
+                "key", F.col("c.node").alias("a"), F.col("c.n").alias("n_a"), F.col("c.spare").alias("spare_a"),
+                F.col("c.label").alias("label_a"),
+            )
+            fits = _may_fit(("n", "spare"), ("n_a", "spare_a"), rule)
+            tries = large.join(centres, "key").where((F.col("label") != F.col("label_a")) & fits)
             found = _verified(tries.select("a", F.col("node").alias("b")).distinct(), sets, rule)
         found = stage(found, "jaccard-links")
         fruitless = found.isEmpty()
