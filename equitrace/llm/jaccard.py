@@ -170,6 +170,24 @@ def _index(nodes: DataFrame, rule: Rule) -> DataFrame:
     return stage(entries.join(members, "key"), "jaccard-groups")
 
 
+def _plausible(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs whose heads differ no more than similar sets may in all.
+
+    Up to the smaller of their last hashes, two heads hold all shingles of their sets, so what differs
+    there differs between the sets. Heads are short, and unrelated sets differ in nearly all of them.
+    """
+    end = F.when(F.size("head") < F.col("n"), F.element_at("head", -1)).otherwise(F.lit(2**63 - 1))
+    rows = nodes.select("node", "n", "head", end.alias("end"))
+    for side in ("a", "b"):
+        named = rows.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "head", "end")])
+        pairs = pairs.join(named, side)
+    upto = F.least("end_a", "end_b")
+    pairs = pairs.withColumn("x", F.filter("head_a", lambda v: v <= upto)).withColumn("y", F.filter("head_b", lambda v: v <= upto))
+    differ = F.size("x") + F.size("y") - 2 * F.size(F.array_intersect("x", "y"))
+    allowed = (F.col("n_a") + F.col("n_b")) * (rule.den - rule.num)
+    return pairs.where(differ * (rule.den + rule.num) <= allowed).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Those of the pairs (a, b) whose whole sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
@@ -208,11 +226,11 @@ def _crossing(groups: DataFrame, rule: Rule) -> DataFrame:
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """(node, label) of all nodes that have a link."""
     small = groups.where(F.col("members") <= FREQUENT).withColumn("label", F.col("node")).withColumn("spare", F.col("n"))
     large = groups.where(F.col("members") > FREQUENT).select("key", "node", "n")
-    pairs = stage(_crossing(small, rule), "jaccard-pairs")
+    pairs = stage(_plausible(_crossing(small, rule), nodes, rule), "jaccard-pairs")
     busy = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
     busy = stage(busy, "jaccard-busy")
     sets = _whole_sets(texts.join(busy, texts["id"] == busy["node"], "left_semi"), rule)
@@ -241,7 +259,7 @@ def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
             break
         last = fruitless or turn == CENTRE_ROUNDS or open_pairs <= FEW_PAIRS * large.count()
         if last:
-            found = _verified(_crossing(large, rule), sets, rule)
+            tries = _crossing(large, rule)
         else:
             place = F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "spare", "label")
             centres = large.groupBy("key").agg(F.min(place).alias("c")).select(
@@ -250,8 +268,8 @@ def _link_nodes(groups: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
             )
             fits = _may_fit(("n", "spare"), ("n_a", "spare_a"), rule)
             tries = large.join(centres, "key").where((F.col("label") != F.col("label_a")) & fits)
-            found = _verified(tries.select("a", F.col("node").alias("b")).distinct(), sets, rule)
-        found = stage(found, "jaccard-links")
+            tries = tries.select("a", F.col("node").alias("b")).distinct()
+        found = stage(_verified(_plausible(tries, nodes, rule), sets, rule), "jaccard-links")
         fruitless = found.isEmpty()
         if not fruitless:
             links = stage(links.unionByName(found), "jaccard-links")
@@ -267,7 +285,7 @@ def near_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     heads = stage(_heads(texts, rule), "jaccard-heads")
     nodes = stage(_open_nodes(heads, rule), "jaccard-nodes")
     groups = _index(nodes.select("node", "n", "head"), rule)
-    labels = _link_nodes(groups, texts, rule)
+    labels = _link_nodes(groups, nodes.select("node", "n", "head"), texts, rule)
     named = nodes.select("digest", "n", "node").join(labels, "node", "left")
     named = named.select("digest", "n", F.coalesce("label", "node").alias("component_id"))
     out = heads.select("id", "n", "digest").join(named, ["digest", "n"], "left")
