@@ -45,6 +45,8 @@ FREQUENT = 24
 LONG_SET = 64
 #: a head's slack: a part of its prefix and some more
 SLACK_PART, LEAST_SLACK = 8, 8
+#: ids that may be broadcast to pick texts (some megabytes); more of them are joined by a shuffle
+BROADCAST_IDS = 500_000
 #: rounds with new centres at most, before the rest is verified pair by pair
 CENTRE_ROUNDS = 2
 #: open pairs per index entry at which the rest is verified pair by pair at once
@@ -233,7 +235,9 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
     pairs = stage(_plausible(_crossing(small, rule), nodes, rule), "jaccard-pairs")
     busy = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
     busy = stage(busy, "jaccard-busy")
-    sets = _whole_sets(texts.join(busy, texts["id"] == busy["node"], "left_semi"), rule)
+    few = busy.count() <= BROADCAST_IDS
+    kept = texts.join(F.broadcast(busy) if few else busy, texts["id"] == busy["node"], "left_semi")
+    sets = _whole_sets(kept, rule)
     sets = stage(sets.withColumnRenamed("id", "node"), "jaccard-sets")
     links = stage(_verified(pairs, sets, rule), "jaccard-links")
     labels = stage(connected_components(links), "jaccard-labels")
