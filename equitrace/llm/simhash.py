@@ -116,7 +116,7 @@ def near_pairs(prints: DataFrame, radius: int = RADIUS, queries: DataFrame | Non
 
     Without queries each pair of the table comes once, the smaller number first. Membership (which
     documents have a fingerprint) stays in `prints`, so copies are never expanded into pairs. Every
-    permuted table is one equi-join on its masked bits; the larger side's hot keys are dealt out by chunk.
+    permuted table is one equi-join on its masked bits, which adaptive execution splits at hot keys.
     """
     if not 0 <= radius <= 8:
         raise ValueError("radius must be 0 to 8")
