@@ -1,9 +1,10 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words become symbols (insult, threat, target, negation, report, other). Three transducers read a clause's
-symbols and mark insults and threats that are negated, reported or aimed at somebody; composed into one
-machine they emit a category for each match. A text's evidence is, per category, the sum of its matches'
-word weights; a logistic model over that evidence gives the score.
+Words become letters. Three transducers of phrases read a clause's letters and mark where an insult, a threat
+or a target of one or several words ends; three more mark matches that are negated or reported, and tell at the
+clause's end whether it had a target. Composed into one machine, they let every match wait until the clause
+ends, so that a target counts on either side of it. A matched clause gives, per category, the sum of its
+matches' weights, and a text the sum over its clauses; a logistic model over that evidence gives the score.
 
 Insults are a short fixed list and what labelled rows teach: words and word beginnings that occur far
 more often in toxic texts, weighed by log-odds. The categories' weights are fitted on labelled rows too,
@@ -18,6 +19,8 @@ row the fixed weights and the fixed list alone score. Repeated rows get the same
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import product
+from typing import NamedTuple
 
 import numpy as np
 import regex
@@ -48,10 +51,25 @@ TARGETS = "you your yourself he she they them him her du dich ihr euch sie tu to
 NEGATIONS = "not no never nor neither without isn't aren't don't nicht kein nie ne pas jamais nunca".split()
 REPORTS = "said says say claimed claims reported quoted wrote writes sagte schrieb dit écrit dijo escribió".split()
 
-#: symbols of the grammar
+#: patterns of several words; a set in braces stands for each of its words
+INSULT_PHRASES = (
+    "piece of {trash garbage filth dirt crap shit}", "son of a bitch", "waste of {space air oxygen}", "good for nothing",
+    "lowest of the low", "brain dead", "stück {dreck scheisse}", "hijo de puta", "pedazo de {basura mierda}", "fils de pute",
+)
+THREAT_PHRASES = (
+    "blow up", "burn down", "hunt down", "cut up", "tear apart", "drop dead", "make {you him her them} pay",
+    "break {your his her their} {neck legs arms bones}", "watch your back", "put a bullet", "slit {your his her their} throat",
+    "bringe {dich euch sie} um", "mach dich kalt", "faire la peau", "romper la cara",
+)
+TARGET_PHRASES = (
+    "all of {you them us}", "{you those these} people", "people like {you them}", "{your his their my our} {family kind children}",
+    "ihr alle", "deine familie", "vous tous", "ta famille", "todos ustedes", "tu familia",
+)
+
+#: roles of words and marks of the grammar
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = "other insult threat target negation report end".split()
-#: words that a negation reaches forward, and a target
-NEGATION_REACH, TARGET_REACH = 3, 5
+#: words that a negation reaches forward
+NEGATION_REACH = 3
 #: categories of matches and the weights they are drawn towards
 CATEGORIES = {
     "insult": 1.5, "insult aimed": 2.0, "insult negated": 0.7, "insult reported": 0.7,
@@ -60,9 +78,51 @@ CATEGORIES = {
 BASE, DENSITY = -3.0, 0.5
 
 
+def _patterns(phrases: tuple[str, ...]) -> list[tuple[str, ...]]:
+    """The word sequences that the phrases stand for."""
+    out = []
+    for phrase in phrases:
+        parts = [part.strip("{}").split() for part in regex.findall(r"\{[^}]*\}|\S+", phrase)]
+        out.extend(product(*parts))
+    return out
+
+
+LISTS = {INSULT: INSULTS, THREAT: THREATS, TARGET: TARGETS, NEGATION: NEGATIONS, REPORT: REPORTS}
+PATTERNS = {INSULT: _patterns(INSULT_PHRASES), THREAT: _patterns(THREAT_PHRASES), TARGET: _patterns(TARGET_PHRASES)}
+ROLES = {word: role for role, words in LISTS.items() for word in words}
+#: words of phrases are letters of their own; others stand for their role
+OWN_LETTERS = {word for patterns in PATTERNS.values() for pattern in patterns for word in pattern}
+LONGEST = max(len(pattern) for patterns in PATTERNS.values() for pattern in patterns)
+
+
+def letter_name(word: str) -> str:
+    return word if word in OWN_LETTERS else ROLES.get(word, OTHER)
+
+
+#: names of the letters that have a role by themselves
+NAMES = {role: frozenset(letter_name(w) for w in words if ROLES[w] == role) for role, words in LISTS.items()}
+
+
+class Mark(NamedTuple):
+    """A match that ends at a letter: its kind, its length in words, whether a fixed pattern has it, its note."""
+
+    kind: str
+    words: int
+    fixed: bool
+    note: str = ""
+
+
+class Letter(NamedTuple):
+    """A word as the transducers see it, and the marks that they wrote on it."""
+
+    name: str
+    learned: bool = False
+    marks: tuple[Mark, ...] = ()
+
+
 @dataclass(frozen=True)
 class Transducer:
-    """step(state, symbol) -> (state, symbol written); symbols it does not know pass unchanged."""
+    """step(state, letter) -> (state, letter written); letters it does not know pass unchanged."""
 
     start: object
     step: object
@@ -70,32 +130,85 @@ class Transducer:
     def then(self, other: Transducer) -> Transducer:
         """Composition: other reads what this one writes."""
 
-        def both(state, symbol):
-            a, middle = self.step(state[0], symbol)
+        def both(state, letter):
+            a, middle = self.step(state[0], letter)
             b, written = other.step(state[1], middle)
             return (a, b), written
 
         return Transducer((self.start, other.start), both)
 
 
-def _reach(trigger: str, mark: str, words: int) -> Transducer:
-    """Marks matches within so many words after the trigger; words = 0: until the clause ends."""
+def _phrases(kind: str) -> Transducer:
+    """Marks where a pattern of the kind ends; of several that end there, the longest.
 
-    def step(left: int, symbol: str) -> tuple[int, str]:
-        if symbol == END:
-            return 0, symbol
-        written = f"{symbol} {mark}" if left and symbol in (INSULT, THREAT) else symbol
-        if symbol == trigger:
-            return (words or 1), written
-        return (left if words == 0 else max(0, left - 1)), written
+    The state is the longest end of what was read that begins a pattern.
+    """
+    patterns = {(name,) for name in NAMES[kind]} | set(PATTERNS[kind])
+    begins = {pattern[:n] for pattern in patterns for n in range(len(pattern) + 1)}
+
+    def step(read: tuple[str, ...], letter: Letter) -> tuple[tuple[str, ...], Letter]:
+        if letter.name == END:
+            return (), letter
+        read = (*read, letter.name)
+        while read not in begins:
+            read = read[1:]
+        words = next((len(read) - k for k in range(len(read)) if read[k:] in patterns), 0)
+        if words:
+            return read, letter._replace(marks=(*letter.marks, Mark(kind, words, True)))
+        if kind == INSULT and letter.learned:
+            return read, letter._replace(marks=(*letter.marks, Mark(kind, 1, False)))
+        return read, letter
+
+    return Transducer((), step)
+
+
+def _noted(letter: Letter, note: str, holds) -> Letter:
+    """Notes the matches of which it holds; the first note stays."""
+    return letter._replace(marks=tuple(m._replace(note=note) if m.kind != TARGET and not m.note and holds(m) else m for m in letter.marks))
+
+
+def _negated() -> Transducer:
+    """Notes matches whose first word is at most so many words after a negation; the state counts them."""
+
+    def step(after: int, letter: Letter) -> tuple[int, Letter]:
+        if letter.name == END:
+            return 0, letter
+        if after and letter.marks:
+            letter = _noted(letter, "negated", lambda m: 1 <= after - m.words + 1 <= NEGATION_REACH)
+        if letter.name in NAMES[NEGATION]:
+            return 1, letter
+        return (after + 1 if 0 < after < NEGATION_REACH + LONGEST else 0), letter
 
     return Transducer(0, step)
 
 
+def _reported() -> Transducer:
+    """Notes matches after a word of reporting until the clause ends."""
+
+    def step(said: bool, letter: Letter) -> tuple[bool, Letter]:
+        if letter.name == END:
+            return False, letter
+        if said and letter.marks:
+            letter = _noted(letter, "reported", lambda m: True)
+        return said or letter.name in NAMES[REPORT], letter
+
+    return Transducer(False, step)
+
+
+def _aimed() -> Transducer:
+    """Remembers a target until the clause ends, and writes it on the end."""
+
+    def step(target: bool, letter: Letter) -> tuple[bool, Letter]:
+        if letter.name == END:
+            return False, letter._replace(marks=(Mark(TARGET, 0, True),) if target else ())
+        return target or any(m.kind == TARGET for m in letter.marks), letter
+
+    return Transducer(False, step)
+
+
 def grammar() -> Transducer:
-    """Negation takes a match first, then reported speech, then the target."""
-    negated = _reach(NEGATION, "negated", NEGATION_REACH)
-    return negated.then(_reach(REPORT, "reported", 0)).then(_reach(TARGET, "aimed", TARGET_REACH))
+    """Phrases first; negation takes a match before reported speech, and the target comes last."""
+    return _phrases(INSULT).then(_phrases(THREAT)).then(_phrases(TARGET)).then(_negated()).then(_reported()).then(_aimed())
 
 
 class Machine:
@@ -104,16 +217,26 @@ class Machine:
     def __init__(self):
         self.rules = grammar()
         self.table: dict = {}
-
-    def matches(self, symbols: list[tuple[str, float]]) -> list[tuple[str, float]]:
-        state, out = self.rules.start, []
-        for symbol, weight in symbols:
-            key = state, symbol
+        #: names of the letters at which a match can end
+        self.ends = NAMES[INSULT] | NAMES[THREAT] | {p[-1] for k in (INSULT, THREAT) for p in PATTERNS[k]}
+
+    def matches(self, letters: list[tuple[Letter, float]]) -> list[tuple[str, float]]:
+        """The categories that each clause matches, with the sum of their matches' weights."""
+        state, out, waiting = self.rules.start, [], {}
+        for letter, weight in [*letters, (Letter(END), 0.0)]:
+            key = state, letter
             if key not in self.table:
-                self.table[key] = self.rules.step(state, symbol)
+                self.table[key] = self.rules.step(state, letter)
             state, written = self.table[key]
-            if symbol in (INSULT, THREAT):
-                out.append((written, weight))
+            if letter.name == END:
+                aim = " aimed" if written.marks else ""
+                out.extend((f"{kind} {note}" if note else kind + aim, total) for (kind, note), total in waiting.items())
+                waiting = {}
+            elif written.marks:
+                for mark in written.marks:
+                    if mark.kind != TARGET:
+                        match = mark.kind, mark.note
+                        waiting[match] = waiting.get(match, 0.0) + (max(weight, FIXED_WEIGHT) if mark.fixed else weight)
         return out
 
 
@@ -131,30 +254,28 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.machine = model, Machine()
-        self.fixed = {w: (k, FIXED_WEIGHT) for k, ws in ((INSULT, INSULTS), (THREAT, THREATS)) for w in ws}
-        for k, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)):
-            self.fixed |= {w: (k, 0.0) for w in ws}
         self.token = regex.compile(r"\p{L}+(?:'\p{L}+)?|[.!?;:,\n]")
         self.known = WordCache(self.symbol)
 
-    def symbol(self, word: str) -> tuple[str, float]:
+    def symbol(self, word: str) -> tuple[Letter, float]:
+        """The word's letter and its learned weight; words of the fixed lists are not learned."""
         if not word[0].isalpha():
-            return END, 0.0
-        if word in self.fixed:
-            return self.fixed[word]
+            return Letter(END), 0.0
+        if word in ROLES:
+            return Letter(letter_name(word)), 0.0
         weight = max([self.model.words.get(word, 0.0), *(self.model.stems.get(word[:n], 0.0) for n in STEMS if len(word) >= n)])
-        return (INSULT, weight) if weight else (OTHER, 0.0)
+        return Letter(letter_name(word), weight > 0), weight
 
     def evidence(self, texts: list[str]) -> list[list[float]]:
-        """Per text: 1, log(1 + sum of weights) of each category, and the weight per hundred words."""
+        """Per text: 1, log(1 + sum of its clauses' weights) of each category, and the weight per hundred words."""
         lists = [self.token.findall(text.lower()) for text in texts]
         self.known.fill(set().union(*lists))
-        known, names, out = self.known, list(CATEGORIES), []
+        known, names, ends, out = self.known, list(CATEGORIES), self.machine.ends, []
         for words in lists:
             sums = dict.fromkeys(names, 0.0)
-            symbols = [known[w] for w in words]
-            if any(weight for _, weight in symbols):
-                for category, weight in self.machine.matches(symbols):
+            letters = [known[w] for w in words]
+            if any(letter.learned or letter.name in ends for letter, _ in letters):
+                for category, weight in self.machine.matches(letters):
                     sums[self.category(category)] += weight
             total = sum(sums.values())
             density = 100.0 * total / max(len(words), 20)
@@ -163,7 +284,7 @@ class Scorer:
 
     @staticmethod
     def category(written: str) -> str:
-        """The first mark decides: a negated or reported match is not also an aimed one."""
+        """A match's kind and its note; a negated or reported match is not also an aimed one."""
         return " ".join(written.split()[:2])
 
     def scores(self, texts: list[str]) -> list[float]:

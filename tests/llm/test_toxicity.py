@@ -36,6 +36,34 @@ def test_grammar(text, want):
     assert marks(text) == want
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("I will kill you", ["threat aimed"]),
+        ("I will kill time. you", ["threat"]),
+        ("such an idiot, you know", ["insult"]),
+        ("an idiot of the first order and known as such to all of them", ["insult aimed"]),
+        ("they are a piece of trash", ["insult aimed"]),
+        ("what a piece of garbage", ["insult"]),
+        ("a piece of cake, garbage", []),
+        ("you are not a piece of trash", ["insult negated"]),
+        ("we burn down your family", ["threat aimed"]),
+        ("I will make you pay", ["threat aimed"]),
+        ("you pay", []),
+    ],
+)
+def test_phrases_and_targets_on_both_sides(text, want):
+    assert marks(text) == want
+
+
+def test_a_clause_is_one_match_of_its_words():
+    scorer = Scorer(Model())
+    letters = [scorer.symbol(w) for w in scorer.token.findall("stupid idiot you, a moron")]
+    assert scorer.machine.matches(letters) == [("insult aimed", 6.0), ("insult", 3.0)]
+    threat, time = scorer.scores(["I will kill you", "I will kill time"])
+    assert time < 0.5 < threat
+
+
 def test_scores_order_and_odd_texts():
     scorer = Scorer(Model())
     low, plain, aimed, negated = scorer.scores(["a fine day", "such an idiot", "you idiot", "you are not an idiot"])
