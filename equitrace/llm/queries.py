@@ -56,43 +56,62 @@ def _digest_parts(digest: str):
     return [F.conv(F.substring(digest, 1 + 16 * k, 16), 16, -10).cast("long").alias(f"d{k}") for k in range(4)]
 
 
+def _row_keys(docs: DataFrame) -> DataFrame:
+    """Adds file and row, which tell all rows of a Parquet table apart, whatever their ids.
+
+    They come from the files themselves, so every scan and every retry gives a row the same key.
+    """
+    return docs.withColumns({"file": F.xxhash64("_metadata.file_path"), "row": F.col("_metadata.row_index")})
+
+
 @query("op2_simhash_fingerprints")
 def fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text and its edited form; the edited form ends in the beginning of the next document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", text_of().alias("text"))
-    sizes = docs.select("doc_id", F.char_length("text").cast("long").alias("n_chars"))
-    ring = order.next_below(sizes, "doc_id", ["n_chars"])
+    """Every text and its edited form; the edited form ends in the beginning of the next document.
+
+    Rows are joined and vote by their place in the files: null and repeated ids are rows like others. Rows
+    of one id follow each other in the ring by length, text and place.
+    """
+    rows = _row_keys(table(spark, sf_dir, "documents")).select("file", "row", "doc_id", text_of().alias("text"))
+    sizes = rows.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.xxhash64("text").alias("body"), "file", "row"
+    )
+    ring = order.next_below(sizes, "doc_id", ["n_chars", "body", "file", "row"])
     cut = F.floor(F.col("n_chars") / 3).cast("int").alias("cut")
-    ring = ring.select(F.col("doc_id").alias("owner"), "n_chars", "next_doc_id", cut)
+    ring = ring.select(
+        F.col("file").alias("owner_file"), F.col("row").alias("owner_row"), "doc_id", "n_chars",
+        "next_doc_id", "next_file", "next_row", cut,
+    )
     # both joins read the texts by the same exchange
-    heads = docs.join(ring, docs["doc_id"] == ring["next_doc_id"])
-    heads = heads.select("owner", "n_chars", "next_doc_id", "cut", F.left("text", F.col("cut")).alias("head"))
-    both = docs.join(heads, docs["doc_id"] == heads["owner"]).withColumn(
+    docs = rows.select("file", "row", "text")
+    heads = docs.join(ring, (docs["file"] == ring["next_file"]) & (docs["row"] == ring["next_row"]))
+    heads = heads.select(*[c for c in ring.columns], F.left("text", F.col("cut")).alias("head"))
+    both = docs.join(heads, (docs["file"] == heads["owner_file"]) & (docs["row"] == heads["owner_row"])).withColumn(
         "edited", F.concat(F.left("text", (F.col("n_chars") - F.col("cut")).cast("int")), "head")
     )
-    both = both.withColumn("digest", F.sha2(F.encode("edited", "UTF-8"), 256))
     # shingles that end before the last word of the kept part are the same in both texts
     kept_words = word_count(F.left("text", (F.col("n_chars") - F.col("cut")).cast("int"))).cast("int")
     both = both.withColumn("digest", F.sha2(F.encode("edited", "UTF-8"), 256))
+    carry = ("doc_id", "n_chars", "next_doc_id", "next_file", "next_row", "d0", "d1", "d2", "d3")
     both = both.select(
-        "doc_id", "n_chars", "next_doc_id", "text", "edited", *_digest_parts("digest"),
+        "file", "row", *carry[:5], "text", "edited", *_digest_parts("digest"),
         F.greatest(F.lit(0), kept_words - simhash.SHINGLE).alias("shared"),
     )
-    carry = ("n_chars", "next_doc_id", "d0", "d1", "d2", "d3")
     both = simhash.with_terms(simhash.with_terms(both, "text", "own"), "edited", "tail", "shared")
     kinds = F.array(
         F.struct(F.lit(0).alias("kind"), F.slice("own", F.lit(1), F.col("shared")).alias("terms")),
         F.struct(F.lit(1).alias("kind"), F.slice("own", F.col("shared") + 1, F.size("own")).alias("terms")),
         F.struct(F.lit(2).alias("kind"), F.col("tail").alias("terms")),
     )
-    versions = both.select("doc_id", *carry, F.inline(kinds))
-    votes = simhash.count_votes(versions, ["doc_id", "kind"], "terms", carry)
+    versions = both.select("file", "row", *carry, F.inline(kinds))
+    votes = simhash.count_votes(versions, ["file", "row", "kind"], "terms", carry)
     prints = simhash.fingerprints(
-        votes, ["doc_id"], {"own": "kind <= 1", "edited": "kind <> 1"}, carry
+        votes, ["file", "row"], {"own": "kind <= 1", "edited": "kind <> 1"}, carry
     )
     prints = stage(prints, "simhash")
-    following = prints.select(F.col("doc_id").alias("next_doc_id"), F.col("own").alias("following"))
-    out = prints.join(following, "next_doc_id")
+    following = prints.select(
+        F.col("file").alias("next_file"), F.col("row").alias("next_row"), F.col("own").alias("following")
+    )
+    out = prints.join(following, ["next_file", "next_row"])
     digest = F.concat(*[F.lower(F.lpad(F.hex(f"d{k}"), 16, "0")) for k in range(4)])
     return out.select(
         "doc_id",

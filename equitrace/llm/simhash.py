@@ -3,8 +3,8 @@
 The terms of a text are its five-word shingles, and a term weighs as often as it occurs; a text of one to
 four words has its whole word sequence as its one term. Each term's 64-bit hash votes +weight or -weight
 on every bit; a bit is set where the votes are above 0. A null text is empty; a text without words has
-no votes and the fingerprint 0. Equal texts have equal fingerprints. Rows that share all keys are one
-list of terms and vote together. A very long text is a longer array in its own row; nothing is cut. An
+no votes and the fingerprint 0. Equal texts have equal fingerprints. Votes are counted
+by keys that tell all rows apart: the chunks of two rows under the same keys would share byte counters. A very long text is a longer array in its own row; nothing is cut. An
 empty table gives an empty result.
 """
 

@@ -1,5 +1,6 @@
 """Near-duplicate joins, fingerprints and components against brute force."""
 
+import hashlib
 import random
 from itertools import combinations
 
@@ -7,6 +8,7 @@ import pytest
 
 from equitrace.llm import jaccard, order, simhash
 from equitrace.llm.components import connected_components
+from equitrace.llm.queries import QUERIES
 
 
 def shingles(text, k):
@@ -156,3 +158,24 @@ def test_near_pairs_against_brute_force(spark, radius):
     asked = spark.createDataFrame([(signed[0],)], "fingerprint long")
     some = {r["other"] for r in simhash.near_pairs(frame, radius, asked).collect()}
     assert some == {b for b in signed if ((signed[0] ^ b) % 2**64).bit_count() <= radius}
+
+
+def test_fingerprints_of_null_and_repeated_ids(spark, documents, tmp_path):
+    """Each row gives one row; equal texts have equal fingerprints; the ring has no gap."""
+    long = " ".join(f"w{k}" for k in range(400))
+    rows = [(1, "one two three four five six"), (2, long), (2, long), (2, long), (2, long), (2, "other words here")]
+    rows += [(3, long), (None, "no id at all"), (None, long), (4, None), (5, long + " tail")]
+    documents(rows).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op2_simhash_fingerprints"](spark, str(tmp_path)).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in rows)
+    prints = [r["fingerprint"] for r in got if r["n_chars"] == len(long)]
+    assert len(prints) == 6 and len(set(prints)) == 1
+    # ring: by falling id, nulls last, longer texts first, then from the end to the start
+    line = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, len(r[1] or "")), reverse=True)
+    want = []
+    for k, (doc_id, text) in enumerate(line):
+        text, following = text or "", line[(k + 1) % len(line)][1] or ""
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + following[:cut]
+        want.append((str(doc_id), len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    assert sorted((str(r["doc_id"]), r["n_chars"], r["edited_sha256"]) for r in got) == sorted(want)
