@@ -1,8 +1,8 @@
 """Licences of files by sparse TF-IDF cosine to templates, then inheritance from the nearest directory.
 
 Units of a file are each line, each block between blank lines, and the whole text; words are runs of
-a-z and 0-9 after lowering A-Z. A word's idf is ln((N + 1) / (df + 1)) + 1 over all N files; words in no
-template take df = 0. A file's own licence is that of its most similar unit, if the cosine reaches the
+a-z and 0-9 after lowering A-Z. A word's idf is ln((N + 1) / (df + 1)) + 1 over all N files, whether it is in
+a template or not. A file's own licence is that of its most similar unit, if the cosine reaches the
 limit (ties: the smaller licence name). A file whose whole text reaches the limit, or which bears one of
 the given names and has an own licence, is a licence file for its directory and all below; a file without
 an own licence takes that of the nearest ancestor directory that has one.
@@ -90,17 +90,20 @@ def own_licences(files: DataFrame, templates: DataFrame) -> DataFrame:
     """id, licence, score, whole for the files (id, text) that have a unit similar to a template.
 
     The vocabulary of the templates, its idf and the anchors are bounded by the templates, which are a
-    parameter; they alone are broadcast or collected. Texts are scanned, never shuffled.
+    parameter; they alone are broadcast or collected. Texts are scanned, never shuffled. The files are counted
+    for every word, first where they lie; unit terms meet these counts in an equi-join.
     """
     vocabulary = sorted(r["word"] for r in templates.select(F.explode(words_of(F.col("text"))).alias("word")).distinct().collect())
-    terms = F.array(*[F.lit(w) for w in vocabulary]) if vocabulary else F.array().cast("array<string>")
-    hits = files.select(F.array_intersect(words_of(F.col("text")), terms).alias("hits"))
-    seen = hits.select(F.explode_outer("hits").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    seen = {r["word"]: r["df"] for r in seen.collect()}
+    words = files.select(F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
+    seen = stage(words.groupBy("word").agg(F.count("*").alias("df")), "licence-df")
+    known = {r["word"]: r["df"] for r in seen.where(F.col("word").isin(vocabulary)).collect()}
     n = files.count()
     spark = files.sparkSession
-    counts = spark.createDataFrame([(w, seen.get(w, 0)) for w in vocabulary], "word string, df bigint")
-    idf = counts.select("word", (F.log(F.lit(n + 1.0) / (F.col("df") + 1)) + 1).alias("idf"))
+
+    def weighed(counts: DataFrame) -> DataFrame:
+        return counts.select("word", (F.log(F.lit(n + 1.0) / (F.col("df") + 1)) + 1).alias("idf"))
+
+    idf = weighed(spark.createDataFrame([(w, known.get(w, 0)) for w in vocabulary], "word string, df bigint"))
     weights = stage(_template_weights(templates, idf), "licence-weights")
     anchors = [r["word"] for r in weights.where("anchor").select("word").distinct().collect()]
     anchored = F.arrays_overlap(words_of(F.col("body")), F.array(*[F.lit(w) for w in anchors])) if anchors else F.lit(False)
@@ -108,8 +111,8 @@ def own_licences(files: DataFrame, templates: DataFrame) -> DataFrame:
     units = _units(likely).where(anchored)
     tf = units.select("id", "unit", F.explode(words_of(F.col("body"))).alias("word"))
     tf = tf.groupBy("id", "unit", "word").agg(F.count("*").alias("tf"))
-    rare = F.lit(1.0) + F.log(F.lit(n + 1.0))
-    tf = tf.join(F.broadcast(idf), "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", rare))
+    # every word of a unit is one of its file's, so none is lost
+    tf = tf.join(weighed(seen), "word").withColumn("w", F.col("tf") * F.col("idf"))
     tf = stage(tf.select("id", "unit", "word", "w"), "licence-terms")
     norms = tf.groupBy("id", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
     dots = tf.join(F.broadcast(weights.select("template", "licence", "word", "weight", "norm")), "word")

@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,6 +156,29 @@ def test_chats_read_back(spark):
     assert chat.format_chats(turns.limit(0)).count() == 0
 
 
+def test_notices_inside_a_sentence(spark):
+    """Common words about a notice weigh by their own document counts; scores as by hand."""
+    notices = ["Released under the MIT License.", "All rights reserved.", licenses.TEMPLATES[0][1]]
+    bodies = [f"and so {notice} of course" for notice in notices]
+    texts = bodies + [f"and so it was of course number {k}" for k in range(300)] + ["", None]
+    files = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id long, text string").na.fill("")
+    got = {r["id"]: (r["licence"], r["score"]) for r in licenses.own_licences(files, licenses.template_table(spark)).collect()}
+    lists = [re.findall("[a-z0-9]+", (t or "").lower()) for t in texts]
+    df = Counter(w for words in lists for w in set(words))
+
+    def vector(words):
+        return {w: c * (math.log((len(texts) + 1) / (df[w] + 1)) + 1) for w, c in Counter(words).items()}
+
+    def cosine(a, b):
+        dot = sum(x * b.get(w, 0.0) for w, x in a.items())
+        return dot / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+
+    for k, name in enumerate(["MIT", "proprietary", "Apache-2.0"]):
+        notice = re.findall("[a-z0-9]+", notices[k].lower())
+        assert got[k][0] == name and got[k][1] == pytest.approx(cosine(vector(lists[k]), vector(notice)), abs=2e-6)
+    assert set(got) == {0, 1, 2}
+
+
 def test_licences_and_inheritance(spark):
     apache, mit = licenses.TEMPLATES[0][1], "Released under the MIT License."
     files = [
