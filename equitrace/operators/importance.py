@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equitrace.functions.exprs import ratio, without_suffix
 from equitrace.functions.grouping import PANEL_KEY, SERIES, one_per_key, with_group_stats
-from equitrace.operators import drivers, stats
+from equitrace.operators import drivers, forests, stats
 from equitrace.operators.scores import add_lags
-from equitrace.spec import METRIC_TYPES, PILLAR_SUFFIX, RefreshSpec
+from equitrace.sources.workspace import stage
+from equitrace.spec import METRIC_TYPES, PILLAR_SUFFIX, RIDGE, RefreshSpec
 
 
 PRICE_FEATURES = ("average_price", "acv_selling")
@@ -96,9 +98,11 @@ def price_and_distribution(keys: DataFrame, sales: DataFrame) -> DataFrame:
 def pillar_importance(
     features: DataFrame, sales: DataFrame, parents: DataFrame, spec: RefreshSpec
 ) -> DataFrame:
-    """Driver model of the dependent variable on pillar trends, for every brand and category.
+    """Every configured driver model of the dependent variable on pillar trends, for every brand and category.
 
-    Sales are those of the parent category; results carry the row's own category.
+    Sales are those of the parent category; results carry the row's own category. Ridge is fitted for each
+    brand and category; a tree ensemble is fitted once over the pooled rows, its attributions are per brand
+    and category. Columns that only one kind of model has are null for the other.
     """
     model = spec.importance_model
     chosen = trend_family(add_lags(features) if model.lags else features, spec.pillars, model.lags)
@@ -113,8 +117,19 @@ def pillar_importance(
     rows = stats.fill_dv(importance_rows(rows))
     if model.standardize:
         rows = standardise(rows)
-    results, _ = drivers.ridge_model(enough_features(rows), SERIES, model, spec)
-    return results
+    rows, parts = enough_features(rows), []
+    kinds = [k for k in model.run if k != RIDGE]
+    if RIDGE in model.run or not kinds:
+        parts.append(drivers.ridge_model(rows, SERIES, model, spec)[0])
+    if kinds:
+        samples = stage(drivers.learning_rows(rows, SERIES, model, spec), "importance-samples")
+        # trends of the configured pillars, their lags, price and distribution: a bounded list
+        names = sorted(r["var"] for r in samples.select("var").distinct().collect())
+        if names:
+            parts += [forests.tree_model(samples, names, kind, model, SERIES)[0] for kind in kinds]
+        elif not parts:
+            parts.append(drivers.ridge_model(rows, SERIES, model, spec)[0])
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
 
 
 def relative_importance(results: DataFrame, model: str) -> DataFrame:

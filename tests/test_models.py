@@ -1,10 +1,12 @@
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from equitrace.functions.grouping import PANEL_KEY, seeded_sample, with_group_stats
-from equitrace.operators import drivers, factor, forests
-from equitrace.spec import FOREST, ModelSpec, RefreshSpec, TreeGrid
+from equitrace.operators import drivers, factor, forests, importance
+from equitrace.spec import FOREST, RIDGE, ModelSpec, RefreshSpec, TreeGrid
 
 LOADINGS = {"m1": 0.9, "m2": 0.8, "m3": 0.6, "m4": 0.4, "m5": -0.7}
 
@@ -122,6 +124,28 @@ def test_forest_ranks_the_signal_first(spark):
     assert predictions.count() == 200
 
 
+def test_pillar_importance_by_every_configured_model(spark):
+    """Ridge and the pooled forest attribute the share to the pillar that drives it."""
+    spec = RefreshSpec()
+    names = spec.pillars[:3]
+    wide = spark.range(240).select(
+        F.concat(F.lit("B"), (F.col("id") % 2).cast("string")).alias("brand"), F.lit("X").alias("category"),
+        F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") / 2).cast("int")).alias("date"),
+        *[F.randn(3 + k).alias(f"{p}_trend_past") for k, p in enumerate(names)],
+    )
+    sales = wide.select(*PANEL_KEY, (5 + 2 * F.col(f"{names[0]}_trend_past") + 0.2 * F.col(f"{names[1]}_trend_past")).alias(spec.dv))
+    features = wide.unpivot(list(PANEL_KEY), [f"{p}_trend_past" for p in names], "var", "value")
+    parents = spark.createDataFrame([], "category_new string, category string")
+    small = replace(spec.importance_model, folds=2, run=(RIDGE, FOREST), forest=TreeGrid((3,), (10,), (3,)))
+    results = importance.pillar_importance(features, sales, parents, replace(spec, importance_model=small))
+    for kind in (RIDGE, FOREST):
+        shares = importance.relative_importance(results, kind).collect()
+        assert {r["brand"] for r in shares} == {"B0", "B1"}, kind
+        for brand in ("B0", "B1"):
+            best = max((r for r in shares if r["brand"] == brand), key=lambda r: r["relative_importance"])
+            assert best["var"] == f"{names[0]}_trend_past", kind
+
+
 def test_features_of_unequal_dates_share_the_draw(spark):
     """A model row is drawn once: a date's features are all training rows of one fold, or all held out."""
     rows = learning_frame(spark, 60).where("var <> 'x2' or day(date) % 3 = 0")
