@@ -94,9 +94,8 @@ class Codec:
                     tree[node] = value = least
         return [i for i in ids if i >= 0]
 
-    def _word_result(self, word: str) -> tuple[bytes, str]:
-        ids = self.encode_word(word)
-        return array("I", ids).tobytes(), " ".join(self.token[i] for i in ids)
+    def _word_result(self, word: str) -> bytes:
+        return array("I", self.encode_word(word)).tobytes()
 
     def normal(self, text: str) -> str:
         text = self.blank.sub(" ", unicodedata.normalize("NFC", text))
@@ -111,30 +110,31 @@ class Codec:
             for part in self.split.split(text)
         ]
 
-    def encode_all(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """For each text its ids as little-endian 32-bit numbers, and the text that decoding gives."""
+    def encode_ids(self, texts: list[str]) -> list[bytes]:
+        """For each text its ids as little-endian 32-bit numbers."""
         lists = [self._parts(text) for text in texts]
         self.words.fill(set().union(*(part for parts in lists for part in parts if isinstance(part, list))))
         known, out = self.words, []
         for parts in lists:
-            ids, said = [], []
+            ids = []
             for part in parts:
                 if isinstance(part, int):
                     ids.append(array("I", [part]).tobytes())
-                    said.append(self.token[part])
                 else:
-                    found = [known[w] for w in part]
-                    ids.extend(f[0] for f in found)
-                    said.extend(f[1] for f in found)
-            out.append((b"".join(ids), " ".join(said)))
+                    ids.extend(known[w] for w in part)
+            out.append(b"".join(ids))
         return out
 
+    def encode_all(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """For each text its ids, and the text that decoding these ids gives."""
+        return [(ids, self.decode(array("I", ids))) for ids in self.encode_ids(texts)]
+
     def encode(self, text: str) -> list[int]:
-        return array("I", self.encode_all([text])[0][0]).tolist()
+        return array("I", self.encode_ids([text])[0]).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The tokens of the ids, a blank between them, word-end marks kept: the file names no decoder."""
-        return " ".join(self.token[i] for i in ids if i in self.token)
+        return " ".join(filter(None, map(self.token.get, ids)))
 
 
 @lru_cache(maxsize=2)
@@ -152,10 +152,9 @@ def encode_texts(
         codec = worker_codec(content.value)
 
         def handle(texts: list[str]) -> list[tuple]:
-            done = codec.encode_all(texts)
             return [
                 (len(ids) // 4, array("i", ids).tolist(), codec.decode(array("I", ids)) if decoded else None)
-                for ids, _ in done
+                for ids in codec.encode_ids(texts)
             ]
 
         return handle

@@ -46,6 +46,15 @@ def test_encode_and_decode(texts):
         assert codec.encode_all([text])[0][1] == codec.decode(want)
 
 
+def test_the_ids_are_what_is_decoded():
+    """A wrong id-to-token step shows in the decoded text, also for words met before."""
+    codec = Codec(contents("word_bpe_49k.json"))
+    ids = codec.encode("the fox")
+    assert codec.encode_all(["the fox"])[0][1] == codec.decode(ids)
+    codec.token[ids[0]] = "wrong"
+    assert codec.encode_all(["the fox"])[0][1].startswith("wrong ")
+
+
 def test_counts_of_whole_texts(texts):
     counter = PrefixCounter(contents("byte_bpe_50k.json"))
     lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
