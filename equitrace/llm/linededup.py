@@ -198,14 +198,14 @@ def drop_repeated_lines(
     lines = stage(lines, "lines-suspects")
 
     repeated = lines.groupBy("key").agg(F.count("*").alias("docs"), F.max(F.struct("id", "file", "row")).alias("keeper"))
-    repeated = repeated.where(F.col("docs") >= least_docs).select("key", "keeper")
+    repeated = stage(repeated.where(F.col("docs") >= least_docs).select("key", "keeper"), "lines-repeated")
     gone = lines.join(repeated, "key").where(~F.struct("id", "file", "row").eqNullSafe(F.col("keeper")))
     gone = gone.groupBy("file", "row").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("gone"))
     gone = stage(gone, "lines-gone")
 
-    # only texts that may lose lines travel to the places of these
+    # only texts that may lose lines travel to the places of these, at any size of the table
     parted = _maybe_in(rows, gone)
-    changed = parted.where("maybe").join(gone, ["file", "row"], "left")
+    changed = parted.where("maybe").join(gone.hint("shuffle_merge"), ["file", "row"], "left")
     changed = changed.withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
     out = parted.where("not maybe").select("id", "text", F.lit(0).alias("n_gone"), F.col("text").alias("kept"))
     out = out.unionByName(changed.select("id", "text", F.size("gone").alias("n_gone"), _without(split, F.col("gone")).alias("kept")))
