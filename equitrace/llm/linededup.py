@@ -47,7 +47,9 @@ WHITE = " \t\n\x0b\x0c\r"
 
 def keys_of(line: Column) -> Column:
     """The line without white space at its ends, A-Z in lower case."""
-    return lower_ascii(F.btrim(line, F.lit(WHITE)))
+    bare = F.btrim(line, F.lit(WHITE))
+    plain = F.octet_length(bare) == F.char_length(bare)
+    return F.when(plain, F.lower(bare)).otherwise(lower_ascii(bare))
 
 
 def _lines(text: Column) -> Column:
@@ -190,9 +192,10 @@ def drop_repeated_lines(
     hashes = F.array_distinct(F.transform(long_keys, lambda k: F.xxhash64(k)))
     twice, slices = seen_twice(stage(rows.select(hashes.alias("hashes")), "lines-hashes"))
 
-    lines = rows.select("file", "row", "id", F.posexplode(split).alias("at", "line"))
-    lines = lines.select("file", "row", "id", "at", keys_of(F.col("line")).alias("key"))
-    lines = lines.where(F.char_length("key") >= least_chars).withColumn("hash", F.xxhash64("key"))
+    # keys are made inside the array, so that each is made once
+    numbered = F.transform(split, lambda line, i: F.struct(i.alias("at"), keys_of(line).alias("key")))
+    lines = rows.select("file", "row", "id", F.inline(F.filter(numbered, lambda x: F.char_length(x["key"]) >= least_chars)))
+    lines = lines.withColumn("hash", F.xxhash64("key"))
     lines = _suspects(lines, twice, slices).withColumn("key", F.unhex(F.sha2(F.encode("key", "UTF-8"), 256)))
     lines = lines.groupBy("file", "row", "id", "key").agg(F.collect_list("at").alias("at"))
     lines = stage(lines, "lines-suspects")
