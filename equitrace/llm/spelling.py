@@ -9,7 +9,9 @@ One edit destroys at most one of two disjoint bigrams. All bigrams have one orde
 3. Position limits: the edit is either behind a surviving bigram, so that the words agree up to its end and
    it has the same place, or before it, so that they agree from its start on and it has the same place from
    the end. The index key is the bigram with that side's whole part of the word, so only words that agree
-   there meet. Lengths that differ by more than one are dropped, and the rest is verified by edit distance.
+   there meet. Where that part is short, the key also takes half of the other part: of two halves one edit
+   spares one, so either the first or the last letters of the other parts agree as well.
+4. Lengths that differ by more than one are dropped, and the rest is verified by edit distance.
 
 Words come from `letter_runs`. The frequency table has one row for a bigram of the alphabet of 90 letters:
 at most 8,100 rows are read by the driver and broadcast.
@@ -34,8 +36,8 @@ LETTERS = "([A-Za-zÀ-ÿ]+)"
 #: code points of a word at least, so that three bigrams hold two disjoint ones
 LEAST_LENGTH = 4
 
-ENTRY = "key bigint, word string, n bigint, size int, last int, pivot boolean"
-
+#: code points of an agreeing part from which on it is a key by itself
+LONG_PART = 6
 
 def letter_runs(docs: DataFrame, least: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, run: every maximal run of letters of at least so many code points, A-Z in lower case."""
@@ -69,8 +71,8 @@ def choose_pivots(grams: list[str], rank: dict[str, int], weight: dict[str, int]
     return prefix, pair[1:], last
 
 
-def index_entries(words: DataFrame) -> DataFrame:
-    """One row for each word, prefix bigram and side: key, word, n, size, last, whether it is a pivot."""
+def with_pivots(words: DataFrame) -> DataFrame:
+    """Adds prefix and pivots, places of bigrams, and last, the rank at which the prefix ends."""
     grams = words.select(
         F.explode(F.transform(F.sequence(F.lit(1), F.char_length("word") - 1), lambda k: F.substr("word", k, F.lit(2)))).alias("gram")
     )
@@ -78,33 +80,48 @@ def index_entries(words: DataFrame) -> DataFrame:
     order = sorted(weight, key=lambda g: (weight[g], g))
     told = words.sparkSession.sparkContext.broadcast((weight, {g: k for k, g in enumerate(order)}))
 
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, rank = told.value
-        names = ["side", "part", "word", "n", "size", "last", "pivot"]
-        kinds = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+        places = pa.list_(pa.int32())
         for batch in batches:
-            out = []
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                prefix, pivots, last = choose_pivots([word[k : k + 2] for k in range(len(word) - 1)], rank, weight)
-                for p in prefix:
-                    for side, part in ((0, word[: p + 2]), (1, word[p:])):
-                        out.append((side, part, word, n, len(word), last, p in pivots))
-            columns = zip(*out, strict=True) if out else [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    rows = words.select("word", "n").mapInArrow(
-        entries, "side int, part string, word string, n bigint, size int, last int, pivot boolean"
+            out = [
+                choose_pivots([word[k : k + 2] for k in range(len(word) - 1)], rank, weight)
+                for word in batch.column(0).to_pylist()
+            ]
+            columns = [pa.array([x[k] for x in out], t) for k, t in enumerate((places, places, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=["word", "n", "prefix", "pivots", "last"])
+
+    return words.select("word", "n").mapInArrow(
+        choose, "word string, n bigint, prefix array<int>, pivots array<int>, last int"
     )
-    return rows.select(F.xxhash64("side", "part").alias("key"), "word", "n", "size", "last", "pivot")
+
+
+def index_entries(words: DataFrame, places: str) -> DataFrame:
+    """key, word, n, last: one row for each bigram at the places, side that agrees and half of the other."""
+    word, place = F.col("word"), F.col("place")
+    rows = words.select("word", "n", "last", F.explode(places).alias("place"))
+    sides = [
+        F.struct(F.lit(0).alias("side"), F.left(word, place + 2).alias("part"), F.substr(word, place + 3).alias("rest")),
+        F.struct(F.lit(1).alias("side"), F.substr(word, place + 1).alias("part"), F.left(word, place).alias("rest")),
+    ]
+    rows = rows.select("word", "n", "last", F.inline(F.array(*sides)))
+    keys = []
+    for less in (0, 1):  # halves by the shorter of two words, which this or the other may be
+        half = F.floor(F.greatest(F.char_length("rest") - less, F.lit(0)) / 2).cast("int")
+        keys.append(F.xxhash64("side", "part", half, F.lit(0), F.left("rest", half)))
+        keys.append(F.xxhash64("side", "part", half, F.when(half > 0, 1).otherwise(0), F.right("rest", half)))
+    whole = F.char_length("part") >= LONG_PART
+    keys = F.when(whole, F.array(F.xxhash64("side", "part"))).otherwise(F.array_distinct(F.array(*keys)))
+    return rows.select(F.explode(keys).alias("key"), "word", "n", "last")
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """word, n, near, near_n: every word with each word one code point away, in both directions."""
-    entries = stage(index_entries(words.where(F.char_length("word") >= LEAST_LENGTH)), "spelling-index")
-    names = ("word", "n", "size", "last")
-    asked = entries.where("pivot").select("key", *[F.col(c).alias(f"{c}_a") for c in names])
-    held = entries.select("key", *[F.col(c).alias(f"{c}_b") for c in names])
-    fits = (F.abs(F.col("size_a") - F.col("size_b")) <= 1) & (F.col("last_a") <= F.col("last_b"))
+    placed = stage(with_pivots(words.where(F.char_length("word") >= LEAST_LENGTH)), "spelling-pivots")
+    names = ("word", "n", "last")
+    asked = index_entries(placed, "pivots").select("key", *[F.col(c).alias(f"{c}_a") for c in names])
+    held = index_entries(placed, "prefix").select("key", *[F.col(c).alias(f"{c}_b") for c in names])
+    fits = (F.abs(F.char_length("word_a") - F.char_length("word_b")) <= 1) & (F.col("last_a") <= F.col("last_b"))
     pairs = asked.join(held, "key").where(fits & (F.col("word_a") != F.col("word_b")))
     pairs = pairs.where(F.levenshtein("word_a", "word_b", 1) == 1)
     ends = [F.struct(F.col(f"word_{s}").alias("word"), F.col(f"n_{s}").alias("n")) for s in "ab"]
