@@ -13,9 +13,10 @@ from equitrace.catalog.oracle import NORM, corr, r
 from equitrace.catalog.oracle import query as sql
 from equitrace.catalog.registry import query
 from equitrace.functions.grouping import PANEL_KEY, seeded_sample
-from equitrace.operators import drivers, factor, stats
+from equitrace.operators import drivers, factor, forests, stats
 from equitrace.plans import refresh
-from equitrace.spec import BOOSTED, FOREST, PILLARS_POOLED, ModelSpec, TreeGrid
+from equitrace.sources.workspace import stage
+from equitrace.spec import BOOSTED, FOREST, PILLARS_POOLED
 
 PANEL = "brand, category, date, var"
 POOLED = "(" + ", ".join(f"'{p}'" for p in PILLARS_POOLED) + ")"
@@ -511,29 +512,21 @@ def m4_selected(i: Inputs) -> DataFrame:
     return refresh.learn_drivers(rows, i.maps(), spec)
 
 
-# small grids: a fit costs about a second whatever the size of this test data
-TREES = ModelSpec(
-    folds=2,
-    forest=TreeGrid((2, 3), (15,), (2,)),
-    boosted=TreeGrid((2,), (5,), (), (0.1,)),
-)
-
-
-def tree_attributions(i: Inputs, kind: str) -> DataFrame:
-    spec = replace(i.spec, weights_model=replace(TREES, run=(kind,)))
-    rows = stats.eligible(i.brand_rows(), spec, drivers.MODEL_KEY)
-    return refresh.learn_drivers(rows, i.maps(), spec)
+def tree_results(i: Inputs, kind: str) -> DataFrame:
+    """Results of the configured grid and folds for every brand, category and pillar."""
+    rows = stats.eligible(i.brand_rows(), i.spec, drivers.MODEL_KEY)
+    samples = stage(drivers.learning_rows(rows, drivers.MODEL_KEY, i.spec.weights_model, i.spec), "samples")
+    return forests.tree_model(samples, kind, i.spec.weights_model, drivers.MODEL_KEY)[0]
 
 
 @query("m5_forest_model")
 def m5(i: Inputs) -> DataFrame:
-    """One forest per pillar, pooled over its brands; attributions per brand and category."""
-    return tree_attributions(i, FOREST)
+    return tree_results(i, FOREST)
 
 
 @query("m6_boosted_model")
 def m6(i: Inputs) -> DataFrame:
-    return tree_attributions(i, BOOSTED)
+    return tree_results(i, BOOSTED)
 
 
 @query(

@@ -25,7 +25,7 @@ from equitrace.operators import (
     weights,
 )
 from equitrace.plans import refresh
-from equitrace.spec import RIDGE
+from equitrace.spec import BOOSTED, FOREST, RIDGE
 
 PANEL = "brand, category, date, var"
 KEY = "brand, category, pillar"
@@ -334,6 +334,22 @@ def i5(i: Inputs) -> DataFrame:
     )
 
 
+def tree_importance(i: Inputs, kind: str) -> DataFrame:
+    """The configured importance grid and folds of one kind of ensemble."""
+    spec = replace(i.spec, importance_model=replace(i.spec.importance_model, run=(kind,)))
+    return importance.pillar_importance(scores.trend_features(i.trended()), i.sales(), i.parents(), spec)
+
+
+@query("i5_forest_importance")
+def i5_forest(i: Inputs) -> DataFrame:
+    return tree_importance(i, FOREST)
+
+
+@query("i5_boosted_importance")
+def i5_boosted(i: Inputs) -> DataFrame:
+    return tree_importance(i, BOOSTED)
+
+
 @query("i5_importance_with_price")
 def i5_price(i: Inputs) -> DataFrame:
     """Brands in sub-categories, whose sales lie in the parent, with price, distribution and lags."""

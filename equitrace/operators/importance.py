@@ -100,9 +100,8 @@ def pillar_importance(
 ) -> DataFrame:
     """Every configured driver model of the dependent variable on pillar trends, for every brand and category.
 
-    Sales are those of the parent category; results carry the row's own category. Ridge is fitted for each
-    brand and category; a tree ensemble is fitted once over the pooled rows, its attributions are per brand
-    and category. Columns that only one kind of model has are null for the other.
+    Sales are those of the parent category; results carry the row's own category. Every model is fitted for
+    each brand and category. Columns that only one kind of model has are null for the other.
     """
     model = spec.importance_model
     chosen = trend_family(add_lags(features) if model.lags else features, spec.pillars, model.lags)
@@ -123,12 +122,7 @@ def pillar_importance(
         parts.append(drivers.ridge_model(rows, SERIES, model, spec)[0])
     if kinds:
         samples = stage(drivers.learning_rows(rows, SERIES, model, spec), "importance-samples")
-        # trends of the configured pillars, their lags, price and distribution: a bounded list
-        names = sorted(r["var"] for r in samples.select("var").distinct().collect())
-        if names:
-            parts += [forests.tree_model(samples, names, kind, model, SERIES)[0] for kind in kinds]
-        elif not parts:
-            parts.append(drivers.ridge_model(rows, SERIES, model, spec)[0])
+        parts += [forests.tree_model(samples, kind, model, SERIES)[0] for kind in kinds]
     return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
 
 

@@ -118,8 +118,7 @@ def select_features(rows: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataF
 def learn_drivers(rows: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataFrame:
     """Attributions of every configured weights model.
 
-    The ridge models of all keys are one job. Tree ensembles are fitted once per configured
-    pillar, each fit distributed over the pooled rows; pillars without rows are left out.
+    The models of all keys are one job, whatever their kind.
     """
     model, out = spec.weights_model, [*drivers.MODEL_KEY, "var", "model", "attribution"]
     parts = [rows.sparkSession.createDataFrame([], ATTRIBUTIONS)]
@@ -130,27 +129,10 @@ def learn_drivers(rows: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataFra
     kinds = [k for k in model.run if k != RIDGE]
     if kinds:
         samples = stage(drivers.learning_rows(rows, drivers.MODEL_KEY, model, spec), "samples")
-        names = feature_names(maps.dictionary)
-        filled = {r["pillar"] for r in samples.select("pillar").distinct().collect()}
-        for pillar in [p for p in spec.pillars if p in filled]:
-            for kind in kinds:
-                found, _ = forests.tree_model(
-                    samples.where(F.col("pillar") == pillar), names[pillar], kind, model,
-                    ["brand", "category"],
-                )
-                parts.append(found.withColumn("pillar", F.lit(pillar)).select(*out))
+        parts += [forests.tree_model(samples, kind, model, drivers.MODEL_KEY)[0].select(*out) for kind in kinds]
     return reduce(DataFrame.unionByName, parts)
 
 
-def feature_names(dictionary: DataFrame) -> dict[str, list[str]]:
-    """Metric names per pillar, read from the metric dictionary (a hand-kept list)."""
-    rows = stats.pillar_metrics(dictionary).select("pillar", "var").distinct()
-    out: dict[str, list[str]] = {}
-    for r in rows.orderBy("pillar", "var").toLocalIterator():
-        out.setdefault(r["pillar"], []).append(r["var"])
-    return out
-
-
 def learn_weights(
     scaled: DataFrame, modelling: DataFrame, dv: DataFrame, maps: Mappings, spec: RefreshSpec
 ) -> DataFrame:
@@ -197,11 +179,11 @@ def publish_summary(panel: DataFrame, scored: Scores, sheet: DataFrame, maps: Ma
 
 
 def publish_importance(scored: Scores, sales_panel: DataFrame, maps: Mappings, spec: RefreshSpec) -> DataFrame:
-    """Relative importance of every pillar per brand and category."""
+    """Relative importance of every pillar per brand and category, by the model that the settings publish."""
     features = scores.trend_features(scored.trended)
     results = importance.pillar_importance(features, sales_panel, maps.category_parents, spec)
     return scorecard.importance_sheet(
-        importance.relative_importance(results, RIDGE), maps.price_classes
+        importance.relative_importance(results, spec.importance_model.published), maps.price_classes
     )
 
 

@@ -118,14 +118,14 @@ def test_positive_ridge_drops_the_negative_effect(spark):
 def test_forest_ranks_the_signal_first(spark):
     model = ModelSpec(folds=2, forest=TreeGrid((3,), (10,), (3,)))
     samples = drivers.learning_rows(learning_frame(spark, 200), drivers.MODEL_KEY, model, RefreshSpec())
-    found, predictions = forests.tree_model(samples, ["x1", "x2", "x3"], FOREST, model, ["brand", "category"])
+    found, predictions = forests.tree_model(samples, FOREST, model, ["brand", "category"])
     got = {r["var"]: r["attribution"] for r in found.collect()}
     assert got["x1"] > got["x2"] > got["x3"]
     assert predictions.count() == 200
 
 
 def test_pillar_importance_by_every_configured_model(spark):
-    """Ridge and the pooled forest attribute the share to the pillar that drives it."""
+    """Ridge and the forest attribute the share to the pillar that drives it."""
     spec = RefreshSpec()
     names = spec.pillars[:3]
     wide = spark.range(240).select(
