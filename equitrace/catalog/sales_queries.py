@@ -311,12 +311,11 @@ def h2_wide(i: Inputs) -> DataFrame:
         "wide sales",
         f"""select brand, category, date, {r("survey_reach_orders_all")}, {r("total_sales")},
         {r("market_share_total_sales")} from wide left join
-        (select * from sales where date >= cast('1996-01-01' as date)) using (brand, category, date)""",
+        sales using (brand, category, date)""",
     ),
 )
 def h3(i: Inputs) -> DataFrame:
-    late = i.sales().where(F.col("date") >= F.lit(dt.date(1996, 1, 1)))
-    return harmonise.add_sales(i.panel_wide(), late).select(
+    return harmonise.add_sales(i.panel_wide(), i.sales()).select(
         "brand", "category", "date", "survey_reach_orders_all", "total_sales", "market_share_total_sales"
     )
 

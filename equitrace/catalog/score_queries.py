@@ -280,15 +280,14 @@ def i1(i: Inputs) -> DataFrame:
     sql(
         "features sales",
         f"""select {PANEL}, {r("value")}, {r("total_sales")}, {r("average_price")} from features
-        left join (select brand, category, date, total_sales, average_price from sales
-          where date >= cast('1996-01-01' as date)) using (brand, category, date)""",
+        left join (select brand, category, date, total_sales, average_price from sales) using (brand, category, date)""",
     ),
 )
 def i2(i: Inputs) -> DataFrame:
     """Through sub-category and parent the rows find the sales of their own category again."""
-    late = i.sales().where(F.col("date") >= "1996-01-01").select(*PANEL_KEY, "total_sales", "average_price")
+    sold = i.sales().select(*PANEL_KEY, "total_sales", "average_price")
     rows = importance.parent_category(moved_features(i), i.parents()).drop("category_new")
-    return importance.join_sales(rows, late)
+    return importance.join_sales(rows, sold)
 
 
 FAMILY = "select * from features where var like '%\\_trend\\_past' escape '\\'"
@@ -612,23 +611,20 @@ def e6_importance(i: Inputs) -> DataFrame:
     return refresh.publish_importance(scored, i.sales(), i.maps(), i.spec)
 
 
-OLD_CARD = """select brand, category, date, equity_pillar, scaled_scores *
-  case when month(date) % 2 = 0 then 0.9::double else 1.0::double end old_score from summary
-  where metric_type = 'Pillar' and date >= cast('1996-01-01' as date)"""
-MOVES_SQL = f"""select n.brand, n.category, n.date, n.equity_pillar, old_score, n.scaled_scores new_score,
+MOVES_SQL = """with card as materialized (select brand, category, date, equity_pillar, scaled_scores from summary where metric_type = 'Pillar'),
+  old as (select * exclude (scaled_scores), scaled_scores * case when month(date) % 2 = 0 then 0.9::double else 1.0::double end old_score from card)
+  select n.brand, n.category, n.date, n.equity_pillar, old_score, n.scaled_scores new_score,
   (n.scaled_scores - old_score) / nullif(old_score, 0) * 100 pct,
   coalesce(old_score = 0 and n.scaled_scores <> 0, false) from_zero, n.brand || ' ' || split_part(n.category, ' ', 1) as label
-  from summary n join ({OLD_CARD}) o on n.brand = o.brand and n.category = o.category and n.date = o.date
-  and n.equity_pillar = o.equity_pillar where n.metric_type = 'Pillar'"""
+  from card n join old o on n.brand = o.brand and n.category = o.category and n.date = o.date
+  and n.equity_pillar = o.equity_pillar"""
 FLAG = "(coalesce(abs(pct) > 5, false) or from_zero)"
 
 
 def old_card(i: Inputs, card: DataFrame) -> DataFrame:
-    """The scorecard of the refresh before: later start, and lower scores in every other month."""
+    """The scorecard of the refresh before: lower scores in every other month."""
     factor = F.when(F.month("date") % 2 == 0, 0.9).otherwise(1.0)
-    return card.where(F.col("date") >= "1996-01-01").withColumn(
-        "scaled_scores", F.col("scaled_scores") * factor
-    )
+    return card.withColumn("scaled_scores", F.col("scaled_scores") * factor)
 
 
 @query(
