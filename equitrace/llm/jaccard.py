@@ -1,8 +1,10 @@
 """Similarity join of word-shingle sets by Jaccard, with token-combination prefixes.
 
 A set of n shingles that is similar to another shares at least o = ceil(t n) with it. With all sets in
-one order of shingles (by hash), similar sets share a shingle among their first n - o + 1 (the prefix),
-and k of them among their first n - o + k.
+one order of shingles, similar sets share a shingle among their first n - o + 1 (the prefix), and k of them
+among their first n - o + k. Shingles are ordered from rare to frequent: a class of frequency, learned from
+at most SAMPLE_DOCS texts, then a hash. Any fixed order gives the same links, so the sample costs none; but
+prefixes hold what few texts have, and texts with a common passage do not meet by it.
 
 1. Each set gives its head: its prefix and some shingles more (the slack). A shingle counts as shared if
    two heads have it. A set whose head holds a prefix of shingles of its own, and no more shared ones
@@ -19,8 +21,10 @@ and k of them among their first n - o + k.
    costs its size, and no link between components is missed.
 
 Null texts are empty; without words the set is empty and linked with nothing; a text of fewer words than
-a shingle has is one shingle. Rows that share an id are one document with several texts. Rows with a
-null id are left out, since a component is named by an id. An empty table gives an empty result.
+a shingle has is one shingle. Every row is a document of its own, told apart by its place in the files (a
+64-bit hash; a table that is no plain scan of files is written first), whatever its id: repeated ids and
+null ids are rows like others. A component is named by its least id that is not null, or null where it has
+none. An empty table gives an empty result. Columns beside id and text are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ from fractions import Fraction
 
 import numpy as np
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +56,10 @@ BROADCAST_IDS = 500_000
 CENTRE_ROUNDS = 2
 #: open pairs per index entry at which the rest is verified pair by pair at once
 FEW_PAIRS = 4
+#: texts that the order of shingles is learned from, at most; frequent shingles that are broadcast, at most
+SAMPLE_DOCS, FREQUENT_LISTED = 10_000, 200_000
+#: low bits of a hash that give way to the class of frequency
+CLASS_BITS = 4
 #: known words of a Python task; beyond, the table starts anew
 CACHE_WORDS = 300_000
 
@@ -91,8 +100,18 @@ class Shingler:
     """Sorted distinct 64-bit shingle hashes of texts; bytes.lower and bytes.split know exactly A-Z and
     the six white-space characters that part words."""
 
-    def __init__(self, words: int):
-        self.words, self.known = words, {}
+    def __init__(self, words: int, frequent: tuple[np.ndarray, np.ndarray] | None = None):
+        self.words, self.known, self.frequent = words, {}, frequent
+
+    def ordered(self, hashes: np.ndarray) -> np.ndarray:
+        """Distinct shingles as numbers in the common order: class of frequency first, then the hash."""
+        plain = np.unique(hashes >> np.uint64(CLASS_BITS)).view(np.int64)
+        if self.frequent is None or not len(self.frequent[0]):
+            return plain
+        listed, classes = self.frequent
+        at = np.minimum(np.searchsorted(listed, plain), len(listed) - 1)
+        kind = np.where(listed[at] == plain, classes[at], 0)
+        return np.sort(plain | kind << (63 - CLASS_BITS + 1))
 
     def __call__(self, text: str) -> np.ndarray:
         parts = text.encode("utf-8").lower().split()
@@ -109,21 +128,38 @@ class Shingler:
             out = np.full(len(parts) - size + 1, size, dtype=np.uint64)
             for k in range(size):
                 out = _mix(out * M1 + hashes[k : len(parts) - size + 1 + k])
-        return np.unique(out.view(np.int64))
+        return self.ordered(out)
 
 
-def _map_sets(rows: DataFrame, words: int, fields: str, emit: Callable[[np.ndarray], tuple]) -> DataFrame:
-    """rows (id, text) -> id and what emit gives for the text's set."""
+def _map_sets(
+    rows: DataFrame, words: int, order, fields: str, emit: Callable[[np.ndarray], tuple], keep: tuple[str, ...] = ("id",)
+) -> DataFrame:
+    """rows (id, text) -> id and what emit gives for the text's set, in an order that was broadcast."""
 
     def make():
-        shingler = Shingler(words)
+        shingler = Shingler(words, order.value if order else None)
         return lambda texts: [emit(shingler(t)) for t in texts]
 
-    return map_texts(rows, ["id"], "text", make, fields)
+    return map_texts(rows, list(keep), "text", make, fields)
+
+
+def _shingle_order(rows: DataFrame, rule: Rule):
+    """The frequent shingles of a bounded sample of texts, with a class each; only their order depends on it."""
+    n = rows.count()
+    every = max(1, -(-n // SAMPLE_DOCS))
+    some = rows.where(F.pmod(F.col("id"), F.lit(every)) == 0).limit(2 * SAMPLE_DOCS)
+    sets = _map_sets(some, rule.words, None, "items array<bigint>", lambda items: (items.tolist(),))
+    counts = sets.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    listed = counts.orderBy(F.desc("n"), "token").limit(FREQUENT_LISTED).collect()
+    tokens = np.array([r["token"] for r in listed], dtype=np.int64)
+    # twice, four times, ... the count: one class each
+    classes = np.minimum(np.log2(np.maximum([r["n"] for r in listed], 2)).astype(np.int64), 2 ** (CLASS_BITS - 1) - 1)
+    by_token = tokens.argsort()
+    return rows.sparkSession.sparkContext.broadcast((tokens[by_token], classes[by_token] if len(tokens) else classes))
 
 
-def _heads(rows: DataFrame, rule: Rule) -> DataFrame:
-    """id, n, digest, head: the smallest hashes of the set, its prefix and the slack."""
+def _heads(rows: DataFrame, rule: Rule, order) -> DataFrame:
+    """id, name, n, digest, head: the smallest hashes of the set, its prefix and the slack."""
     num, den, words, part, least = rule.num, rule.den, rule.words, SLACK_PART, LEAST_SLACK
 
     def emit(items: np.ndarray):
@@ -132,11 +168,11 @@ def _heads(rows: DataFrame, rule: Rule) -> DataFrame:
         digest = xxhash.xxh3_128_digest(items.tobytes())
         return n, digest, items[: prefix + prefix // part + least].tolist()
 
-    return _map_sets(rows, words, "n int, digest binary, head array<bigint>", emit)
+    return _map_sets(rows, words, order, "n int, digest binary, head array<bigint>", emit, ("id", "name"))
 
 
-def _whole_sets(rows: DataFrame, rule: Rule) -> DataFrame:
-    return _map_sets(rows, rule.words, "n int, items array<bigint>", lambda items: (len(items), items.tolist()))
+def _whole_sets(rows: DataFrame, rule: Rule, order) -> DataFrame:
+    return _map_sets(rows, rule.words, order, "n int, items array<bigint>", lambda items: (len(items), items.tolist()))
 
 
 def _open_nodes(heads: DataFrame, rule: Rule) -> DataFrame:
@@ -228,7 +264,7 @@ def _crossing(groups: DataFrame, rule: Rule) -> DataFrame:
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rule, order) -> DataFrame:
     """(node, label) of all nodes that have a link."""
     small = groups.where(F.col("members") <= FREQUENT).withColumn("label", F.col("node")).withColumn("spare", F.col("n"))
     large = groups.where(F.col("members") > FREQUENT).select("key", "node", "n")
@@ -237,7 +273,7 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
     busy = stage(busy, "jaccard-busy")
     few = busy.count() <= BROADCAST_IDS
     kept = texts.join(F.broadcast(busy) if few else busy, texts["id"] == busy["node"], "left_semi")
-    sets = _whole_sets(kept, rule)
+    sets = _whole_sets(kept, rule, order)
     sets = stage(sets.withColumnRenamed("id", "node"), "jaccard-sets")
     links = stage(_verified(pairs, sets, rule), "jaccard-links")
     labels = stage(connected_components(links), "jaccard-labels")
@@ -283,18 +319,38 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
     return labels
 
 
+def with_places(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """id, a hash of every row's place in its files, and the columns."""
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("id")
+    named = [c.alias(n) for n, c in columns.items()]
+    try:
+        return docs.select(place, *named)
+    except AnalysisException:
+        return stage(docs.select(*named), "jaccard-rows").select(place, *columns)
+
+
 def near_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row with an id: id, n_shingles, component_id (the least id that links reach)."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    heads = stage(_heads(texts, rule), "jaccard-heads")
+    """One row per input row: id, n_shingles, component_id (the least id that links reach), place (the row's
+    key) and keeper (whether the row stands for its component: the one of least id, nulls last, then place)."""
+    rows = with_places(docs, {"name": F.col(id_col), "text": F.col(text_col).cast("string")})
+    texts = rows.select("id", "text")
+    order = _shingle_order(texts, rule)
+    heads = stage(_heads(rows, rule, order), "jaccard-heads")
     nodes = stage(_open_nodes(heads, rule), "jaccard-nodes")
     groups = _index(nodes.select("node", "n", "head"), rule)
-    labels = _link_nodes(groups, nodes.select("node", "n", "head"), texts, rule)
-    named = nodes.select("digest", "n", "node").join(labels, "node", "left")
-    named = named.select("digest", "n", F.coalesce("label", "node").alias("component_id"))
-    out = heads.select("id", "n", "digest").join(named, ["digest", "n"], "left")
+    labels = _link_nodes(groups, nodes.select("node", "n", "head"), texts, rule, order)
+    # of equal sets, then of a component, the first row; combined on the map side
+    first = F.min(F.struct(F.col("name").isNull().alias("none"), "name", F.col("id").alias("place")))
+    firsts = heads.where("n > 0").groupBy("digest", "n").agg(first.alias("first"))
+    named = nodes.select("digest", "n", "node").join(labels, "node", "left").join(firsts, ["digest", "n"])
+    named = stage(named.select("digest", "n", F.coalesce("label", "node").alias("label"), "first"), "jaccard-named")
+    heads_of = named.groupBy("label").agg(F.min("first").alias("first"))
+    named = named.drop("first").join(heads_of, "label").select("digest", "n", "first")
+    out = heads.select("id", "name", "n", "digest").join(named, ["digest", "n"], "left")
     return out.select(
-        F.col("id").alias(id_col),
+        F.col("name").alias(id_col),
         F.col("n").cast("long").alias("n_shingles"),
-        F.coalesce("component_id", "id").alias("component_id"),
+        F.when(F.col("first").isNull(), F.col("name")).otherwise(F.col("first.name")).alias("component_id"),
+        F.col("id").alias("place"),
+        F.coalesce(F.col("first.place") == F.col("id"), F.lit(True)).alias("keeper"),
     )

@@ -273,7 +273,8 @@ NEAR_RULE = jaccard.Rule(3, 90, 100)
 
 @query("op4_ngram_jaccard_join")
 def near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_components(table(spark, sf_dir, "documents"), NEAR_RULE)
+    found = jaccard.near_components(table(spark, sf_dir, "documents"), NEAR_RULE)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 _TEMPLATE_ROWS = ", ".join(

@@ -17,16 +17,19 @@ from __future__ import annotations
 from functools import lru_cache
 from itertools import accumulate
 
+import ahocorasick
 import regex
 from pyspark.sql import DataFrame
 
-from equitrace.llm.vocab import WordCache, byte_letters, file_broadcast, map_texts, read_model
+from equitrace.llm.vocab import byte_letters, file_broadcast, map_texts, read_model
 
 #: fixed value: the pattern of this kind of vocabulary
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = 1 << 60
 #: answers about pairs that a worker keeps
 CACHE_PAIRS = 1_000_000
+#: counts of pieces that a worker keeps, beside those of the texts at hand
+CACHE_PIECES = 600_000
 
 
 class PrefixCounter:
@@ -48,12 +51,15 @@ class PrefixCounter:
         self.token = {
             self.bytes_of[t]: t for t in self.bytes_of if len(self.bytes_of[t]) == 1 or self._whole(t)
         }
-        self.longest = max(map(len, self.token), default=1)
+        self.endings = ahocorasick.Automaton()
+        for content_bytes, t in self.token.items():
+            self.endings.add_word(content_bytes.decode("latin-1"), (t, len(content_bytes)))
+        self.endings.make_automaton()
         self.pattern = regex.compile(PATTERN)
         self.special_pattern = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.space = regex.compile(r"\s*")
         self.cut_pattern = regex.compile(r"'(?:re|ve|ll)")
-        self.known = WordCache(self.piece)
+        self.totals: dict[str, int] = {}
 
     def _edges(self, a: int, b: int, top: bool) -> bool:
         """Whether no two symbols at the border of a and b merge while both exist; top: the pair itself may."""
@@ -90,17 +96,29 @@ class PrefixCounter:
         return known
 
     def bytes_counts(self, body: bytes) -> list[int]:
-        """Tokens of every prefix of one piece's bytes, the empty one first."""
-        token, longest, survives = self.token, self.longest, self.survives
-        counts, last = [0] * (len(body) + 1), [-1] * (len(body) + 1)
-        for i in range(1, len(body) + 1):
-            for j in range(max(0, i - longest), i):
-                t = token.get(body[j:i])
-                if t is not None and (j == 0 or survives(last[j], t)):
-                    last[i], counts[i] = t, counts[j] + 1
-                    break
+        """Tokens of every prefix of one piece's bytes, the empty one first.
+
+        The automaton visits, end by end, only the tokens that end there, the longest first.
+        """
+        counts, last, pairs = [0] * (len(body) + 1), [-1] * (len(body) + 1), self.pairs
+        for end, (t, size) in self.endings.iter(body.decode("latin-1")):
+            end += 1
+            if last[end] < 0:
+                start = end - size
+                if start:
+                    before = last[start]
+                    fits = pairs.get((before, t))
+                    if fits is None:
+                        fits = self.survives(before, t)
+                    if not fits:
+                        continue
+                last[end], counts[end] = t, counts[start] + 1
         return counts
 
+    def total(self, piece: str) -> int:
+        """Tokens of one piece."""
+        return self.bytes_counts(piece.encode("utf-8"))[-1]
+
     def piece(self, piece: str) -> bytes | list[int]:
         """Tokens of every prefix of one piece, by code points, the empty one first."""
         counts = self.bytes_counts(piece.encode("utf-8"))
@@ -112,8 +130,7 @@ class PrefixCounter:
         return bytes(counts) if counts[-1] < 256 else counts
 
     def lookup(self, piece: str) -> bytes | list[int]:
-        found = self.known.get(piece)
-        return self.piece(piece) if found is None else found
+        return self.piece(piece)
 
     def segments(self, text: str) -> list[tuple[int, int, bool]]:
         """Start, end, whether it is a special token."""
@@ -141,9 +158,15 @@ class PrefixCounter:
             else:
                 lists.append(self.pieces(text))
                 extra.append(0)
-        self.known.fill(set().union(*lists))
-        known = self.known
-        return [sum(known[p][-1] for p in pieces) + k for pieces, k in zip(lists, extra, strict=True)]
+        known, count = self.totals, self.bytes_counts
+        if len(known) > CACHE_PIECES:
+            known.clear()
+        for pieces in lists:
+            for p in pieces:
+                if p not in known:
+                    known[p] = count(p.encode("utf-8"))[-1]
+        of = known.__getitem__
+        return [sum(map(of, pieces)) + k for pieces, k in zip(lists, extra, strict=True)]
 
     def prefix_counts(self, text: str, budget: int | None = None) -> list[int]:
         """Tokens of text[:n] for n = 0 .. len(text), each what encoding that prefix alone gives.
@@ -193,9 +216,23 @@ class PrefixCounter:
         return out[left] + sum(self.lookup(p)[-1] for p in self.pieces(text[left:n]))
 
     def longest_prefix(self, text: str, budget: int) -> int:
-        """Code points of the longest prefix that has at most budget tokens."""
-        counts = self.prefix_counts(text, budget)
-        return max(n for n, c in enumerate(counts) if c <= budget)
+        """Code points of the longest prefix that has at most budget tokens.
+
+        Whole pieces are added up as far as the budget reaches; the counts of every prefix are needed only
+        from the last end of a word on, where the pieces of the rest begin anew.
+        """
+        start, left = 0, budget
+        if not self.special_ahead(text, 0):
+            base, of = 0, self.totals
+            for m in self.pattern.finditer(text):
+                piece = m[0]
+                base += of.get(piece) or self.total(piece)
+                if base > budget:
+                    break
+                if not piece[-1].isspace():
+                    start, left = m.end(), budget - base
+        counts = self.prefix_counts(text[start:], left)
+        return start + max(n for n, c in enumerate(counts) if c <= left)
 
 
 @lru_cache(maxsize=2)

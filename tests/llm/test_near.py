@@ -95,10 +95,36 @@ def test_frequent_classes_lose_no_link(documents, monkeypatch, frequent, long_se
 
 def test_odd_rows(documents, spark):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"), (6, "two words"), (7, "two  WORDS"), (7, "two words")]
-    got = [tuple(r) for r in jaccard.near_components(documents(rows), jaccard.Rule(3, 90, 100)).collect()]
+    got = [tuple(r)[:3] for r in jaccard.near_components(documents(rows), jaccard.Rule(3, 90, 100)).collect()]
     assert sorted(got) == [(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4), (6, 1, 6), (7, 1, 6), (7, 1, 6)]
     assert jaccard.near_components(documents([])).count() == 0
-    assert jaccard.near_components(documents([(None, "no id at all here")])).count() == 0
+
+
+def test_rows_of_null_and_repeated_ids(documents):
+    """Every row is a document: none is lost, and rows of one id may be in different components."""
+    a, b = "first text of many words here", "second one with other words in it"
+    rows = [(0, b), (1, a), (1, b), (2, a), (None, a), (None, "alone without any id"), (None, "alone without any id"), (3, "x")]
+    got = jaccard.near_components(documents(rows), jaccard.Rule(3, 90, 100)).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[2] is None, r[2] or 0, r[1])
+    want = [(0, 5, 0), (1, 4, 1), (1, 5, 0), (2, 4, 1), (None, 4, 1), (None, 2, None), (None, 2, None), (3, 1, 3)]
+    assert sorted([tuple(r)[:3] for r in got], key=key) == sorted(want, key=key)
+    # four components of several rows or one: each keeps one row
+    assert sum(r["keeper"] for r in got) == 4 and len({r["place"] for r in got}) == len(rows)
+
+
+def test_crowd_that_shares_most_of_a_template(documents):
+    """Many texts that share a long passage and are not similar: linked only where their own words agree."""
+    draw = random.Random(11)
+    passage = [f"p{k}" for k in range(60)]
+    rows = []
+    for i in range(150):
+        own = [f"o{draw.randrange(10**6)}" for _ in range(12)]
+        words = passage + own if i % 2 else own + passage
+        rows.append((i, " ".join(words)))
+        if i % 10 == 0:
+            rows.append((1000 + i, " ".join([*words, "end"])))
+    rule = jaccard.Rule(3, 90, 100)
+    assert near(documents, rows, rule) == expected(rows, rule)
 
 
 def test_connected_components(spark):

@@ -24,7 +24,7 @@ def marks(text):
         ("you are not an idiot", ["insult negated"]),
         ("he said you are an idiot", ["insult reported"]),
         ("he said so. you idiot", ["insult aimed"]),
-        ("I will kill you, they said", ["threat"]),
+        ("I will kill you, they said", ["threat aimed"]),
         ("they will hurt the dog", ["threat aimed"]),
         ("not here. stupid", ["insult"]),
         ("IDIOT; never stupid", ["insult", "insult negated"]),
