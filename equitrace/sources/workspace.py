@@ -22,13 +22,14 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def _session_dir(spark: SparkSession) -> str:
+def session_dir(spark: SparkSession) -> str:
+    """Where this session's staged tables lie; drop_staged removes it."""
     return f"{shared_dir(spark)}/equitrace/{spark.conf.get('spark.app.id', 'app')}"
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Remove every table this session has staged; call it when no result that reads them is left."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -40,6 +41,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     any executor.
     """
     spark = df.sparkSession
-    path = f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{session_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
