@@ -3,7 +3,7 @@
 A set of n shingles that is similar to another shares at least o = ceil(t n) with it. With all sets in
 one order of shingles, similar sets share a shingle among their first n - o + 1 (the prefix), and k of them
 among their first n - o + k. Shingles are ordered from rare to frequent: a class of frequency, learned from
-at most SAMPLE_DOCS texts, then a hash. Any fixed order gives the same links, so the sample costs none; but
+about SAMPLE_DOCS texts, then a hash. Any fixed order gives the same links, so the sample costs none; but
 prefixes hold what few texts have, and texts with a common passage do not meet by it.
 
 1. Each set gives its head: its prefix and some shingles more (the slack). A shingle counts as shared if
@@ -56,7 +56,7 @@ BROADCAST_IDS = 500_000
 CENTRE_ROUNDS = 2
 #: open pairs per index entry at which the rest is verified pair by pair at once
 FEW_PAIRS = 4
-#: texts that the order of shingles is learned from, at most; frequent shingles that are broadcast, at most
+#: texts that the order of shingles is learned from, by a hash of their place; frequent shingles that are broadcast, at most
 SAMPLE_DOCS, FREQUENT_LISTED = 10_000, 200_000
 #: low bits of a hash that give way to the class of frequency
 CLASS_BITS = 4
@@ -147,7 +147,7 @@ def _shingle_order(rows: DataFrame, rule: Rule):
     """The frequent shingles of a bounded sample of texts, with a class each; only their order depends on it."""
     n = rows.count()
     every = max(1, -(-n // SAMPLE_DOCS))
-    some = rows.where(F.pmod(F.col("id"), F.lit(every)) == 0).limit(2 * SAMPLE_DOCS)
+    some = rows.where(F.pmod(F.col("id"), F.lit(every)) == 0)
     sets = _map_sets(some, rule.words, None, "items array<bigint>", lambda items: (items.tolist(),))
     counts = sets.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     listed = counts.orderBy(F.desc("n"), "token").limit(FREQUENT_LISTED).collect()
