@@ -319,20 +319,24 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
     return labels
 
 
-def with_places(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """id, a hash of every row's place in its files, and the columns."""
-    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("id")
-    named = [c.alias(n) for n, c in columns.items()]
+def on_files(docs: DataFrame) -> DataFrame:
+    """The table itself where it is a scan of files, whose rows have a place; else written and read back."""
     try:
-        return docs.select(place, *named)
+        docs.select("_metadata.row_index")
+        return docs
     except AnalysisException:
-        return stage(docs.select(*named), "jaccard-rows").select(place, *columns)
+        return stage(docs, "jaccard-rows")
+
+
+def place() -> Column:
+    """A hash of a row's place in its files."""
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index")
 
 
 def near_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the least id that links reach), place (the row's
     key) and keeper (whether the row stands for its component: the one of least id, nulls last, then place)."""
-    rows = with_places(docs, {"name": F.col(id_col), "text": F.col(text_col).cast("string")})
+    rows = on_files(docs).select(place().alias("id"), F.col(id_col).alias("name"), F.col(text_col).cast("string").alias("text"))
     texts = rows.select("id", "text")
     order = _shingle_order(texts, rule)
     heads = stage(_heads(rows, rule, order), "jaccard-heads")
