@@ -24,19 +24,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
+def _tangled(edges: DataFrame) -> DataFrame:
+    """Nodes that hang on several others, or hang on one and are hung upon; none are left in stars."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    return ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down + up > 1 and down > 0")
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of the links (a, b): label is the component's least node.
 
     Each round's edges are written to the shared folder, so a lost executor costs one round. Nodes are
-    only ever grouped by aggregates; no neighbour list is held in memory. Ends when no edge moves.
+    only ever grouped by aggregates; no neighbour list is held in memory. Edges run down and a round keeps
+    components, so it ends when the edges are stars: their centres are the least nodes.
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    edges = stage(edges, "cc")
-    seen = None
     while True:
         edges = stage(_small_star(_large_star(edges)).distinct(), "cc")
-        check = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        if check == seen:
-            break
-        seen = check
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+        if _tangled(edges).isEmpty():
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))

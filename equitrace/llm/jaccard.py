@@ -276,7 +276,7 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
     sets = _whole_sets(kept, rule, order)
     sets = stage(sets.withColumnRenamed("id", "node"), "jaccard-sets")
     links = stage(_verified(pairs, sets, rule), "jaccard-links")
-    labels = stage(connected_components(links), "jaccard-labels")
+    labels = connected_components(links)
     if large.isEmpty():
         return labels
     large = _spares(large, sets, rule)
@@ -312,8 +312,8 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
         found = stage(_verified(_plausible(tries, nodes, rule), sets, rule), "jaccard-links")
         fruitless = found.isEmpty()
         if not fruitless:
-            links = stage(links.unionByName(found), "jaccard-links")
-            labels = stage(connected_components(links), "jaccard-labels")
+            links = links.unionByName(found)
+            labels = connected_components(links)
         if last:
             break
     return labels
