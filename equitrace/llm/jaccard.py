@@ -242,16 +242,17 @@ def _may_fit(a: tuple[str, str], b: tuple[str, str], rule: Rule) -> Column:
 
 
 def _spares(large: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Adds spare, a set's shingles that any other set of the large groups has; sets that have too few leave.
+    """spare: a set's shingles that any other set of these groups has; sets that have too few leave.
 
-    In a crowd of near copies that are not near enough, this sees what each has of its own.
+    In a crowd of near copies that are not near enough, this sees what each has of its own. It reads whole
+    sets, so it is asked only for groups that centres have not closed.
     """
     crowd = sets.join(large.select("node").distinct(), "node", "left_semi")
     tokens = crowd.select("node", F.explode("items").alias("token"))
     alone = tokens.groupBy("token").agg(F.count("*").alias("sets"), F.min("node").alias("node")).where("sets = 1")
     alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
     spare = F.expr("cast(n - coalesce(alone, 0) as int)").alias("spare")
-    rows = large.join(alone, "node", "left").select("key", "node", "n", spare)
+    rows = large.join(alone, "node", "left").select("key", "node", "n", "label", spare)
     return rows.where(F.expr(f"spare >= {rule.least_overlap()}"))
 
 
@@ -279,7 +280,6 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
     labels = connected_components(links)
     if large.isEmpty():
         return labels
-    large = _spares(large, sets, rule)
 
     def labelled(nodes: DataFrame) -> DataFrame:
         return nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -291,7 +291,7 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
 
     fruitless = False
     for turn in range(CENTRE_ROUNDS + 1):
-        large = stage(mixed(labelled(large.select("key", "node", "n", "spare"))), "jaccard-large")
+        large = stage(mixed(labelled(large.select("key", "node", "n"))), "jaccard-large")
         kinds = large.groupBy("key", "label").agg(F.count("*").alias("m"))
         pairs = kinds.groupBy("key").agg(((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("open"))
         open_pairs = pairs.agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0]
@@ -299,14 +299,13 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
             break
         last = fruitless or turn == CENTRE_ROUNDS or open_pairs <= FEW_PAIRS * large.count()
         if last:
-            tries = _crossing(large, rule)
+            tries = _crossing(_spares(large, sets, rule), rule)
         else:
-            place = F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "spare", "label")
+            place = F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "label")
             centres = large.groupBy("key").agg(F.min(place).alias("c")).select(
-                "key", F.col("c.node").alias("a"), F.col("c.n").alias("n_a"), F.col("c.spare").alias("spare_a"),
-                F.col("c.label").alias("label_a"),
-            )
-            fits = _may_fit(("n", "spare"), ("n_a", "spare_a"), rule)
+                "key", F.col("c.node").alias("a"), F.col("c.n").alias("n_a"), F.col("c.label").alias("label_a")
+            )
+            fits = _may_fit(("n", "n"), ("n_a", "n_a"), rule)
             tries = large.join(centres, "key").where((F.col("label") != F.col("label_a")) & fits)
             tries = tries.select("a", F.col("node").alias("b")).distinct()
         found = stage(_verified(_plausible(tries, nodes, rule), sets, rule), "jaccard-links")
