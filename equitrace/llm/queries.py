@@ -289,9 +289,9 @@ tt as (select template, licence, word, count(*) as tf
   from (select template, licence, unnest({_WORDS.format('text')}) as word from templates) group by 1, 2, 3),
 n as (select count(*) as n from files),
 df as (select word, count(*) as df from (select unnest(list_distinct({_WORDS.format('text')})) as word from files)
-  where word in (select word from tt) group by 1),
+  group by 1),
 idf as (select v.word, ln((n + 1.0) / (coalesce(df, 0) + 1)) + 1 as idf
-  from (select distinct word from tt) v left join df using (word), n),
+  from (select word from tt union select word from df) v left join df using (word), n),
 tw as (select template, licence, word, tf * idf as weight, sqrt(sum(tf * idf * tf * idf) over (partition by template)) as norm
   from tt join idf using (word)),
 bodies as (select doc_id, unnest([text] || string_split(text, chr(10)) || regexp_split_to_array(text, '\n[ \t\r]*\n')) as body,
@@ -299,7 +299,7 @@ bodies as (select doc_id, unnest([text] || string_split(text, chr(10)) || regexp
   from files),
 tf as (select doc_id, unit, word, count(*) as tf
   from (select doc_id, unit, unnest({_WORDS.format('body')}) as word from bodies) group by 1, 2, 3),
-weighted as (select doc_id, unit, t.word, t.tf * coalesce(idf, 1.0 + ln(n + 1.0)) as w from tf t left join idf using (word), n),
+weighted as (select doc_id, unit, t.word, t.tf * idf as w from tf t join idf using (word)),
 lengths as (select doc_id, unit, sqrt(sum(w * w)) as length from weighted group by 1, 2),
 scores as (select doc_id, unit, licence, template, round(sum(w * weight) / (any_value(length) * any_value(norm)), 6) as score
   from weighted join tw using (word) join lengths using (doc_id, unit) group by 1, 2, 3, 4),
