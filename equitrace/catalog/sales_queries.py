@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equitrace import schemas
-from equitrace.catalog.inputs import EVENT_VARS, MARKET, ROLLUP, Inputs
+from equitrace.catalog.inputs import CATEGORIES, EVENT_VARS, MARKET, ROLLUP, Inputs
 from equitrace.catalog.oracle import EVENT_PIVOT, r
 from equitrace.catalog.oracle import query as sql
 from equitrace.catalog.registry import query
 from equitrace.operators import harmonise, sales
-from equitrace.sources import io
+from equitrace.plans import refresh
+from equitrace.sources import commits, io
 from equitrace.sources.workspace import shared_dir
 
 PANEL = "brand, category, date, var"
@@ -117,6 +118,31 @@ def io6(i: Inputs) -> DataFrame:
     )
 
 
+@query(
+    "io5_whole_refresh",
+    sql("panel", f"select {PANEL}, {r('value')} from panel where category <> '{CATEGORIES[0]}'"),
+)
+def io5_whole(i: Inputs) -> DataFrame:
+    """A refresh, its re-run without one category, and a run that ends before its commit."""
+    root, month = new_path(i, "whole"), dt.date(2024, 12, 1)
+    fewer = i.panel.where(F.col("category") != CATEGORIES[0])
+    for panel in (i.old_panel, fewer):
+        refresh.commit_tables(root, month, {("data_prep", "panel"): panel})
+    commits.Attempt(i.spark, root, month).write(i.panel, "data_prep", "panel")
+    return commits.read_table(i.spark, root, "data_prep", "panel", month).select(*PANEL.split(", "), "value")
+
+
+@query("io6_carried_tables", sql("sheet", f"select category, pillar, metric, {r('weight')} from sheet"))
+def io6_carried(i: Inputs) -> DataFrame:
+    """Two refreshes, the later one run again for its panel alone: its sheet stays."""
+    root, now, before = new_path(i, "carried"), dt.date(2024, 12, 1), dt.date(2024, 11, 1)
+    panel, sheet = ("data_prep", "panel"), ("pillar_creation", "weights_sheet")
+    refresh.commit_tables(root, before, {panel: i.old_panel, sheet: i.sheet.where("weight > 0.5")})
+    refresh.commit_tables(root, now, {panel: i.old_panel, sheet: i.sheet})
+    refresh.commit_tables(root, now, {panel: i.panel}, carry_over=True)
+    return commits.read_table(i.spark, root, *sheet, now).select("category", "pillar", "metric", "weight")
+
+
 @query("io7_stored_weights", sql("sheet", f"select category, pillar, metric, {r('weight')} from sheet"))
 def io7(i: Inputs) -> DataFrame:
     root, month = new_path(i, "stored"), dt.date(2024, 11, 1)

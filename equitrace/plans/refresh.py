@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -24,6 +25,7 @@ from equitrace.operators import (
     weights,
 )
 from equitrace.schemas import ATTRIBUTIONS
+from equitrace.sources.commits import Attempt
 from equitrace.sources.workspace import stage
 from equitrace.spec import FOREST, RIDGE, RefreshSpec
 
@@ -199,3 +201,17 @@ def compare_scorecards(old: DataFrame, new: DataFrame, spec: RefreshSpec) -> dic
         ),
         "added_brands": validate.added_brands(validate.pillar_rows(old), validate.pillar_rows(new)),
     }
+
+
+def commit_tables(
+    root: str, month: dt.date, tables: dict[tuple[str, str], DataFrame], carry_over: bool = False
+) -> Attempt:
+    """Write the (stage, table) tables of a refresh as one attempt; readers see all of them or none.
+
+    A run that fails is never seen. `carry_over` keeps the tables of the last attempt that this one lacks.
+    """
+    attempt = Attempt(next(iter(tables.values())).sparkSession, root, month)
+    for (stage_name, table), df in tables.items():
+        attempt.write(df, stage_name, table, [c for c in ("category",) if c in df.columns])
+    attempt.commit(carry_over)
+    return attempt
