@@ -112,7 +112,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of docs that stay, with all their columns; one row of each group of equal texts.
 
     Only rows that share length and prefix hash with another are grouped by full hash; the group's row
-    is picked by an aggregate that combines on the map side, so a hot group sends one row a task.
+    is picked by an aggregate that combines on the map side, so a hot group sends one row a task. The row of
+    the largest id stays; of rows of one id, the one with the largest hash of its columns.
     """
     narrow = stage(
         docs.select(_size(text_col).alias("size"), _head(text_col, PREFIX_CHARS).alias("head")), "dedup-narrow"
@@ -129,7 +130,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = (
         rows.join(crowded, ["size", "head"], "left_semi")
         .groupBy("full")
-        .agg(F.max_by("line", F.coalesce("id", F.lit(-(2**63)))).alias("line"))
+        .agg(F.max_by("line", F.struct(F.coalesce("id", F.lit(-(2**63))), F.xxhash64(F.to_json("line")))).alias("line"))
         .select("line")
     )
     return alone.unionByName(kept).select("line.*")

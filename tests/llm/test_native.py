@@ -195,3 +195,15 @@ def test_licences_and_inheritance(spark):
         10: ("MIT", "inherited"),
     }
     assert licenses.scan_licences(frame.limit(0), licenses.template_table(spark), "file_id", F.col("path")).count() == 0
+
+
+def test_copies_of_one_id_leave_the_same_row(spark):
+    """Rows of one id and equal texts: which one stays does not depend on the order of the rows."""
+    rows = [(7, "Some Text", "a"), (7, "some text", "b"), (None, "some text", None), (3, "SOME TEXT", "c"), (7, "else", None)]
+    schema = "doc_id long, text string, source string"
+    got = {
+        tuple(sorted(map(tuple, dedup.drop_copies(spark.createDataFrame(part, schema).repartition(n)).collect())))
+        for part, n in ((rows, 1), (rows[::-1], 3), (rows[2:] + rows[:2], 2))
+    }
+    (kept,) = got
+    assert len(kept) == 2 and {r[0] for r in kept} == {7} and {r[1].lower() for r in kept} == {"some text", "else"}
