@@ -80,11 +80,8 @@ class Attempt:
 
     def discard(self) -> None:
         """Remove what an attempt wrote that is not to be committed."""
-        named = F.array_contains(F.transform(F.map_values("tables"), lambda t: t["path"]), F.col("path"))
-        if not self.tables:
-            return
-        paths = self.spark.createDataFrame([(p,) for p, _ in self.tables.values()], "path string")
-        if not paths.join(commits(self.spark, self.root).hint("broadcast"), named, "left_semi").isEmpty():
+        named = commits(self.spark, self.root).select(F.explode(F.map_values("tables")).alias("t")).select("t.path")
+        if not named.where(F.col("path").isin([path for path, _ in self.tables.values()])).isEmpty():
             raise ValueError("the attempt is committed")
         for path, _ in self.tables.values():
             folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
