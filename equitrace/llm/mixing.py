@@ -6,14 +6,15 @@ have), unless a source would then be repeated more often than allowed: then it i
 the limit. Both are found by bisection over the small table of shares. The budget is the size at which
 the source that shrinks most is read exactly once, so no row is lost; others are read e(s) >= 1 times.
 
-Each source's rows lie in blocks by hash. Pass k of a source goes through its blocks in the order of a
-hash of (source, pass, block) and inside a block by a hash of the row; the last, partial pass takes
-whole blocks until its budget runs out and of the next block the rows that start inside the budget.
+Each source's rows lie in blocks by hash. A pass of a source is a permutation: its blocks in the order of a
+hash of (source, pass, block), inside a block the rows by a hash of (row, pass); `position` counts from 1. The
+last, partial pass takes the rows that start inside its budget and ends there.
 
 A null source is a source of its own; null and empty texts have no tokens and come with every whole
 pass and with a partial one as far as it reaches. A source without tokens is read once. Repeated rows
-are rows of their own where a column tells them apart, else they share their fate in the partial pass. An
-empty table gives an empty result.
+are rows of their own where a column tells them apart, else they share their fate in the partial pass; they
+are counted, and become rows again at the end, so that one id with many rows fills no window. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,8 +35,10 @@ MAX_PASSES = 4.0
 STEPS = 30
 #: decimal places to which a number of passes is rounded
 PLACES = 6
-#: rows of a block, about
+#: rows of a block, and blocks of a range of turns, about
 BLOCK_ROWS = 4096
+#: equal rows that are written out at once
+PAGE = 65536
 
 
 def _hash(*parts: Column) -> Column:
@@ -45,8 +48,9 @@ def _hash(*parts: Column) -> Column:
 
 
 def source_shares(rows: DataFrame) -> DataFrame:
-    """source, n_rows, tokens, share of tokens; one row per source."""
-    sums = rows.groupBy("source").agg(F.count("*").alias("n_rows"), F.sum("tokens").alias("tokens"))
+    """source, n_rows, tokens, share of tokens; one row per source. A row stands for `times` equal ones."""
+    tokens = F.sum(F.col("tokens") * F.col("times"))
+    sums = rows.groupBy("source").agg(F.sum("times").alias("n_rows"), tokens.alias("tokens"))
     total = sums.agg(F.sum("tokens")).first()[0] or 0
     share = F.col("tokens") / F.lit(float(total)) if total else F.lit(0.0)
     return sums.select("source", "n_rows", "tokens", share.alias("share"))
@@ -105,48 +109,65 @@ def plan_sources(shares: DataFrame, exponent: float) -> DataFrame:
     )
 
 
+def _ahead(blocks: DataFrame) -> DataFrame:
+    """Adds the rows and tokens of the blocks that come before in the same pass of a source.
+
+    Sums over ranges of turns first, then inside a range: no window holds all blocks of a hot source.
+    """
+    ranges = F.ceil(F.col("blocks") / F.lit(BLOCK_ROWS)).cast("long")
+    blocks = blocks.withColumn("range", F.shiftright(F.shiftright("turn", 40) * ranges, 20))
+    line = Window.partitionBy("key", "pass").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("key", "pass", "range").orderBy("turn", "block")
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    totals = blocks.groupBy("key", "pass", "range").agg(F.sum("n").alias("n"), F.sum("sum").alias("sum"))
+    totals = totals.select(
+        "key", "pass", "range", *[F.coalesce(F.sum(c).over(line), F.lit(0)).alias(f"{c}_base") for c in ("n", "sum")]
+    )
+    blocks = blocks.withColumns({f"{c}_in": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in ("n", "sum")})
+    blocks = blocks.join(totals, ["key", "pass", "range"])
+    return blocks.withColumns({f"{c}_ahead": F.col(f"{c}_base") + F.col(f"{c}_in") for c in ("n", "sum")})
+
+
 def mixture(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
     target_entropy: float = TARGET_ENTROPY, max_passes: float = MAX_PASSES,
 ) -> tuple[DataFrame, DataFrame]:
-    """Copies (id, source, pass, block, rank keys) and the plan per source.
+    """Copies (id, source, tokens, pass, block, position in the pass) and the plan per source.
 
-    A hot source is never one group: it is spread over its blocks, whose token sums are small rows.
+    A hot source is never one group: it is spread over its blocks, whose sums are small rows.
     """
-    rows = stage(
-        docs.select(
-            F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_of(text_col)).alias("tokens")
-        ),
-        "mix-rows",
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_of(text_col)).alias("tokens")
     )
+    rows = stage(rows.groupBy("id", "source", "tokens").agg(F.count("*").alias("times")), "mix-rows")
     shares = stage(source_shares(rows), "mix-shares")
     plan = stage(plan_sources(shares, find_exponent(shares, target_entropy, max_passes)), "mix-plan")
+    # a null source has a key of its own, so that joins and windows share one partitioning
+    key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("key")
     per_source = plan.select(
-        F.col("source").alias("s"), "whole", "partial",
+        key, "whole", F.when(F.col("partial") > 0, F.col("partial")).alias("partial"),
         F.ceil(F.col("n_rows") / F.lit(BLOCK_ROWS)).cast("long").alias("blocks"),
     )
-    placed = rows.join(per_source, rows["source"].eqNullSafe(per_source["s"])).drop("s")
+    placed = rows.select("*", key).join(per_source, "key")
     placed = placed.withColumn("block", F.pmod(_hash(F.lit("block"), F.col("id")), F.col("blocks")))
-    whole = placed.select(
-        "id", "source", "tokens", "block", F.explode(F.sequence(F.lit(1).cast("long"), F.col("whole"))).alias("pass")
+    last = F.col("whole") + F.when(F.col("partial").isNull(), 0).otherwise(1)
+    each_pass = F.explode(F.sequence(F.lit(1).cast("long"), last)).alias("pass")
+    sums = placed.groupBy("key", "source", "whole", "partial", "blocks", "block").agg(
+        F.sum("times").alias("n"), F.sum(F.col("tokens") * F.col("times")).alias("sum")
     )
-    part = placed.where("partial > 0").withColumn("pass", F.col("whole") + 1)
-    sums = part.groupBy("source", "pass", "block", "partial").agg(F.sum("tokens").alias("sum"))
     turn = _hash(F.lit("turn"), F.col("source"), F.col("pass"), F.col("block"))
-    line = Window.partitionBy("source").orderBy("turn", "block")
-    sums = sums.withColumn("turn", turn)
-    sums = sums.withColumn("upto", F.sum("sum").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    sums = sums.select(
-        F.col("source").alias("s"), F.col("block").alias("b"), (F.col("partial") - F.col("upto") + F.col("sum")).alias("left"),
-        (F.col("upto") <= F.col("partial")).alias("all"),
-    ).where("left > 0")
-    taken = part.join(sums, part["source"].eqNullSafe(sums["s"]) & (part["block"] == sums["b"])).drop("s", "b")
-    here = Window.partitionBy("source", "block").orderBy("rank", "id")
-    cut = taken.where(~F.col("all")).withColumn("rank", _hash(F.lit("rank"), F.col("id"), F.col("pass")))
-    cut = cut.withColumn("upto", F.sum("tokens").over(here.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-    cut = cut.where(F.col("upto") - F.col("tokens") < F.col("left"))
-    names = ["id", "source", "tokens", "pass", "block"]
-    copies = whole.select(*names).unionByName(taken.where("all").select(*names)).unionByName(cut.select(*names))
-    copies = copies.withColumn("block_turn", _hash(F.lit("turn"), F.col("source"), F.col("pass"), F.col("block")))
+    left = F.when(F.col("pass") > F.col("whole"), F.col("partial") - F.col("sum_ahead"))
+    sums = _ahead(sums.select("*", each_pass).withColumn("turn", turn))
+    sums = sums.select("key", "pass", "block", "n_ahead", left.alias("left")).where("left is null or left > 0")
+    copies = placed.select("key", "id", "source", "tokens", "times", "block", each_pass)
+    copies = copies.join(sums, ["key", "pass", "block"])
     copies = copies.withColumn("rank", _hash(F.lit("rank"), F.col("id"), F.col("pass")))
-    return copies.select(F.col("id").alias(id_col), *[c for c in copies.columns if c != "id"]), plan
+    here = Window.partitionBy("key", "pass", "block").orderBy("rank", "id", "tokens")
+    before = F.sum("times").over(here.rowsBetween(Window.unboundedPreceding, -1))
+    upto = F.sum(F.col("tokens") * F.col("times")).over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    copies = copies.withColumns({"before": F.col("n_ahead") + F.coalesce(before, F.lit(0)), "upto": upto})
+    copies = copies.where("left is null or upto - tokens < left")
+    page = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(times - 1) div {PAGE}"))).alias("page")
+    copies = copies.select("*", page).withColumn("before", F.col("before") + F.col("page") * PAGE)
+    some = F.sequence(F.col("before") + 1, F.col("before") + F.least(F.lit(PAGE), F.col("times") - F.col("page") * PAGE))
+    return copies.select(F.col("id").alias(id_col), "source", "tokens", "pass", "block", F.explode(some).alias("position")), plan

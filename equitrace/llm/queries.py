@@ -159,22 +159,22 @@ budget as (select *, floor(passes)::bigint as whole, floor((passes - floor(passe
 placed as (select r.*, b.whole, b.partial,
     ('0x' || substr(md5('block|' || doc_id), 1, 15))::bigint % b.blocks as block
   from rows r join budget b on r.source is not distinct from b.source),
-copies as (select doc_id, source, tokens, unnest(range(1, whole + 1)) as pass, block from placed),
-part as (select *, whole + 1 as pass,
-    ('0x' || substr(md5('turn|' || coalesce(source, '') || '|' || (whole + 1) || '|' || block), 1, 15))::bigint as turn,
-    ('0x' || substr(md5('rank|' || doc_id || '|' || (whole + 1)), 1, 15))::bigint as rank
-  from placed where partial > 0),
-cut as (select doc_id, source, tokens, pass, block from (
-    select *, sum(tokens) over (partition by source order by turn, block, rank, doc_id) as upto from part)
-  where upto - tokens < partial)
-select doc_id, source, tokens, pass, block from copies union all select doc_id, source, tokens, pass, block from cut
+passes as (select *, unnest(range(1, whole + case when partial > 0 then 2 else 1 end)) as pass from placed),
+keyed as (select *,
+    ('0x' || substr(md5('turn|' || coalesce(source, '') || '|' || pass || '|' || block), 1, 15))::bigint as turn,
+    ('0x' || substr(md5('rank|' || doc_id || '|' || pass), 1, 15))::bigint as rank
+  from passes),
+lined as (select *, row_number() over line as position, sum(tokens) over line as upto
+  from keyed window line as (partition by source, pass order by turn, block, rank, doc_id, tokens))
+select doc_id, source, tokens, pass, block, position from lined where pass <= whole or upto - tokens < partial
 """
 
 
 @query("op3_mix_sources", MIX_SQL)
 def mix_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every copy and its position in the permutation of its source's pass."""
     copies, _ = mixing.mixture(table(spark, sf_dir, "documents"))
-    return copies.select("doc_id", "source", "tokens", "pass", "block")
+    return copies
 
 
 DEDUP_SQL = """

@@ -32,8 +32,6 @@ from equitrace.sources.workspace import stage
 
 #: labelled rows that the fits read at most
 SAMPLE_ROWS = 20_000
-#: learned words and word beginnings at most; their number does not grow with the corpus
-LEXICON_SIZE = 400
 #: lengths of word beginnings that may be learned
 STEMS = (4, 5, 6, 7, 8)
 #: a learned entry's log-odds, their certainty in standard errors, and the share of toxic texts it needs
@@ -312,7 +310,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
 def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     """Words and word beginnings that mark toxic texts, with their log-odds.
 
-    Texts are counted per word first; beginnings then sum over the small table of words.
+    Texts are counted per word first; beginnings then sum over the small table of words. All entries that pass
+    the three tests of evidence are taken; the sample bounds their number.
     """
     n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not toxic or toxic == n:
@@ -330,7 +329,7 @@ def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]
     stats = stats.withColumn("odds", odds).withColumn("sure", odds / error)
     stats = stats.where((F.col("odds") >= LEAST_ODDS) & (F.col("sure") >= LEAST_CERTAINTY))
     stats = stats.where(F.col("hit") >= LEAST_SHARE * F.col("n"))
-    best = stats.orderBy(F.desc("sure"), "form", "stem").limit(LEXICON_SIZE).collect()
+    best = stats.orderBy(F.desc("sure"), "form", "stem").collect()
     words = {r["form"]: float(min(r["odds"], 6.0)) for r in best if not r["stem"]}
     stems = {r["form"]: float(min(r["odds"], 6.0)) for r in best if r["stem"]}
     return words, stems

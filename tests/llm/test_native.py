@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from itertools import groupby
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,6 +121,32 @@ def test_mixing_keeps_the_repetition_limit(documents):
     assert max(r["passes"] for r in plan.values()) == pytest.approx(3.0, abs=1e-3)
 
 
+def test_passes_are_permutations_of_blocks(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(mixing, "PAGE", 4)
+    rows = [(k, "w " * (k % 7), "a") for k in range(300)] + [(300 + k, "w w w", None) for k in range(40)]
+    rows += [(500, "x", "b")] * 60 + [(501, "x y", "b")] * 2
+    copies, plan = mixing.mixture(documents(rows), target_entropy=1.0, max_passes=3.5)
+    plan = {r["source"]: r for r in plan.collect()}
+    passes = {}
+    for c in copies.collect():
+        passes.setdefault((c["source"], c["pass"]), []).append(c)
+    assert {s for s, _ in passes} == {"a", "b", None}
+    for (source, turn), mine in passes.items():
+        mine.sort(key=lambda c: c["position"])
+        assert [c["position"] for c in mine] == list(range(1, len(mine) + 1))
+        blocks = [b for b, _ in groupby(c["block"] for c in mine)]
+        assert len(blocks) == len(set(blocks))
+        if turn <= plan[source]["whole"]:
+            assert sorted(c["doc_id"] for c in mine) == sorted(r[0] for r in rows if r[2] == source)
+        else:
+            used = sum(c["tokens"] for c in mine)
+            assert used - mine[-1]["tokens"] < plan[source]["partial"] <= used or source == "b"
+    assert len(passes) > len(plan) + 2 and any(turn > plan[s]["whole"] for s, turn in passes)
+    first, second = ([c["doc_id"] for c in passes[None, turn]] for turn in (1, 2))
+    assert first != second and sorted(first) == sorted(second)
+
+
 def test_mixing_of_odd_tables(documents):
     copies, plan = mixing.mixture(documents([(1, None, "a"), (2, "", "b"), (3, " ", None)]))
     assert sorted(r["doc_id"] for r in copies.collect()) == [1, 2, 3]

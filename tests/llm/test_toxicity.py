@@ -97,6 +97,15 @@ def test_learns_words_and_beginnings_and_generalises(spark, documents):
     assert kept.columns == [*docs.columns, "_s"] and kept.count() == 2
 
 
+def test_the_lexicon_takes_all_that_passes(documents):
+    draw = random.Random(6)
+    words = ["".join(draw.choices("abcdefgh", k=9)) for _ in range(700)]
+    rows = [(k, " ".join(words) if k % 4 == 0 else "plain words of a fine day") for k in range(400)]
+    sample = documents(rows).select("text", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    known, _ = toxicity.learn_lexicon(sample)
+    assert set(words) <= set(known) and "plain" not in known
+
+
 def test_held_out_rows_never_teach(spark, documents):
     frame = spark.range(400).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
     docs = documents([(k, f"word{k}") for k in range(400)])
