@@ -485,6 +485,79 @@ def ridge_sql(select: str) -> str:
     return sql("samples", "").rstrip() + RIDGE_SQL + select
 
 
+# components by Jacobi rotations on the same centred moments
+
+JACOBI_SWEEPS = 10
+
+
+def _moment(i: int, j: int) -> str:
+    return f"s{min(i, j)}{max(i, j)}"
+
+
+def _rotated(source: str, p: int, q: int) -> str:
+    """One rotation that sets the moment of p and q to zero; v collects the rotations."""
+    off = _moment(p, q)
+    cells = [f"{_moment(p, p)} - t * {off} as {_moment(p, p)}", f"{_moment(q, q)} + t * {off} as {_moment(q, q)}", f"0.0::double as {off}"]
+    for k in _XS:
+        if k not in (p, q):
+            a, b = _moment(k, p), _moment(k, q)
+            cells += [f"co * {a} - si * {b} as {a}", f"si * {a} + co * {b} as {b}"]
+        cells += [f"co * v{k}{p} - si * v{k}{q} as v{k}{p}", f"si * v{k}{p} + co * v{k}{q} as v{k}{q}"]
+    return f"""(select * exclude (th, t, co, si) replace ({", ".join(cells)}) from (
+      select *, 1 / sqrt(t * t + 1) co, t / sqrt(t * t + 1) si from (
+      select *, case when abs({off}) < 1e-30 then 0 when th < 0 then -1 / (sqrt(th * th + 1) - th) else 1 / (sqrt(th * th + 1) + th) end t
+      from (select *, ({_moment(q, q)} - {_moment(p, p)}) / (2 * case when abs({off}) < 1e-30 then 1 else {off} end) th from {source}))))"""
+
+
+def _jacobi() -> str:
+    moments = [_moment(i, j) for i in _XS for j in range(i, RIDGE_P + 1)]
+    unit = ", ".join(f"{float(i == j)}::double v{i}{j}" for i in _XS for j in _XS)
+    turns = "(select * from jac where sweep < {})".format(JACOBI_SWEEPS)
+    for p in _XS:
+        for q in range(p + 1, RIDGE_P + 1):
+            turns = _rotated(turns, p, q)
+    parts = " union all ".join(
+        f"select {KEY}, s{k}{k} ev, {', '.join(f'v{j}{k} l{j}' for j in _XS)} from jac where sweep = {JACOBI_SWEEPS}" for k in _XS
+    )
+    return f""",
+jac as (select {KEY}, 0 sweep, {", ".join(f"{m}::double {m}" for m in moments)}, {unit} from mo where fold = 0
+    union all select * replace (sweep + 1 as sweep) from {turns}),
+axes as (select *, row_number() over w - 1 component, sum(ev) over w - ev as before, sum(ev) over (partition by {KEY}) total
+    from ({parts}) window w as (partition by {KEY} order by ev desc rows between unbounded preceding and current row)),
+taken as (select * from axes where total > 1e-12 and before <= 0.95 * total)
+"""
+
+
+def components_sql(select: str) -> str:
+    moments = RIDGE_SQL[: RIDGE_SQL.index(",\nal as")]
+    return sql("samples", "").rstrip().replace("with ", "with recursive ", 1) + moments + _jacobi() + select
+
+
+def complete_rows(i: Inputs) -> DataFrame:
+    return i.model_rows.where(F.col("dv").isNotNull())
+
+
+@query("t19_explained_variance", components_sql(f"select {KEY}, cast(component as int) component, {r('ev / total', 'explained')} from taken"))
+def t19_explained(i: Inputs) -> DataFrame:
+    """Components that hold 95 % of the variance of every brand's, category's and pillar's metrics."""
+    loadings = stats.component_loadings(complete_rows(i), drivers.MODEL_KEY)
+    return loadings.select(*drivers.MODEL_KEY, "component", "explained").distinct()
+
+
+@query(
+    "t19_key_components",
+    components_sql(
+        f"""select {KEY}, date, split, 'pca' || component as var,
+        {r("abs(" + " + ".join(f"l{k} * (x{k} - m{k})" for k in _XS) + ")", "distance")}
+        from w join taken using (brand, category, pillar) join (select * from mo where fold = 0) using (brand, category, pillar)"""
+    ),
+)
+def t19_keys(i: Inputs) -> DataFrame:
+    """Learning rows of every key on its components; the sign of a component is free."""
+    rows = stats.component_rows(complete_rows(i), drivers.MODEL_KEY)
+    return rows.select(*drivers.MODEL_KEY, "date", "split", "var", F.abs("value").alias("distance"))
+
+
 def all_coefs(i: Inputs) -> DataFrame:
     model = i.spec.weights_model
     return drivers.ridge_coefficients(i.model_rows, drivers.MODEL_KEY, model.alphas)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -253,6 +255,71 @@ def principal_components(
     return slicer.transform(model.transform(centred)).drop("_raw", "_centred", "_all")
 
 
+def _components_of(pdf: pd.DataFrame, keys: Sequence[str], share: float) -> pd.DataFrame:
+    """Loadings of one key from its sums of products, largest variance first.
+
+    Components are taken until they explain more than `share`; a key without variance has none. A
+    component's largest loading is positive.
+    """
+    names = sorted(set(pdf["var1"]))
+    at = {v: j for j, v in enumerate(names)}
+    gram = np.zeros((len(names), len(names)))
+    for a, b, s in zip(pdf["var1"], pdf["var2"], pdf["s"], strict=True):
+        gram[at[a], at[b]] = gram[at[b], at[a]] = s
+    values, vectors = np.linalg.eigh(gram)
+    values, vectors = np.clip(values[::-1], 0.0, None), vectors[:, ::-1]
+    out = []
+    if values.sum() > MIN_SPREAD:
+        part = values / values.sum()
+        for k in range(int((np.cumsum(part) - part <= share).sum())):
+            load = vectors[:, k] * np.sign(vectors[np.abs(vectors[:, k]).argmax(), k])
+            out += [(k, float(part[k]), v, float(c)) for v, c in zip(names, load, strict=True)]
+    res = pd.DataFrame(out, columns=["component", "explained", "var", "loading"])
+    for k in reversed(keys):
+        res.insert(0, k, pdf[k].iloc[0])
+    return res
+
+
+def component_loadings(rows: DataFrame, keys: Sequence[str], share: float = 0.95) -> DataFrame:
+    """Principal components of every key's metrics over its training rows: component, explained, var, loading.
+
+    Sums of products come from one aggregate over all keys; Python sees one small matrix a key. A missing
+    value stands at the metric's mean and adds nothing.
+    """
+    train = with_group_stats(rows.where(F.col("split") == "train"), [*keys, "var"], F.avg("value").alias("mean"))
+    cell = F.struct("var", F.coalesce(F.col("value") - F.col("mean"), F.lit(0.0)).alias("x"))
+    cells = train.groupBy(*keys, "date").agg(F.array_sort(F.collect_list(cell)).alias("m"))
+    pairs = F.expr(
+        "flatten(transform(m, (a, i) -> transform(slice(m, i + 1, size(m)), "
+        "b -> struct(a.var as var1, b.var as var2, a.x * b.x as s))))"
+    )
+    sums = cells.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.*")
+    sums = sums.groupBy(*keys, "var1", "var2").agg(F.sum("s").alias("s"))
+    key_list = list(keys)
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _components_of(pdf, key_list, share)
+
+    schema = ", ".join(f"{k} string" for k in keys) + ", component int, explained double, var string, loading double"
+    return sums.groupBy(*keys).applyInPandas(solve, schema)
+
+
+def component_rows(rows: DataFrame, keys: Sequence[str], share: float = 0.95) -> DataFrame:
+    """Learning rows whose features are the components of the key's metrics, named pca0, pca1, ...
+
+    The components are fitted on the training rows; all rows are projected. A key without variance has no rows.
+    """
+    train = rows.where(F.col("split") == "train").groupBy(*keys, "var").agg(F.avg("value").alias("mean"))
+    loadings = component_loadings(rows, keys, share).drop("explained").join(train, [*keys, "var"])
+    part = F.coalesce(F.col("value") - F.col("mean"), F.lit(0.0)) * F.col("loading")
+    rest = [c for c in rows.columns if c not in (*keys, "date", "var", "value")]
+    projected = rows.join(loadings, [*keys, "var"]).groupBy(*keys, "date", "component").agg(
+        F.sum(part).alias("value"), *[F.max(c).alias(c) for c in rest]
+    )
+    name = F.concat(F.lit("pca"), F.col("component").cast("string")).alias("var")
+    return projected.select(*[name if c == "var" else F.col(c) for c in rows.columns])
+
+
 def regression_metrics(predictions: DataFrame, keys: Sequence[str]) -> DataFrame:
     """R2, MAE, MSE, RMSE and MAPE per key from columns `dv` and `predicted`."""
     error = F.col("dv") - F.col("predicted")

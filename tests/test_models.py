@@ -1,3 +1,4 @@
+import datetime as dt
 from dataclasses import replace
 
 import numpy as np
@@ -5,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from equitrace.functions.grouping import PANEL_KEY, seeded_sample, with_group_stats
-from equitrace.operators import drivers, factor, forests, importance
+from equitrace.operators import drivers, factor, forests, importance, stats
 from equitrace.spec import FOREST, RIDGE, ModelSpec, RefreshSpec, TreeGrid
 
 LOADINGS = {"m1": 0.9, "m2": 0.8, "m3": 0.6, "m4": 0.4, "m5": -0.7}
@@ -194,3 +195,31 @@ def test_feature_selection_keeps_the_best(spark, inputs):
     kept = refresh.select_features(rows, inputs.maps(), spec)
     per_key = kept.select("brand", "category", "pillar", "var").distinct().groupBy("brand", "category").count()
     assert per_key.where("count > 2").count() == 0 and per_key.count() > 0
+
+
+def test_components_of_keys_against_svd(spark):
+    draw = np.random.default_rng(3)
+    rows, data = [], {}
+    for brand, p in (("a", 5), ("b", 3), ("flat", 2), ("c", 1)):
+        x = draw.normal(size=(40, p)) @ draw.normal(size=(p, p)) * (brand != "flat")
+        data[brand] = x
+        for d in range(40):
+            split = "train" if d < 34 else "holdout"
+            rows += [(brand, "X", dt.date(2000, 1, 1) + dt.timedelta(days=d), f"m{j}", float(x[d, j]), 1.0, split) for j in range(p)]
+    frame = spark.createDataFrame(rows, "brand string, category string, date date, var string, value double, dv double, split string")
+    got = stats.component_rows(frame, ("brand", "category"))
+    assert got.columns == frame.columns
+    got = got.toPandas()
+    assert set(got["brand"]) == {"a", "b", "c"}
+    loads = stats.component_loadings(frame, ("brand", "category")).toPandas()
+    for brand in ("a", "b", "c"):
+        x, train = data[brand], data[brand][:34]
+        _, sv, axes = np.linalg.svd(train - train.mean(axis=0), full_matrices=False)
+        part = sv**2 / (sv**2).sum()
+        n = int(np.searchsorted(np.cumsum(part), 0.95, side="right")) + 1
+        mine = loads[loads["brand"] == brand]
+        assert np.allclose(mine.drop_duplicates("component").sort_values("component")["explained"], part[:n])
+        assert all(g.loc[g["loading"].abs().idxmax(), "loading"] > 0 for _, g in mine.groupby("component"))
+        wide = got[got["brand"] == brand].pivot(index="date", columns="var", values="value")
+        assert list(wide.columns) == [f"pca{k}" for k in range(n)] and len(wide) == 40
+        assert np.allclose(np.abs(wide.to_numpy()), np.abs((x - train.mean(axis=0)) @ axes[:n].T))
