@@ -17,8 +17,9 @@ prefixes hold what few texts have, and texts with a common passage do not meet b
    same links.
 3. Index groups of few sets verify all their pairs on the whole sets. In larger groups every set is
    verified against a centre, again with other centres while sets of one group are in different
-   components; what then still is in different components is verified pair by pair. So a group of copies
-   costs its size, and no link between components is missed.
+   components. Sets that then still are in different components are indexed anew, by the rarest of the
+   shingles that their heads share with other components, and those that meet are verified pair by pair. So
+   a group of copies costs its size, and no link between components is missed.
 
 Null texts are empty; without words the set is empty and linked with nothing; a text of fewer words than
 a shingle has is one shingle. Every row is a document of its own, told apart by its place in the files (a
@@ -241,6 +242,23 @@ def _may_fit(a: tuple[str, str], b: tuple[str, str], rule: Rule) -> Column:
     return F.least(a[1], b[1]) * (rule.num + rule.den) >= (F.col(a[0]) + F.col(b[0])) * rule.num
 
 
+def _reindexed(large: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """(key, node, n, label): the open groups' nodes by the rarest shingles that their heads share with other components.
+
+    Heads of similar sets have at least `need` shingles in common (both are counted up to the end of the
+    shorter head). In the order of exact counts among these heads, two such sets meet in the first
+    m - need + 1 of the m shingles that a head shares; a set that shares fewer than needed leaves.
+    """
+    crowd = nodes.join(large.select("node", "label").distinct(), "node")
+    tokens = crowd.select("node", "n", "label", F.explode("head").alias("token"))
+    kinds = tokens.groupBy("token").agg(F.count("*").alias("sets"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    shared = tokens.join(kinds.where("lo <> hi").select("token", "sets"), "token")
+    heads = shared.groupBy("node", "n", "label").agg(F.sort_array(F.collect_list(F.struct("sets", "token"))).alias("h"))
+    need = f"least({rule.slack(rule.least_overlap())} + 1, {rule.least_overlap(rule.least_overlap())})"
+    heads = heads.withColumn("first", F.expr(f"cast(size(h) - {need} + 1 as int)")).where("first > 0")
+    return heads.select(F.explode(F.slice("h.token", F.lit(1), F.col("first"))).alias("key"), "node", "n", "label")
+
+
 def _spares(large: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """spare: a set's shingles that any other set of these groups has; sets that have too few leave.
 
@@ -299,7 +317,11 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
             break
         last = fruitless or turn == CENTRE_ROUNDS or open_pairs <= FEW_PAIRS * large.count()
         if last:
-            tries = _crossing(_spares(large, sets, rule), rule)
+            again = stage(mixed(_reindexed(large, nodes, rule)), "jaccard-large")
+            again = again.join(again.groupBy("key").agg(F.count("*").alias("members")), "key")
+            few = again.where(F.col("members") <= FREQUENT).select("key", "node", "n", "label", F.col("n").alias("spare"))
+            many = again.where(F.col("members") > FREQUENT).select("key", "node", "n", "label")
+            tries = _crossing(few.unionByName(_spares(many, sets, rule)), rule)
         else:
             place = F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "label")
             centres = large.groupBy("key").agg(F.min(place).alias("c")).select(

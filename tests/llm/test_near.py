@@ -83,9 +83,10 @@ def test_components_against_brute_force(documents, rule):
     assert near(documents, rows, rule) == expected(rows, rule)
 
 
-@pytest.mark.parametrize("frequent, long_set", [(2, 512), (3, 8)])
-def test_frequent_classes_lose_no_link(documents, monkeypatch, frequent, long_set):
-    """With nearly all shingles frequent, combinations and centres carry the join."""
+@pytest.mark.parametrize("frequent, long_set, rounds", [(2, 512, 2), (3, 8, 2), (2, 8, 0)])
+def test_frequent_classes_lose_no_link(documents, monkeypatch, frequent, long_set, rounds):
+    """With nearly all shingles frequent, combinations, centres and (without centres) the second index carry the join."""
+    monkeypatch.setattr(jaccard, "CENTRE_ROUNDS", rounds)
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard, "LONG_SET", long_set)
     rule = jaccard.Rule(3, 80, 100)
