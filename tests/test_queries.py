@@ -21,6 +21,7 @@ MAY_BE_EMPTY = {"t17_select_by_correlation", "v15_added_brands", "v9_deviations"
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
+PYTHON_QUERIES = {*PYTHON_QUERIES, "t19_explained_variance", "t19_key_components"}
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
