@@ -16,6 +16,8 @@ from equitrace.sources.workspace import stage
 from equitrace.spec import RIDGE, ModelSpec, RefreshSpec
 
 MODEL_KEY = ("brand", "category", "pillar")
+#: errors of settings that differ by no more than this are a tie: sums taken in another order differ by less
+SAME_ERROR = 1e-12
 
 
 def learning_rows(rows: DataFrame, keys: Sequence[str], model: ModelSpec, spec: RefreshSpec) -> DataFrame:
@@ -119,12 +121,21 @@ def linear_predictions(rows: DataFrame, coefs: DataFrame, keys: Sequence[str], b
 
 
 def selection_table(fold_metrics: DataFrame, keys: Sequence[str], setting: Sequence[str]) -> DataFrame:
-    """Mean fold metrics per setting and the rank by error; the first setting wins a tie."""
+    """Mean fold metrics per setting and the rank by error; the first setting wins a tie.
+
+    Settings that predict the same have the same error but for the order in which sums were taken, so a
+    new place begins only where the error grows by more than SAME_ERROR.
+    """
     means = fold_metrics.groupBy(*keys, *setting).agg(
         F.avg("r2").alias("r2_fold"), F.avg("mape").alias("mape_fold")
     )
-    order = Window.partitionBy(*keys).orderBy(F.col("mape_fold").asc_nulls_last(), "grid_no")
-    return means.withColumn("rank", F.row_number().over(order))
+    of_key = Window.partitionBy(*keys)
+    by_error = of_key.orderBy(F.col("mape_fold").asc_nulls_last(), "grid_no")
+    before = F.lag("mape_fold").over(by_error)
+    grows = (F.col("mape_fold") - before > SAME_ERROR) | (F.col("mape_fold").isNull() & before.isNotNull())
+    placed = means.withColumn("_grows", F.coalesce(grows, F.lit(False)).cast("int"))
+    placed = placed.withColumn("_place", F.sum("_grows").over(by_error))
+    return placed.withColumn("rank", F.row_number().over(of_key.orderBy("_place", "grid_no"))).drop("_grows", "_place")
 
 
 def linear_attribution(rows: DataFrame, coefs: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -223,3 +223,13 @@ def test_components_of_keys_against_svd(spark):
         wide = got[got["brand"] == brand].pivot(index="date", columns="var", values="value")
         assert list(wide.columns) == [f"pca{k}" for k in range(n)] and len(wide) == 40
         assert np.allclose(np.abs(wide.to_numpy()), np.abs((x - train.mean(axis=0)) @ axes[:n].T))
+
+
+def test_settings_of_equal_error_rank_in_their_order(frame):
+    """What differs only by the order of a sum is a tie, which the first setting wins."""
+    error = 0.12238091740363462
+    mapes = {0: error, 1: error - 1.4e-17, 2: error - 2.8e-17, 3: error - 1e-9, 4: None, 5: error + 1.4e-17}
+    rows = frame([("A", g, 0.5, m) for g, m in mapes.items()], "brand string, grid_no int, r2 double, mape double")
+    table = drivers.selection_table(rows, ["brand"], ["grid_no"])
+    assert table.columns == ["brand", "grid_no", "r2_fold", "mape_fold", "rank"]
+    assert {r["grid_no"]: r["rank"] for r in table.collect()} == {3: 1, 0: 2, 1: 3, 2: 4, 5: 5, 4: 6}
