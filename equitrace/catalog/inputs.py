@@ -6,12 +6,13 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from equitrace import schemas
 from equitrace.functions.exprs import month_start, week_ending, with_suffix
+from equitrace.functions.grouping import PANEL_KEY
 from equitrace.operators import drivers, harmonise, prepare, sales, scores, stats, weights
 from equitrace.plans.refresh import Mappings
 from equitrace.sources.workspace import stage
@@ -21,6 +22,8 @@ CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 OUT_OF_SCOPE = ("Brand#24", "Brand#25")
 MARKET = "AMERICA"
 ROLLUP = "Vendor#1"
+#: order lines that one task joins and sorts, about; the number of tasks grows with the lines
+ROWS_OF_A_TASK = 400_000
 
 SPEC = RefreshSpec(
     grain="monthly",
@@ -194,30 +197,65 @@ class Inputs:
 
     # metric panel
 
+    def dealt(self, df: DataFrame, rows: int, *keys: str) -> DataFrame:
+        """The rows dealt by keys to tasks of a bounded share of so many rows, whatever the input's size."""
+        least = self.spark.sparkContext.defaultParallelism
+        return df.repartition(max(least, -(-rows // ROWS_OF_A_TASK)), *keys)
+
+    @property
+    def lines(self) -> DataFrame:
+        """Order lines with their cell (brand, category, month), customer and what the metrics are made of.
+
+        `first` marks one line of every order in a cell; an order's few lines are all that its window sorts.
+        """
+        def build() -> DataFrame:
+            orders = self.table("orders").select(
+                "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
+            )
+            customer = self.table("customer").select("c_custkey", "c_mktsegment")
+            part = self.table("part").select("p_partkey", "p_brand", "p_type")
+            li = self.table("lineitem")
+            n = li.count()
+            bought = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+            rows = self.dealt(li.join(part, li["l_partkey"] == part["p_partkey"]), n, "l_orderkey")
+            rows = rows.join(self.dealt(bought, n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+                F.col("p_brand").alias("brand"),
+                F.col("p_type").alias("category"),
+                month_start("l_shipdate").alias("date"),
+                "o_custkey",
+                "l_orderkey",
+                (F.col("c_mktsegment") == "BUILDING").alias("building"),
+                (F.col("o_orderstatus") == "F").alias("closed"),
+                (F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
+                (F.col("l_returnflag") == "R").alias("returned"),
+                "o_totalprice",
+                "l_quantity",
+                "l_extendedprice",
+                "l_discount",
+                "l_tax",
+            )
+            of_order = Window.partitionBy("l_orderkey", *PANEL_KEY).orderBy("l_orderkey")
+            return rows.withColumn("first", F.row_number().over(of_order) == 1).drop("l_orderkey")
+
+        return self.staged("lines", build)
+
     def panel_wide(self) -> DataFrame:
         """One row per brand, category and month with every metric.
 
-        Orders and customers are counted by grouping down (lines, orders, customers, cell), which
-        combines partial results at each step, in place of distinct counts that copy every row.
+        All sums combine on the map side to one row per cell. Orders are counted by their first line, and
+        only the distinct customers of a cell are grouped by themselves, as narrow rows. They are dealt
+        before that, since a map side that meets nearly no customer twice would hold all its rows.
         """
-        orders = self.table("orders").select(
-            "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
-        )
-        customer = self.table("customer").select("c_custkey", "c_mktsegment")
-        part = self.table("part").select("p_partkey", "p_brand", "p_type")
-        li = self.table("lineitem")
-        bought = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
-        rows = li.join(part, li["l_partkey"] == part["p_partkey"]).join(
-            bought, li["l_orderkey"] == bought["o_orderkey"]
-        )
-        qty, returned = F.col("l_quantity"), F.col("l_returnflag") == "R"
+        rows = self.lines
+        qty, returned = F.col("l_quantity"), F.col("returned")
         sums = {
             "lines": F.count("*"),
-            "building": share(F.col("c_mktsegment") == "BUILDING"),
-            "closed": share(F.col("o_orderstatus") == "F"),
+            "orders": share(F.col("first")),
+            "building": share(F.col("building")),
+            "closed": share(F.col("closed")),
             "order_value": F.sum("o_totalprice"),
-            "kept": share(F.col("l_returnflag") != "R"),
-            "urgent": share(F.col("o_orderpriority") == "1-URGENT"),
+            "kept": share(~returned),
+            "urgent": share(F.col("urgent")),
             "quantity": F.sum(qty),
             "net_quantity": F.sum(qty * (1 - F.col("l_discount"))),
             "discount": F.sum("l_discount"),
@@ -234,18 +272,13 @@ class Inputs:
                 f"star_{i}": share((qty > 10 * (i - 1)) & (qty <= 10 * i)) for i in range(1, 6)
             },
         }
-        cell = ["brand", "category", "date"]
-        per_order = rows.groupBy(
-            F.col("p_brand").alias("brand"),
-            F.col("p_type").alias("category"),
-            month_start("l_shipdate").alias("date"),
-            "o_custkey",
-            "l_orderkey",
-        ).agg(*[agg.alias(n) for n, agg in sums.items()])
-        again = [F.sum(n).alias(n) for n in sums]
-        per_customer = per_order.groupBy(*cell, "o_custkey").agg(F.count("*").alias("orders"), *again)
-        per_cell = per_customer.groupBy(*cell).agg(
-            F.count("*").alias("customers"), F.sum("orders").alias("orders"), *again
+        cell = list(PANEL_KEY)
+        summed = rows.groupBy(*cell).agg(*[agg.alias(n) for n, agg in sums.items()])
+        buyers = self.dealt(rows.select(*cell, "o_custkey"), rows.count(), *cell, "o_custkey").distinct()
+        buyers = buyers.groupBy(*cell).agg(F.count("o_custkey").alias("customers"))
+        # a union and not a join, so that cells of null keys stay
+        per_cell = summed.unionByName(buyers, allowMissingColumns=True).groupBy(*cell).agg(
+            *[F.max(n).alias(n) for n in (*sums, "customers")]
         )
 
         def mean(a: str, n: str = "lines") -> Column:

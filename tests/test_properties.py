@@ -4,12 +4,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from equitrace.catalog.inputs import rounded
+from equitrace.catalog import inputs as tables
+from equitrace.catalog.inputs import Inputs, rounded
 from equitrace.operators import importance, prepare, sales, scores, weights
 from equitrace.plans import refresh
 from equitrace.sources import io
 from equitrace.sources.workspace import shared_dir, stage
 from equitrace.spec import RIDGE
+from tests.conftest import SF_DIR
 
 
 def near(df, col, value, tol=1e-9):
@@ -125,3 +127,22 @@ def test_hot_product_and_no_broadcast(spark, inputs):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plain == shuffled
+
+
+def test_tasks_of_the_panel_grow_with_the_lines(spark, monkeypatch):
+    """Rows of an order or a customer are never grouped in tasks whose share grows with the input."""
+    monkeypatch.setattr(tables, "_STAGED", {})
+    monkeypatch.setattr(tables, "ROWS_OF_A_TASK", 500)
+    own = Inputs(spark, SF_DIR)
+    least = own.table("lineitem").count() // 500
+    assert len(own.lines.inputFiles()) >= least > spark.sparkContext.defaultParallelism
+    wide = own.panel_wide()
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and not [ln for ln in plan.splitlines() if "Aggregate" in ln and "l_orderkey" in ln]
+    got = wide.agg(F.sum("survey_reach_orders_all"), F.sum("survey_reach_customers_all")).first()
+    cells = own.table("lineitem").join(own.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    cells = cells.join(own.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    counted = cells.groupBy("p_brand", "p_type", F.trunc("l_shipdate", "month")).agg(
+        F.count_distinct("l_orderkey").alias("o"), F.count_distinct("o_custkey").alias("c")
+    )
+    assert tuple(got) == tuple(counted.agg(F.sum("o").cast("double"), F.sum("c").cast("double")).first())
