@@ -206,3 +206,10 @@ def test_fingerprints_of_null_and_repeated_ids(spark, documents, tmp_path):
         edited = text[: len(text) - cut] + following[:cut]
         want.append((str(doc_id), len(text), hashlib.sha256(edited.encode()).hexdigest()))
     assert sorted((str(r["doc_id"]), r["n_chars"], r["edited_sha256"]) for r in got) == sorted(want)
+
+
+def test_links_do_not_depend_on_the_sample_of_the_order(documents, monkeypatch):
+    """Frequency classes only order the shingles: classes of one text in many give the links of brute force."""
+    rows, rule = CASES["many small groups"], jaccard.Rule(3, 80, 100)
+    monkeypatch.setattr(jaccard, "SAMPLE_DOCS", 1)
+    assert near(documents, rows, rule) == expected(rows, rule)
