@@ -15,8 +15,10 @@ prefixes hold what few texts have, and texts with a common passage do not meet b
    one common phrase to meet. Long sets, whose combinations would be too many, index frequent shingles
    alone, and sets near that length do both, so that no similar pair is lost. Any fixed class gives the
    same links.
-3. Index groups of few sets verify all their pairs on the whole sets. In larger groups every set is
-   verified against a centre, again with other centres while sets of one group are in different
+3. Each set has a sketch: the parity of its shingles in each of SKETCH_BITS buckets, by which sets differ in at
+   most as many bits as in shingles. Pairs of an index group are made only where sketches and then heads
+   differ no more than similar sets may; those that are left are verified on the whole sets. Groups of few sets
+   compare all their pairs so. In larger groups every set is compared with a centre, again with other centres while sets of one group are in different
    components. Sets that then still are in different components are indexed anew, by the rarest of the
    shingles that their heads share with other components, and those that meet are verified pair by pair. So
    a group of copies costs its size, and no link between components is missed.
@@ -33,6 +35,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import xxhash
@@ -44,9 +47,10 @@ from equitrace.llm.components import connected_components
 from equitrace.llm.vocab import map_texts
 from equitrace.sources.workspace import stage
 
-#: sets that may share a prefix shingle before it counts as frequent; also the largest group whose pairs
-#: are all verified at once
+#: sets that may share a prefix shingle before it counts as frequent
 FREQUENT = 24
+#: the largest group whose pairs are all compared at once, by their sketches, in multiples of FREQUENT
+SKETCHED = 20
 #: shingles of a set up to which frequent ones are indexed in combinations
 LONG_SET = 64
 #: a head's slack: a part of its prefix and some more
@@ -59,6 +63,8 @@ CENTRE_ROUNDS = 2
 FEW_PAIRS = 4
 #: texts that the order of shingles is learned from, by a hash of their place; frequent shingles that are broadcast, at most
 SAMPLE_DOCS, FREQUENT_LISTED = 10_000, 200_000
+#: bits of a set's sketch
+SKETCH_BITS = 256
 #: low bits of a hash that give way to the class of frequency
 CLASS_BITS = 4
 #: known words of a Python task; beyond, the table starts anew
@@ -132,6 +138,12 @@ class Shingler:
         return self.ordered(out)
 
 
+def _parities(items: np.ndarray) -> list[int]:
+    """For each of SKETCH_BITS buckets of hashes, whether it holds an odd number of the set's shingles."""
+    odd = np.bincount(items & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _map_sets(
     rows: DataFrame, words: int, order, fields: str, emit: Callable[[np.ndarray], tuple], keep: tuple[str, ...] = ("id",)
 ) -> DataFrame:
@@ -160,16 +172,17 @@ def _shingle_order(rows: DataFrame, rule: Rule):
 
 
 def _heads(rows: DataFrame, rule: Rule, order) -> DataFrame:
-    """id, name, n, digest, head: the smallest hashes of the set, its prefix and the slack."""
+    """id, name, n, digest, head: the smallest hashes of the set, its prefix and the slack; bits: its sketch."""
     num, den, words, part, least = rule.num, rule.den, rule.words, SLACK_PART, LEAST_SLACK
 
     def emit(items: np.ndarray):
         n = len(items)
         prefix = n - -(-n * num // den) + 1
         digest = xxhash.xxh3_128_digest(items.tobytes())
-        return n, digest, items[: prefix + prefix // part + least].tolist()
+        return n, digest, items[: prefix + prefix // part + least].tolist(), _parities(items)
 
-    return _map_sets(rows, words, order, "n int, digest binary, head array<bigint>", emit, ("id", "name"))
+    fields = "n int, digest binary, head array<bigint>, bits array<bigint>"
+    return _map_sets(rows, words, order, fields, emit, ("id", "name"))
 
 
 def _whole_sets(rows: DataFrame, rule: Rule, order) -> DataFrame:
@@ -177,14 +190,15 @@ def _whole_sets(rows: DataFrame, rule: Rule, order) -> DataFrame:
 
 
 def _open_nodes(heads: DataFrame, rule: Rule) -> DataFrame:
-    """digest, n, node (the least id), head of the distinct sets that may have a similar or equal one."""
-    tokens = heads.select("id", "digest", F.explode("head").alias("token"))
+    """digest, n, node (the least id), head, bits of the distinct sets that may have a similar or equal one."""
+    tokens = heads.select("id", F.explode("head").alias("token"))
     counts = tokens.groupBy("token").agg(F.count("*").alias("heads")).where("heads > 1").select("token")
     shared = tokens.join(stage(counts, "jaccard-shared"), "token", "left_semi")
-    shared = stage(shared.groupBy("id", "digest").agg(F.count("*").alias("shared")), "jaccard-open")
+    shared = stage(shared.groupBy("id").agg(F.count("*").alias("shared")), "jaccard-open")
     some = F.expr(f"size(head) - shared < {rule.prefix()} or shared > {rule.slack(rule.least_overlap())}")
-    open_heads = heads.join(shared, ["id", "digest"]).where(some)
-    return open_heads.groupBy("digest", "n").agg(F.min("id").alias("node"), F.first("head").alias("head"))
+    open_heads = heads.join(shared, "id").where(some)
+    same = [F.first(c).alias(c) for c in ("head", "bits")]
+    return open_heads.groupBy("digest", "n").agg(F.min("id").alias("node"), *same)
 
 
 def _index(nodes: DataFrame, rule: Rule) -> DataFrame:
@@ -209,6 +223,18 @@ def _index(nodes: DataFrame, rule: Rule) -> DataFrame:
     return stage(entries.join(members, "key"), "jaccard-groups")
 
 
+def _picked(ids: DataFrame) -> DataFrame:
+    """Staged ids, broadcast where they are few."""
+    ids = stage(ids, "jaccard-busy")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _asked(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of nodes that staged pairs (a, b) name."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return rows.join(_picked(ids), "node", "left_semi")
+
+
 def _plausible(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """Pairs whose heads differ no more than similar sets may in all.
 
@@ -216,7 +242,8 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     there differs between the sets. Heads are short, and unrelated sets differ in nearly all of them.
     """
     end = F.when(F.size("head") < F.col("n"), F.element_at("head", -1)).otherwise(F.lit(2**63 - 1))
-    rows = nodes.select("node", "n", "head", end.alias("end"))
+    pairs = stage(pairs, "jaccard-tries")
+    rows = _asked(nodes, pairs).select("node", "n", "head", end.alias("end"))
     for side in ("a", "b"):
         named = rows.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "head", "end")])
         pairs = pairs.join(named, side)
@@ -228,7 +255,8 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Those of the pairs (a, b) whose whole sets are similar enough."""
+    """Those of the pairs (a, b) whose whole sets are similar enough; only the sets that they ask for are moved."""
+    sets = _asked(sets, pairs)
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
@@ -242,6 +270,17 @@ def _may_fit(a: tuple[str, str], b: tuple[str, str], rule: Rule) -> Column:
     return F.least(a[1], b[1]) * (rule.num + rule.den) >= (F.col(a[0]) + F.col(b[0])) * rule.num
 
 
+def _sketches_fit(n_a: str, bits_a: str, n_b: str, bits_b: str, rule: Rule) -> Column:
+    """Whether the sketches differ no more than similar sets may.
+
+    A shingle that only one of two sets has turns one parity, so the sketches differ in at most as many bits as
+    the sets in shingles.
+    """
+    words = [F.bit_count(F.col(bits_a)[k].bitwiseXOR(F.col(bits_b)[k])) for k in range(SKETCH_BITS // 64)]
+    differ = reduce(Column.__add__, words)
+    return differ * (rule.den + rule.num) <= (F.col(n_a) + F.col(n_b)) * (rule.den - rule.num)
+
+
 def _reindexed(large: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """(key, node, n, label): the open groups' nodes by the rarest shingles that their heads share with other components.
 
@@ -274,24 +313,25 @@ def _spares(large: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return rows.where(F.expr(f"spare >= {rule.least_overlap()}"))
 
 
-def _crossing(groups: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of a group's nodes in different components, each once."""
-    x = groups.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "spare", "label")])
-    y = groups.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "spare", "label")])
+def _crossing(groups: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of a group's nodes in different components whose sketches are near, each once."""
+    groups = groups.join(nodes.select("node", "bits"), "node")
+    x = groups.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "spare", "label", "bits")])
+    y = groups.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "spare", "label", "bits")])
     apart = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
-    pairs = x.join(y, "key").where(apart & _may_fit(("n_a", "spare_a"), ("n_b", "spare_b"), rule))
+    near = _may_fit(("n_a", "spare_a"), ("n_b", "spare_b"), rule) & _sketches_fit("n_a", "bits_a", "n_b", "bits_b", rule)
+    pairs = x.join(y, "key").where(apart & near)
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rule, order) -> DataFrame:
     """(node, label) of all nodes that have a link."""
-    small = groups.where(F.col("members") <= FREQUENT).withColumn("label", F.col("node")).withColumn("spare", F.col("n"))
-    large = groups.where(F.col("members") > FREQUENT).select("key", "node", "n")
-    pairs = stage(_plausible(_crossing(small, rule), nodes, rule), "jaccard-pairs")
+    few_members = F.col("members") <= FREQUENT * SKETCHED
+    small = groups.where(few_members).withColumn("label", F.col("node")).withColumn("spare", F.col("n"))
+    large = groups.where(~few_members).select("key", "node", "n")
+    pairs = stage(_plausible(_crossing(small, nodes, rule), nodes, rule), "jaccard-pairs")
     busy = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
-    busy = stage(busy, "jaccard-busy")
-    few = busy.count() <= BROADCAST_IDS
-    kept = texts.join(F.broadcast(busy) if few else busy, texts["id"] == busy["node"], "left_semi")
+    kept = texts.join(_picked(busy).withColumnRenamed("node", "id"), "id", "left_semi")
     sets = _whole_sets(kept, rule, order)
     sets = stage(sets.withColumnRenamed("id", "node"), "jaccard-sets")
     links = stage(_verified(pairs, sets, rule), "jaccard-links")
@@ -319,18 +359,20 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
         if last:
             again = stage(mixed(_reindexed(large, nodes, rule)), "jaccard-large")
             again = again.join(again.groupBy("key").agg(F.count("*").alias("members")), "key")
-            few = again.where(F.col("members") <= FREQUENT).select("key", "node", "n", "label", F.col("n").alias("spare"))
-            many = again.where(F.col("members") > FREQUENT).select("key", "node", "n", "label")
-            tries = _crossing(few.unionByName(_spares(many, sets, rule)), rule)
+            few = again.where(few_members).select("key", "node", "n", "label", F.col("n").alias("spare"))
+            many = again.where(~few_members).select("key", "node", "n", "label")
+            tries = _crossing(few.unionByName(_spares(many, sets, rule)), nodes, rule)
         else:
+            bits = nodes.select("node", "bits")
             place = F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "label")
-            centres = large.groupBy("key").agg(F.min(place).alias("c")).select(
-                "key", F.col("c.node").alias("a"), F.col("c.n").alias("n_a"), F.col("c.label").alias("label_a")
-            )
-            fits = _may_fit(("n", "n"), ("n_a", "n_a"), rule)
-            tries = large.join(centres, "key").where((F.col("label") != F.col("label_a")) & fits)
+            centres = large.groupBy("key").agg(F.min(place).alias("c")).select("key", "c.node", "c.n", "c.label")
+            centres = centres.join(bits, "node").select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "label", "bits")])
+            centres = centres.withColumnRenamed("node_a", "a")
+            fits = _may_fit(("n", "n"), ("n_a", "n_a"), rule) & _sketches_fit("n", "bits", "n_a", "bits_a", rule)
+            tries = large.join(bits, "node").join(centres, "key").where((F.col("label") != F.col("label_a")) & fits)
             tries = tries.select("a", F.col("node").alias("b")).distinct()
-        found = stage(_verified(_plausible(tries, nodes, rule), sets, rule), "jaccard-links")
+        tries = stage(_plausible(tries, nodes, rule), "jaccard-pairs")
+        found = stage(_verified(tries, sets, rule), "jaccard-links")
         fruitless = found.isEmpty()
         if not fruitless:
             links = links.unionByName(found)
@@ -363,7 +405,7 @@ def near_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     heads = stage(_heads(rows, rule, order), "jaccard-heads")
     nodes = stage(_open_nodes(heads, rule), "jaccard-nodes")
     groups = _index(nodes.select("node", "n", "head"), rule)
-    labels = _link_nodes(groups, nodes.select("node", "n", "head"), texts, rule, order)
+    labels = _link_nodes(groups, nodes.select("node", "n", "head", "bits"), texts, rule, order)
     # of equal sets, then of a component, the first row; combined on the map side
     first = F.min(F.struct(F.col("name").isNull().alias("none"), "name", F.col("id").alias("place")))
     firsts = heads.where("n > 0").groupBy("digest", "n").agg(first.alias("first"))

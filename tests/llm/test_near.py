@@ -128,6 +128,46 @@ def test_crowd_that_shares_most_of_a_template(documents):
     assert near(documents, rows, rule) == expected(rows, rule)
 
 
+@pytest.mark.parametrize("sketched", [20, 1])
+def test_crowd_of_sets_that_are_not_similar_enough_makes_few_pairs(documents, monkeypatch, sketched):
+    """Texts of one template that choose among few variants meet often; only near ones become pairs."""
+    made, real = [], jaccard._plausible
+    monkeypatch.setattr(jaccard, "_plausible", lambda pairs, *a: made.append(pairs.count()) or real(pairs, *a))
+    monkeypatch.setattr(jaccard, "SKETCHED", sketched, raising=False)
+    draw, rows = random.Random(12), []
+    for i in range(150):
+        words = [f"p{k}" for k in range(100)]
+        for k in range(5, 100, 12):
+            words[k] = f"v{k}.{draw.randrange(3)}"
+        rows.append((i, " ".join(words)))
+    rule = jaccard.Rule(3, 90, 100)
+    assert near(documents, rows, rule) == expected(rows, rule)
+    assert sum(made) < 5 * len(rows)
+
+
+@pytest.mark.parametrize("sketched", [20, 1])
+def test_components_by_centres_and_by_sketches(documents, monkeypatch, sketched):
+    """Large groups give the same components whether centres or all pairs of sketches join them."""
+    monkeypatch.setattr(jaccard, "SKETCHED", sketched)
+    rows, rule = CASES["one hot group"] + [(i + 50_000, t) for i, t in CASES["few large groups"]], jaccard.Rule(3, 80, 100)
+    assert near(documents, rows, rule) == expected(rows, rule)
+
+
+def test_sketches_differ_no_more_than_their_sets(spark):
+    draw, rows, rule = random.Random(4), [], jaccard.Rule(3, 90, 100)
+    for n in (1, 5, 60, 400, 3000):
+        base = [draw.getrandbits(60) for _ in range(n)]
+        for change in (0, 1, n // 25, n // 10, n):
+            other = {*base[change:], *[draw.getrandbits(60) for _ in range(change)]}
+            a, b = (jaccard.np.array(sorted(x), dtype=jaccard.np.int64) for x in (set(base), other))
+            near = 100 * len(other & set(base)) >= 90 * len(other | set(base))
+            rows.append((len(a), jaccard._parities(a), len(b), jaccard._parities(b), near))
+    frame = spark.createDataFrame(rows, "n int, x array<bigint>, m int, y array<bigint>, near boolean")
+    got = frame.select("n", "m", "near", jaccard._sketches_fit("n", "x", "m", "y", rule).alias("fits")).collect()
+    assert all(r["fits"] for r in got if r["near"]) and sum(r["near"] for r in got) >= 5
+    assert not any(r["fits"] for r in got if not r["near"] and 5 < r["n"] <= 400)
+
+
 def test_connected_components(spark):
     draw = random.Random(3)
     links = [(draw.randrange(300), draw.randrange(300)) for _ in range(180)] + [(k, k + 1) for k in range(400, 480)]
