@@ -1,27 +1,27 @@
-"""Similarity join of word-shingle sets by Jaccard, with token-combination prefixes.
+"""Similarity join of word-shingle sets by Jaccard, with keys of set parts.
 
-A set of n shingles that is similar to another shares at least o = ceil(t n) with it. With all sets in
-one order of shingles, similar sets share a shingle among their first n - o + 1 (the prefix), and k of them
-among their first n - o + k. Shingles are ordered from rare to frequent: a class of frequency, learned from
-about SAMPLE_DOCS texts, then a hash. Any fixed order gives the same links, so the sample costs none; but
-prefixes hold what few texts have, and texts with a common passage do not meet by it.
+A set of n shingles that is similar to another shares at least o = ceil(t n) with it, and the two differ in
+few shingles. With all sets in one order of shingles, similar sets share a shingle among their first n - o + 1
+(the prefix). Shingles are ordered from rare to frequent: a class of frequency, learned from about SAMPLE_DOCS
+texts, then a hash. Any fixed order gives the same links, so the sample costs none.
 
 1. Each set gives its head: its prefix and some shingles more (the slack). A shingle counts as shared if
    two heads have it. A set whose head holds a prefix of shingles of its own, and no more shared ones
    than the slack of the smallest set it may be similar to, has no similar set: had it one, all but
    n - o of that one's head would be in its own head. Such sets leave here, most of a corpus.
-2. The rest, equal sets once, indexes its prefixes: a rare shingle alone; for the frequent class the
-   prefix is extended by one and combinations of two (k = 2) are indexed, so that sets need more than
-   one common phrase to meet. Long sets, whose combinations would be too many, index frequent shingles
-   alone, and sets near that length do both, so that no similar pair is lost. Any fixed class gives the
-   same links.
+2. The rest, equal sets once, is indexed by parts. A hash deals the shingles to more parts than similar sets of
+   these sizes may differ in shingles, so similar sets agree in one whole part at least. Sizes are cut into
+   classes so that similar sets are of one class or of neighbours; a set is dealt for its own class and for
+   the next. A part holds several shingles (about (1 + t) / (2 - 2 t)), so common words or passages do not
+   bring sets together, copies do. Long sets have some parts to spare: as they agree in that many parts more, parts that
+   say little (empty, or few shingles and all frequent) are no keys, unless a set has too many of them.
 3. Each set has a sketch: the parity of its shingles in each of SKETCH_BITS buckets, by which sets differ in at
    most as many bits as in shingles. Pairs of an index group are made only where sketches and then heads
-   differ no more than similar sets may; those that are left are verified on the whole sets. Groups of few sets
-   compare all their pairs so. In larger groups every set is compared with a centre, again with other centres while sets of one group are in different
-   components. Sets that then still are in different components are indexed anew, by the rarest of the
-   shingles that their heads share with other components, and those that meet are verified pair by pair. So
-   a group of copies costs its size, and no link between components is missed.
+   differ no more than similar sets may; those that are left are verified on the whole sets. In every group each
+   set is compared with a centre, again with other centres while sets of one group are in different components.
+   Groups that then still hold several components compare the sketches of all pairs across components, or, if
+   they are large, are indexed anew by the rarest of the shingles that their heads share with other components.
+   So a group of copies costs its size, and no link between components is missed.
 
 Null texts are empty; without words the set is empty and linked with nothing; a text of fewer words than
 a shingle has is one shingle. Every row is a document of its own, told apart by its place in the files (a
@@ -47,12 +47,12 @@ from equitrace.llm.components import connected_components
 from equitrace.llm.vocab import map_texts
 from equitrace.sources.workspace import stage
 
-#: sets that may share a prefix shingle before it counts as frequent
-FREQUENT = 24
-#: the largest group whose pairs are all compared at once, by their sketches, in multiples of FREQUENT
-SKETCHED = 20
-#: shingles of a set up to which frequent ones are indexed in combinations
-LONG_SET = 64
+#: the largest group whose open pairs are all compared by their sketches: SKETCHED times FREQUENT
+FREQUENT, SKETCHED = 24, 20
+#: shingles of a set from which it has parts to spare: one in SPARE_PART
+LONG_SET, SPARE_PART = 64, 8
+#: frequent shingles that make a part worth a key
+TELLING = 3
 #: a head's slack: a part of its prefix and some more
 SLACK_PART, LEAST_SLACK = 8, 8
 #: ids that may be broadcast to pick texts (some megabytes); more of them are joined by a shuffle
@@ -93,6 +93,19 @@ class Rule:
     def prefix(self, n: str = "n") -> str:
         return f"({n} - {self.least_overlap(n)} + 1)"
 
+    def most_apart(self, n: int) -> int:
+        """Shingles that only one of two similar sets has, of at most n shingles each."""
+        return 2 * n * (self.den - self.num) // (self.den + self.num)
+
+    def size_classes(self, n: int) -> list[int]:
+        """The largest sizes of the classes, until one is beyond that of n; similar sets are at most one class apart."""
+        least, tops = 1, []
+        while len(tops) < 2 or tops[-2] < n:
+            following = max(least + 1, (least - 1) * self.den // self.num + 1)
+            tops.append(following - 1)
+            least = following
+        return tops
+
     def slack(self, n: str = "n") -> str:
         """Shingles of a head beyond its prefix; grows with n."""
         return f"({self.prefix(n)} div {SLACK_PART} + {LEAST_SLACK})"
@@ -201,24 +214,37 @@ def _open_nodes(heads: DataFrame, rule: Rule) -> DataFrame:
     return open_heads.groupBy("digest", "n").agg(F.min("id").alias("node"), *same)
 
 
-def _index(nodes: DataFrame, rule: Rule) -> DataFrame:
+def _part_keys(items: np.ndarray, rule: Rule) -> list[int]:
+    """The keys of a set's parts, for the class of its size and the next: hashes of class, part and shingles."""
+    n, keys = len(items), []
+    frequent = items >> (63 - CLASS_BITS + 1) > 0
+    for top in rule.size_classes(n)[-2:]:
+        apart = rule.most_apart(top)
+        if not apart:  # only equal sets are similar
+            continue
+        spare = apart // SPARE_PART if top > LONG_SET else 0
+        with np.errstate(over="ignore"):
+            hashes = _mix(items.view(np.uint64) * M1 + np.uint64(top))
+            parts = hashes % np.uint64(apart + 1 + spare)
+            by_part = parts.argsort(kind="stable")
+            parts, starts, sizes = np.unique(parts[by_part], return_index=True, return_counts=True)
+            sums = np.add.reduceat(_mix(hashes[by_part] * M2), starts)
+            found = _mix(_mix(sums + parts * M1) + np.uint64(top) * M2).view(np.int64)
+        little = np.logical_and.reduceat(frequent[by_part], starts) & (sizes < TELLING)
+        empty = apart + 1 + spare - len(parts)
+        if little.sum() + empty <= spare:
+            found = found[~little]
+        elif empty > spare:  # similar sets may agree in empty parts alone, yet share a shingle of their prefixes
+            found = np.append(found, items[: n - -(-n * rule.num // rule.den) + 1])
+        keys += found.tolist()
+    return list(set(keys))
+
+
+def _index(nodes: DataFrame, texts: DataFrame, rule: Rule, order) -> DataFrame:
     """(key, node, n, members): the index entries that several nodes have."""
-    reach = F.slice("head", F.lit(1), F.expr(f"{rule.prefix()} + 1"))
-    tokens = nodes.select("node", "n", F.posexplode(reach).alias("pos", "token"))
-    sizes = tokens.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1")
-    tokens = stage(tokens.join(sizes, "token"), "jaccard-tokens")
-    in_prefix = F.expr(f"pos < {rule.prefix()}")
-    rare = tokens.where(F.col("sets") <= FREQUENT)
-    common = tokens.where(F.col("sets") > FREQUENT)
-    # sets that may share no second shingle are handled like long ones
-    long = common.where(in_prefix & F.expr(f"n > {float(rule.threshold * LONG_SET)} or {rule.least_overlap()} < 2"))
-    alone = rare.unionByName(long).select(F.col("token").alias("key"), "node", "n")
-    short = common.where(F.col("n") <= LONG_SET).groupBy("node", "n").agg(F.sort_array(F.collect_list("token")).alias("c"))
-    pairs = F.flatten(
-        F.transform("c", lambda a, i: F.transform(F.slice("c", i + 2, F.size("c")), lambda b: F.xxhash64(a, b)))
-    )
-    combined = short.select(F.explode(pairs).alias("key"), "node", "n")
-    entries = stage(alone.unionByName(combined), "jaccard-entries")
+    kept = texts.join(_picked(nodes.select(F.col("node").alias("id"))), "id", "left_semi")
+    keys = _map_sets(kept, rule.words, order, "n int, keys array<bigint>", lambda items: (len(items), _part_keys(items, rule)))
+    entries = stage(keys.select(F.explode("keys").alias("key"), F.col("id").alias("node"), "n"), "jaccard-entries")
     members = entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     return stage(entries.join(members, "key"), "jaccard-groups")
 
@@ -326,50 +352,52 @@ def _crossing(groups: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
 
 def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rule, order) -> DataFrame:
     """(node, label) of all nodes that have a link."""
-    few_members = F.col("members") <= FREQUENT * SKETCHED
-    small = groups.where(few_members).withColumn("label", F.col("node")).withColumn("spare", F.col("n"))
-    large = groups.where(~few_members).select("key", "node", "n")
-    pairs = stage(_plausible(_crossing(small, nodes, rule), nodes, rule), "jaccard-pairs")
-    busy = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
-    kept = texts.join(_picked(busy).withColumnRenamed("node", "id"), "id", "left_semi")
-    sets = _whole_sets(kept, rule, order)
+    busy = _picked(groups.select(F.col("node").alias("id")).distinct())
+    sets = _whole_sets(texts.join(busy, "id", "left_semi"), rule, order)
     sets = stage(sets.withColumnRenamed("id", "node"), "jaccard-sets")
-    links = stage(_verified(pairs, sets, rule), "jaccard-links")
-    labels = connected_components(links)
-    if large.isEmpty():
-        return labels
+    bits = nodes.select("node", "bits")
+    few_members = F.col("members") <= FREQUENT * SKETCHED
+    links = groups.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
+    labels = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
-    def labelled(nodes: DataFrame) -> DataFrame:
-        return nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    def labelled(rows: DataFrame) -> DataFrame:
+        return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
     def mixed(rows: DataFrame) -> DataFrame:
         """Groups that still hold several components."""
         open_keys = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
         return rows.join(open_keys.select("key"), "key", "left_semi")
 
-    fruitless = False
+    def sized(rows: DataFrame) -> DataFrame:
+        return rows.join(rows.groupBy("key").agg(F.count("*").alias("members")), "key")
+
+    fruitless, rows = False, groups.select("key", "node", "n")
     for turn in range(CENTRE_ROUNDS + 1):
-        large = stage(mixed(labelled(large.select("key", "node", "n"))), "jaccard-large")
-        kinds = large.groupBy("key", "label").agg(F.count("*").alias("m"))
+        rows = labelled(rows.select("key", "node", "n"))
+        if turn:
+            rows = stage(mixed(rows), "jaccard-open-groups")
+        kinds = rows.groupBy("key", "label").agg(F.count("*").alias("m"))
         pairs = kinds.groupBy("key").agg(((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("open"))
         open_pairs = pairs.agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0]
         if not open_pairs:
             break
-        last = fruitless or turn == CENTRE_ROUNDS or open_pairs <= FEW_PAIRS * large.count()
+        last = fruitless or turn == CENTRE_ROUNDS or turn and open_pairs <= FEW_PAIRS * rows.count()
         if last:
-            again = stage(mixed(_reindexed(large, nodes, rule)), "jaccard-large")
-            again = again.join(again.groupBy("key").agg(F.count("*").alias("members")), "key")
-            few = again.where(few_members).select("key", "node", "n", "label", F.col("n").alias("spare"))
-            many = again.where(~few_members).select("key", "node", "n", "label")
-            tries = _crossing(few.unionByName(_spares(many, sets, rule)), nodes, rule)
+            rows = stage(sized(rows), "jaccard-last-groups")
+            few = rows.where(few_members).withColumn("spare", F.col("n"))
+            crowds = rows.where(~few_members)
+            if not crowds.isEmpty():
+                again = sized(stage(mixed(_reindexed(crowds, nodes, rule)), "jaccard-new-groups"))
+                few = few.unionByName(again.where(few_members).withColumn("spare", F.col("n")))
+                few = few.drop("members").unionByName(_spares(again.where(~few_members), sets, rule))
+            tries = _crossing(few, nodes, rule)
         else:
-            bits = nodes.select("node", "bits")
             place = F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "label")
-            centres = large.groupBy("key").agg(F.min(place).alias("c")).select("key", "c.node", "c.n", "c.label")
+            centres = rows.groupBy("key").agg(F.min(place).alias("c")).select("key", "c.node", "c.n", "c.label")
             centres = centres.join(bits, "node").select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "label", "bits")])
             centres = centres.withColumnRenamed("node_a", "a")
             fits = _may_fit(("n", "n"), ("n_a", "n_a"), rule) & _sketches_fit("n", "bits", "n_a", "bits_a", rule)
-            tries = large.join(bits, "node").join(centres, "key").where((F.col("label") != F.col("label_a")) & fits)
+            tries = rows.join(bits, "node").join(centres, "key").where((F.col("label") != F.col("label_a")) & fits)
             tries = tries.select("a", F.col("node").alias("b")).distinct()
         tries = stage(_plausible(tries, nodes, rule), "jaccard-pairs")
         found = stage(_verified(tries, sets, rule), "jaccard-links")
@@ -404,7 +432,7 @@ def near_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     order = _shingle_order(texts, rule)
     heads = stage(_heads(rows, rule, order), "jaccard-heads")
     nodes = stage(_open_nodes(heads, rule), "jaccard-nodes")
-    groups = _index(nodes.select("node", "n", "head"), rule)
+    groups = _index(nodes, texts, rule, order)
     labels = _link_nodes(groups, nodes.select("node", "n", "head", "bits"), texts, rule, order)
     # of equal sets, then of a component, the first row; combined on the map side
     first = F.min(F.struct(F.col("name").isNull().alias("none"), "name", F.col("id").alias("place")))

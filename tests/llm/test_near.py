@@ -145,6 +145,20 @@ def test_crowd_of_sets_that_are_not_similar_enough_makes_few_pairs(documents, mo
     assert sum(made) < 5 * len(rows)
 
 
+def test_group_of_near_copies_costs_its_size(documents, monkeypatch):
+    """Copies of one text are compared with a centre: pairs and links grow with the copies, not with their square."""
+    made, real = [], jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *a: made.append(pairs.count()) or real(pairs, *a))
+    draw, base, rows = random.Random(13), [f"w{k}" for k in range(120)], []
+    for i in range(150):
+        words = list(base)
+        words[draw.randrange(120)] = f"e{i}"
+        rows.append((i, " ".join(words)))
+    rule = jaccard.Rule(3, 90, 100)
+    assert near(documents, rows, rule) == expected(rows, rule)
+    assert 0 < sum(made) < 5 * len(rows)
+
+
 @pytest.mark.parametrize("sketched", [20, 1])
 def test_components_by_centres_and_by_sketches(documents, monkeypatch, sketched):
     """Large groups give the same components whether centres or all pairs of sketches join them."""
