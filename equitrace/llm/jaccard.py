@@ -19,9 +19,10 @@ texts, then a hash. Any fixed order gives the same links, so the sample costs no
    most as many bits as in shingles. Pairs of an index group are made only where sketches and then heads
    differ no more than similar sets may; those that are left are verified on the whole sets. In every group each
    set is compared with a centre, again with other centres while sets of one group are in different components.
-   Groups that then still hold several components compare the sketches of all pairs across components, or, if
-   they are large, are indexed anew by the rarest of the shingles that their heads share with other components.
-   So a group of copies costs its size, and no link between components is missed.
+   In groups that then still hold several components, sets leave that share too few of their shingles with other
+   components. The rest compares finer sketches of all pairs across components, or, where it is large, is indexed
+   anew by the rarest of the shingles that heads share with other components. So a group of copies costs its
+   size, and no link between components is missed.
 
 Null texts are empty; without words the set is empty and linked with nothing; a text of fewer words than
 a shingle has is one shingle. Every row is a document of its own, told apart by its place in the files (a
@@ -63,8 +64,8 @@ CENTRE_ROUNDS = 2
 FEW_PAIRS = 4
 #: texts that the order of shingles is learned from, by a hash of their place; frequent shingles that are broadcast, at most
 SAMPLE_DOCS, FREQUENT_LISTED = 10_000, 200_000
-#: bits of a set's sketch
-SKETCH_BITS = 256
+#: bits of a set's sketch, and of the finer one by which pairs are compared across components
+SKETCH_BITS, FINE_BITS = 256, 1024
 #: low bits of a hash that give way to the class of frequency
 CLASS_BITS = 4
 #: known words of a Python task; beyond, the table starts anew
@@ -151,9 +152,9 @@ class Shingler:
         return self.ordered(out)
 
 
-def _parities(items: np.ndarray) -> list[int]:
-    """For each of SKETCH_BITS buckets of hashes, whether it holds an odd number of the set's shingles."""
-    odd = np.bincount(items & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1
+def _parities(items: np.ndarray, bits: int = SKETCH_BITS) -> list[int]:
+    """For each of so many buckets of hashes, whether it holds an odd number of the set's shingles."""
+    odd = np.bincount(items & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
@@ -176,12 +177,20 @@ def _shingle_order(rows: DataFrame, rule: Rule):
     some = rows.where(F.pmod(F.col("id"), F.lit(every)) == 0)
     sets = _map_sets(some, rule.words, None, "items array<bigint>", lambda items: (items.tolist(),))
     counts = sets.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    listed = counts.orderBy(F.desc("n"), "token").limit(FREQUENT_LISTED).collect()
-    tokens = np.array([r["token"] for r in listed], dtype=np.int64)
+    counts = stage(counts, "jaccard-order")
+    # as many of the most frequent as the list may hold, whole counts at a time; the driver gets these alone, as Arrow columns
+    least, found = 2, 0
+    for r in counts.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).collect():
+        found += r["tokens"]
+        if found > FREQUENT_LISTED:
+            least = r["n"] + 1
+            break
+    listed = counts.where(F.col("n") >= least).toArrow()
+    tokens, seen = (listed.column(c).to_numpy().astype(np.int64) for c in ("token", "n"))
     # twice, four times, ... the count: one class each
-    classes = np.minimum(np.log2(np.maximum([r["n"] for r in listed], 2)).astype(np.int64), 2 ** (CLASS_BITS - 1) - 1)
+    classes = np.minimum(np.log2(np.maximum(seen, 2)).astype(np.int64), 2 ** (CLASS_BITS - 1) - 1)
     by_token = tokens.argsort()
-    return rows.sparkSession.sparkContext.broadcast((tokens[by_token], classes[by_token] if len(tokens) else classes))
+    return rows.sparkSession.sparkContext.broadcast((tokens[by_token], classes[by_token]))
 
 
 def _heads(rows: DataFrame, rule: Rule, order) -> DataFrame:
@@ -199,7 +208,10 @@ def _heads(rows: DataFrame, rule: Rule, order) -> DataFrame:
 
 
 def _whole_sets(rows: DataFrame, rule: Rule, order) -> DataFrame:
-    return _map_sets(rows, rule.words, order, "n int, items array<bigint>", lambda items: (len(items), items.tolist()))
+    def emit(items: np.ndarray):
+        return len(items), items.tolist(), _parities(items, FINE_BITS)
+
+    return _map_sets(rows, rule.words, order, "n int, items array<bigint>, bits array<bigint>", emit)
 
 
 def _open_nodes(heads: DataFrame, rule: Rule) -> DataFrame:
@@ -214,11 +226,11 @@ def _open_nodes(heads: DataFrame, rule: Rule) -> DataFrame:
     return open_heads.groupBy("digest", "n").agg(F.min("id").alias("node"), *same)
 
 
-def _part_keys(items: np.ndarray, rule: Rule) -> list[int]:
-    """The keys of a set's parts, for the class of its size and the next: hashes of class, part and shingles."""
-    n, keys = len(items), []
+def _part_keys(items: np.ndarray, rule: Rule) -> tuple[list[int], list[int]]:
+    """The keys of a set's parts, for the class of its size, and more for the next: hashes of class, part and shingles."""
+    n, keys = len(items), ([], [])
     frequent = items >> (63 - CLASS_BITS + 1) > 0
-    for top in rule.size_classes(n)[-2:]:
+    for k, top in enumerate(rule.size_classes(n)[-2:]):
         apart = rule.most_apart(top)
         if not apart:  # only equal sets are similar
             continue
@@ -236,16 +248,22 @@ def _part_keys(items: np.ndarray, rule: Rule) -> list[int]:
             found = found[~little]
         elif empty > spare:  # similar sets may agree in empty parts alone, yet share a shingle of their prefixes
             found = np.append(found, items[: n - -(-n * rule.num // rule.den) + 1])
-        keys += found.tolist()
-    return list(set(keys))
+        keys[k].extend(found.tolist())
+    return list(set(keys[0])), list(set(keys[1]).difference(keys[0]))
 
 
 def _index(nodes: DataFrame, texts: DataFrame, rule: Rule, order) -> DataFrame:
-    """(key, node, n, members): the index entries that several nodes have."""
+    """(key, node, n, own, members): the index entries that several nodes have, one at least for its own class of size.
+
+    Sets of one class meet by the keys for it, sets of neighbours by those for the larger, so of two sets that meet
+    one has the key as its own.
+    """
     kept = texts.join(_picked(nodes.select(F.col("node").alias("id"))), "id", "left_semi")
-    keys = _map_sets(kept, rule.words, order, "n int, keys array<bigint>", lambda items: (len(items), _part_keys(items, rule)))
-    entries = stage(keys.select(F.explode("keys").alias("key"), F.col("id").alias("node"), "n"), "jaccard-entries")
-    members = entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    fields = "n int, keys array<bigint>, more array<bigint>"
+    keys = _map_sets(kept, rule.words, order, fields, lambda items: (len(items), *_part_keys(items, rule)))
+    both = F.expr("concat(transform(keys, k -> struct(k as key, true as own)), transform(more, k -> struct(k as key, false as own)))")
+    entries = stage(keys.select(F.inline(both), F.col("id").alias("node"), "n"), "jaccard-entries")
+    members = entries.groupBy("key").agg(F.count("*").alias("members"), F.max("own").alias("met")).where("members > 1 and met").drop("met")
     return stage(entries.join(members, "key"), "jaccard-groups")
 
 
@@ -282,7 +300,7 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Those of the pairs (a, b) whose whole sets are similar enough; only the sets that they ask for are moved."""
-    sets = _asked(sets, pairs)
+    sets = _asked(sets.select("node", "items"), pairs)
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
@@ -296,13 +314,13 @@ def _may_fit(a: tuple[str, str], b: tuple[str, str], rule: Rule) -> Column:
     return F.least(a[1], b[1]) * (rule.num + rule.den) >= (F.col(a[0]) + F.col(b[0])) * rule.num
 
 
-def _sketches_fit(n_a: str, bits_a: str, n_b: str, bits_b: str, rule: Rule) -> Column:
+def _sketches_fit(n_a: str, bits_a: str, n_b: str, bits_b: str, rule: Rule, bits: int = SKETCH_BITS) -> Column:
     """Whether the sketches differ no more than similar sets may.
 
     A shingle that only one of two sets has turns one parity, so the sketches differ in at most as many bits as
     the sets in shingles.
     """
-    words = [F.bit_count(F.col(bits_a)[k].bitwiseXOR(F.col(bits_b)[k])) for k in range(SKETCH_BITS // 64)]
+    words = [F.bit_count(F.col(bits_a)[k].bitwiseXOR(F.col(bits_b)[k])) for k in range(bits // 64)]
     differ = reduce(Column.__add__, words)
     return differ * (rule.den + rule.num) <= (F.col(n_a) + F.col(n_b)) * (rule.den - rule.num)
 
@@ -324,28 +342,27 @@ def _reindexed(large: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     return heads.select(F.explode(F.slice("h.token", F.lit(1), F.col("first"))).alias("key"), "node", "n", "label")
 
 
-def _spares(large: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """spare: a set's shingles that any other set of these groups has; sets that have too few leave.
+def _spares(open_rows: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The rows with spare: the shingles of a set that sets of other components among these have, too.
 
-    In a crowd of near copies that are not near enough, this sees what each has of its own. It reads whole
-    sets, so it is asked only for groups that centres have not closed.
+    A set that has too few of them to be similar to any leaves. In a crowd of near copies that are not near enough, this
+    sees what each has of its own. It reads whole sets, so it is asked only for groups that centres have not closed.
     """
-    crowd = sets.join(large.select("node").distinct(), "node", "left_semi")
-    tokens = crowd.select("node", F.explode("items").alias("token"))
-    alone = tokens.groupBy("token").agg(F.count("*").alias("sets"), F.min("node").alias("node")).where("sets = 1")
-    alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
-    spare = F.expr("cast(n - coalesce(alone, 0) as int)").alias("spare")
-    rows = large.join(alone, "node", "left").select("key", "node", "n", "label", spare)
-    return rows.where(F.expr(f"spare >= {rule.least_overlap()}"))
+    crowd = sets.join(open_rows.select("node", "label").distinct(), "node")
+    tokens = crowd.select("node", "label", F.explode("items").alias("token"))
+    kinds = tokens.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
+    shared = tokens.select("node", "token").join(kinds, "token").groupBy("node").agg(F.count("*").cast("int").alias("spare"))
+    return open_rows.join(shared, "node").where(F.expr(f"spare >= {rule.least_overlap()}"))
 
 
-def _crossing(groups: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+def _crossing(groups: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of a group's nodes in different components whose sketches are near, each once."""
-    groups = groups.join(nodes.select("node", "bits"), "node")
-    x = groups.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "spare", "label", "bits")])
-    y = groups.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "spare", "label", "bits")])
-    apart = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
-    near = _may_fit(("n_a", "spare_a"), ("n_b", "spare_b"), rule) & _sketches_fit("n_a", "bits_a", "n_b", "bits_b", rule)
+    groups = groups.join(sets.select("node", "bits"), "node")
+    x = groups.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "own", "spare", "label", "bits")])
+    y = groups.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "own", "spare", "label", "bits")])
+    apart = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & (F.col("own_a") | F.col("own_b"))
+    near = _sketches_fit("n_a", "bits_a", "n_b", "bits_b", rule, FINE_BITS)
+    near = _may_fit(("n_a", "spare_a"), ("n_b", "spare_b"), rule) & near
     pairs = x.join(y, "key").where(apart & near)
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
@@ -371,9 +388,9 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
     def sized(rows: DataFrame) -> DataFrame:
         return rows.join(rows.groupBy("key").agg(F.count("*").alias("members")), "key")
 
-    fruitless, rows = False, groups.select("key", "node", "n")
+    fruitless, rows = False, groups.select("key", "node", "n", "own")
     for turn in range(CENTRE_ROUNDS + 1):
-        rows = labelled(rows.select("key", "node", "n"))
+        rows = labelled(rows.select("key", "node", "n", "own"))
         if turn:
             rows = stage(mixed(rows), "jaccard-open-groups")
         kinds = rows.groupBy("key", "label").agg(F.count("*").alias("m"))
@@ -383,14 +400,13 @@ def _link_nodes(groups: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rul
             break
         last = fruitless or turn == CENTRE_ROUNDS or turn and open_pairs <= FEW_PAIRS * rows.count()
         if last:
-            rows = stage(sized(rows), "jaccard-last-groups")
-            few = rows.where(few_members).withColumn("spare", F.col("n"))
-            crowds = rows.where(~few_members)
+            rows = stage(sized(mixed(_spares(rows, sets, rule))), "jaccard-last-groups")
+            few, crowds = rows.where(few_members), rows.where(~few_members)
             if not crowds.isEmpty():
-                again = sized(stage(mixed(_reindexed(crowds, nodes, rule)), "jaccard-new-groups"))
-                few = few.unionByName(again.where(few_members).withColumn("spare", F.col("n")))
-                few = few.drop("members").unionByName(_spares(again.where(~few_members), sets, rule))
-            tries = _crossing(few, nodes, rule)
+                again = stage(mixed(_reindexed(crowds, nodes, rule)), "jaccard-new-groups")
+                again = again.join(crowds.select("node", "spare").distinct(), "node").withColumn("own", F.lit(True))
+                few = few.drop("members").unionByName(again)
+            tries = _crossing(few, sets, rule)
         else:
             place = F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "label")
             centres = rows.groupBy("key").agg(F.min(place).alias("c")).select("key", "c.node", "c.n", "c.label")

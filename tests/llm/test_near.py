@@ -167,6 +167,35 @@ def test_components_by_centres_and_by_sketches(documents, monkeypatch, sketched)
     assert near(documents, rows, rule) == expected(rows, rule)
 
 
+@pytest.mark.parametrize("edits", [6, 14])
+def test_long_near_copies_that_are_not_similar_enough_make_few_pairs(documents, monkeypatch, edits):
+    """Long sets of one template outgrow small sketches; what each has of its own and finer sketches keep them apart."""
+    made, real = [], jaccard._crossing
+    monkeypatch.setattr(jaccard, "_crossing", lambda *a: made.append((pairs := real(*a)).count()) or pairs)
+    draw, rows = random.Random(14), []
+    for i in range(60):
+        words = [f"p{k}" for k in range(400)]
+        for k in draw.sample(range(400), edits):
+            words[k] = f"e{i}.{k}"
+        rows.append((i, " ".join(words)))
+    rows += [(100, rows[0][1] + " end"), (101, rows[7][1].replace(" p3 ", " q3 "))]
+    rule = jaccard.Rule(5, 80, 100)
+    assert near(documents, rows, rule) == expected(rows, rule)
+    assert made and sum(made) < 2 * len(rows)
+
+
+def test_groups_of_a_key_have_a_set_of_its_own_class(documents, monkeypatch):
+    """Sets of one class of size meet by the keys for it, not again by those for the next."""
+    made, real = [], jaccard._index
+    monkeypatch.setattr(jaccard, "_index", lambda *a: made.append(real(*a)) or made[-1])
+    base = [f"w{k}" for k in range(120)]
+    rows = [(i, " ".join([*base[:i], f"e{i}", *base[i + 1 :]])) for i in range(10, 110, 20)]
+    rule = jaccard.Rule(3, 90, 100)
+    assert near(documents, rows, rule) == expected(rows, rule)
+    apart = rule.most_apart(rule.size_classes(118)[-2])
+    assert made[0].select("key").distinct().count() <= apart + 1 + apart // jaccard.SPARE_PART
+
+
 def test_sketches_differ_no_more_than_their_sets(spark):
     draw, rows, rule = random.Random(4), [], jaccard.Rule(3, 90, 100)
     for n in (1, 5, 60, 400, 3000):
