@@ -2,8 +2,10 @@
 
 A set of n shingles that is similar to another shares at least o = ceil(t n) with it, and the two differ in
 few shingles. With all sets in one order of shingles, similar sets share a shingle among their first n - o + 1
-(the prefix). Shingles are ordered from rare to frequent: a class of frequency, learned from about SAMPLE_DOCS
-texts, then a hash. Any fixed order gives the same links, so the sample costs none.
+(the prefix). Shingles are ordered from rare to frequent: a class of frequency, then a hash. The class tells in how
+many texts of the whole table a shingle is found: every shingle of every text is counted, in COUNTERS counters by its
+hash, so that counting takes the same memory whatever the table. Shingles that share a counter share a class; any
+fixed order gives the same links, so that costs none.
 
 1. Each set gives its head: its prefix and some shingles more (the slack). A shingle counts as shared if
    two heads have it. A set whose head holds a prefix of shingles of its own, and no more shared ones
@@ -33,12 +35,13 @@ none. An empty table gives an empty result. Columns beside id and text are ignor
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from fractions import Fraction
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
@@ -62,8 +65,10 @@ BROADCAST_IDS = 500_000
 CENTRE_ROUNDS = 2
 #: open pairs per index entry at which the rest is verified pair by pair at once
 FEW_PAIRS = 4
-#: texts that the order of shingles is learned from, by a hash of their place; frequent shingles that are broadcast, at most
-SAMPLE_DOCS, FREQUENT_LISTED = 10_000, 200_000
+#: a class of frequency tells in how many of so many texts a shingle is found; all texts are counted, however many
+SAMPLE_DOCS = 10_000
+#: counters of shingles, and those of one row that carries them; tasks that count, at most
+COUNTERS, SLICE_COUNTERS, BUILDERS = 1 << 22, 1 << 12, 4096
 #: bits of a set's sketch, and of the finer one by which pairs are compared across components
 SKETCH_BITS, FINE_BITS = 256, 1024
 #: low bits of a hash that give way to the class of frequency
@@ -121,17 +126,15 @@ class Shingler:
     """Sorted distinct 64-bit shingle hashes of texts; bytes.lower and bytes.split know exactly A-Z and
     the six white-space characters that part words."""
 
-    def __init__(self, words: int, frequent: tuple[np.ndarray, np.ndarray] | None = None):
-        self.words, self.known, self.frequent = words, {}, frequent
+    def __init__(self, words: int, classes: np.ndarray | None = None):
+        self.words, self.known, self.classes = words, {}, classes
 
     def ordered(self, hashes: np.ndarray) -> np.ndarray:
         """Distinct shingles as numbers in the common order: class of frequency first, then the hash."""
         plain = np.unique(hashes >> np.uint64(CLASS_BITS)).view(np.int64)
-        if self.frequent is None or not len(self.frequent[0]):
+        if self.classes is None:
             return plain
-        listed, classes = self.frequent
-        at = np.minimum(np.searchsorted(listed, plain), len(listed) - 1)
-        kind = np.where(listed[at] == plain, classes[at], 0)
+        kind = self.classes[plain & (len(self.classes) - 1)].astype(np.int64)
         return np.sort(plain | kind << (63 - CLASS_BITS + 1))
 
     def __call__(self, text: str) -> np.ndarray:
@@ -170,27 +173,62 @@ def _map_sets(
     return map_texts(rows, list(keep), "text", make, fields)
 
 
+COUNTS_SCHEMA = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
+
+
+def _packed(slices: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    """Counters by slice, each slice as the smallest whole numbers that hold it."""
+    data = [c.astype(np.min_scalar_type(int(c.max()))).tobytes() for _, c in slices]
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in slices], pa.int32()), pa.array(data, pa.binary())], schema=COUNTS_SCHEMA)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"u{len(data) // SLICE_COUNTERS}")
+
+
+def _task_counts(rows: DataFrame, words: int) -> DataFrame:
+    """slice, counts of every task: for each counter, the task's texts that have a shingle of it."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, counts = Shingler(words), np.zeros(COUNTERS, dtype=np.uint32)
+        for batch in batches:
+            for text in batch.column(0):
+                counts[shingler(text.as_py() or "") & (COUNTERS - 1)] += 1
+        yield _packed([(k, c) for k, c in enumerate(counts.reshape(-1, SLICE_COUNTERS)) if c.any()])
+
+    return rows.select("text").coalesce(BUILDERS).mapInArrow(count, "slice int, counts binary")
+
+
+def _sum_counts(parts: DataFrame) -> DataFrame:
+    """slice, counts: those of all tasks together; slices stream through one sum."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, None
+        for batch in batches:
+            for k, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if k != at:
+                    if at is not None:
+                        yield _packed([(at, total)])
+                    at, total = k, np.zeros(SLICE_COUNTERS, dtype=np.uint64)
+                total += _unpacked(data)
+        if at is not None:
+            yield _packed([(at, total)])
+
+    return parts.repartition("slice").sortWithinPartitions("slice").mapInArrow(fold, "slice int, counts binary")
+
+
 def _shingle_order(rows: DataFrame, rule: Rule):
-    """The frequent shingles of a bounded sample of texts, with a class each; only their order depends on it."""
+    """The class of each counter, by the shingles of all texts; the driver gets the counters alone, at most eight bytes each."""
     n = rows.count()
-    every = max(1, -(-n // SAMPLE_DOCS))
-    some = rows.where(F.pmod(F.col("id"), F.lit(every)) == 0)
-    sets = _map_sets(some, rule.words, None, "items array<bigint>", lambda items: (items.tolist(),))
-    counts = sets.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    counts = stage(counts, "jaccard-order")
-    # as many of the most frequent as the list may hold, whole counts at a time; the driver gets these alone, as Arrow columns
-    least, found = 2, 0
-    for r in counts.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).collect():
-        found += r["tokens"]
-        if found > FREQUENT_LISTED:
-            least = r["n"] + 1
-            break
-    listed = counts.where(F.col("n") >= least).toArrow()
-    tokens, seen = (listed.column(c).to_numpy().astype(np.int64) for c in ("token", "n"))
-    # twice, four times, ... the count: one class each
-    classes = np.minimum(np.log2(np.maximum(seen, 2)).astype(np.int64), 2 ** (CLASS_BITS - 1) - 1)
-    by_token = tokens.argsort()
-    return rows.sparkSession.sparkContext.broadcast((tokens[by_token], classes[by_token]))
+    found = _sum_counts(_task_counts(rows, rule.words)).toArrow()
+    counts = np.zeros((COUNTERS // SLICE_COUNTERS, SLICE_COUNTERS), dtype=np.int64)
+    for k, data in zip(*[c.to_pylist() for c in found.columns], strict=True):
+        counts[k] = _unpacked(data)
+    counts = counts.ravel()
+    # less what the other shingles of a counter add on average; of so many texts twice, four times, ...: one class each
+    seen = (counts - counts.sum() // COUNTERS) * min(1, SAMPLE_DOCS / max(n, 1))
+    classes = np.minimum(np.log2(np.maximum(seen, 1)), 2 ** (CLASS_BITS - 1) - 1).astype(np.uint8)
+    return rows.sparkSession.sparkContext.broadcast(classes)
 
 
 def _heads(rows: DataFrame, rule: Rule, order) -> DataFrame:

@@ -296,3 +296,14 @@ def test_links_do_not_depend_on_the_sample_of_the_order(documents, monkeypatch):
     rows, rule = CASES["many small groups"], jaccard.Rule(3, 80, 100)
     monkeypatch.setattr(jaccard, "SAMPLE_DOCS", 1)
     assert near(documents, rows, rule) == expected(rows, rule)
+
+
+def test_order_counts_the_shingles_of_all_texts(documents, monkeypatch):
+    """A shingle's class tells how many of all texts have it, wherever they stand, not how many of a part of them."""
+    monkeypatch.setattr(jaccard, "SAMPLE_DOCS", 20)
+    rows = [(i, f"x{i} y{i} z{i} in every text" + " a common passage" * (0 < i % 30 < 7)) for i in range(600)]
+    texts = documents(rows).selectExpr("doc_id as id", "text").repartition(2)
+    shingler = jaccard.Shingler(3, jaccard._shingle_order(texts, jaccard.Rule(3, 90, 100)).value)
+    kinds = [int(shingler(t)[0] >> (64 - jaccard.CLASS_BITS)) for t in ("x1 y1 z1", "a common passage", "in every text")]
+    # in 1, 120 and 600 of 600 texts, so in less than 1, in 4 and in 20 of 20
+    assert kinds == [0, 2, 4]
